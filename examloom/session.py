@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -59,3 +62,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def ship_packages(spark: SparkSession, *names: str) -> None:
+    """Send Python packages to the executors, once per application.
+
+    Needed for stages whose client is defined in a package that was not
+    submitted with ``--py-files``.
+    """
+    context = spark.sparkContext
+    for name in names:
+        if (context.applicationId, name) in _shipped:
+            continue
+        folder = os.path.dirname(importlib.import_module(name).__file__)
+        target = os.path.join(tempfile.mkdtemp(prefix="ship-"), name)
+        context.addPyFile(
+            shutil.make_archive(target, "zip", os.path.dirname(folder), name)
+        )
+        _shipped.add((context.applicationId, name))
+
+
+_shipped: set[tuple[str, str]] = set()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "emptyValue": ""}
+# A text no cell holds, so that an empty cell is read as empty text.
+NO_NULL = "\x00"
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", null_keys: bool = False) -> None:
@@ -17,12 +19,9 @@ def write_csv_log(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def read_csv_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log written by ``write_csv_log``."""
-    return (
-        spark.read.schema(schema)
-        .options(**CSV_OPTIONS, multiLine="true")
-        .csv(path)
-    )
+    """A log written by ``write_csv_log``; empty text cells stay empty text."""
+    options = {**CSV_OPTIONS, "multiLine": "true", "nullValue": NO_NULL}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def write_rounds(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
