@@ -41,13 +41,14 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*out) if out else F.lit("")
 
 
-def parse_candidates(reply: Column) -> Column:
+def parse_candidates(text: Column) -> Column:
     """New templates in a model reply.
 
     A JSON array gives its non-blank strings; any other valid JSON gives none;
     text that is not JSON is read line by line, bullets and quotes removed,
     keeping lines longer than five characters.
     """
+    reply = F.coalesce(text, F.lit(""))
     bare = F.transform(
         raw_lines(reply),
         lambda line: F.btrim(
