@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom import schemas
@@ -161,9 +161,18 @@ def topics(spark: SparkSession, path: str | None = None) -> DataFrame:
     )
 
 
+def _plain_path(encoded: Column) -> Column:
+    """A path as users write it: Spark reports file metadata percent-encoded."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def read_response_files(spark: SparkSession, path: str) -> DataFrame:
-    """Responses (task_id, model, text) from files named by round and model."""
-    name = F.col("_metadata.file_name")
+    """Responses (task_id, model, text) from files named by round and model.
+
+    Spark does not list empty files, so an empty file is like an absent one;
+    blank replies are written as a marker, never as an empty file.
+    """
+    name = _plain_path(F.col("_metadata.file_name"))
     return (
         spark.read.text(path, wholetext=True)
         .select(name.alias("name"), F.col("value").alias("text"))
@@ -185,7 +194,7 @@ def with_missing_files(grid: DataFrame) -> DataFrame:
 
 def read_train_log(spark: SparkSession, path: str) -> DataFrame:
     """Training log entries of trainer-state documents, ``run_id`` from the folder."""
-    folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+    folder = F.regexp_extract(_plain_path(F.col("_metadata.file_path")), "([^/]+)/[^/]+$", 1)
     return (
         spark.read.schema(schemas.TRAINER_STATE)
         .option("multiLine", True)
@@ -196,7 +205,7 @@ def read_train_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_run_configs(spark: SparkSession, path: str) -> DataFrame:
     """Run configurations with the base model, the run's own folder if none is named."""
-    file_path = F.col("_metadata.file_path")
+    file_path = _plain_path(F.col("_metadata.file_path"))
     folder = F.regexp_replace(file_path, "/[^/]+$", "")
     return (
         spark.read.schema(schemas.RUN_CONFIG)
