@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from examloom.functions.text import SPACE, let, lines, raw_lines, strip
 
 # The patterns and words that define the question format.
-# (?d) makes "." stop only at a line feed.
-ANSWER_LABEL = r"(?d)(答案|正確答案|解析|解釋)[:：].*"
-ANSWER_HINT = r"(?id)(正確為|正確選項|答案是|答案為|the correct answer is).*"
-MARK_SYMBOLS = r"[✓✔✗✘→←★⭐•＊*]+"
+# (?d) makes "." stop only at a line feed. Every line is cut at its first answer
+# label or hint; the look-ahead only lets the search skip other characters faster.
+ANSWER_TEXT = (
+    r"(?id)(?=[答正解t])"
+    r"(?:(?:答案|正確答案|解析|解釋)[:：]"
+    r"|正確為|正確選項|答案是|答案為|the correct answer is).*"
+)
+MARK_SYMBOLS = "✓✔✗✘→←★⭐•＊*"
 BRACKETED_VERDICT = r"(?id)\(.*?(正確|錯誤|correct|incorrect).*?\)"
 TITLE_PREFIX = rf"^題目[:：]?[{SPACE}]*"
 CONTENT_PREFIX = rf"(?d)^以下.*內容[:：][{SPACE}]*"
 VERSION_PREFIX = rf"(?d)^這.*版本[{SPACE}]*"
+TITLE_WORD = "題目"
 TITLE_HEADER = rf"###[{SPACE}]*題目[{SPACE}]*"
-NOISE_TOKENS = r"###|```|\$"
+NOISE_TOKENS = ("###", "```", "$")
 OPTION_LINE = rf"(?d)^\(?([A-Da-d])\)?[.)]?[{SPACE}]*(.*)"
 STRICT_OPTION_LINE = rf"(?d)^(?:\(([A-Da-d])\)|([A-Da-d])[.)])[{SPACE}]*(.*)"
 ARROWS = r"←|→|<-|->"
@@ -37,6 +42,10 @@ def _drop(col: Column, pattern: str) -> Column:
     return F.regexp_replace(col, pattern, "")
 
 
+def _drop_title(line: Column) -> Column:
+    return F.when(line.startswith(TITLE_WORD), _drop(line, TITLE_PREFIX)).otherwise(line)
+
+
 def scrub_mcq(col: Column, strict: bool = False) -> Column:
     """Remove answers, hints, marks and headers from a question text.
 
@@ -44,16 +53,16 @@ def scrub_mcq(col: Column, strict: bool = False) -> Column:
     which can take an option label with it; ``strict`` removes only brackets
     that hold no other bracket.
     """
-    out = _drop(col, ANSWER_LABEL)
-    out = _drop(out, ANSWER_HINT)
-    out = _drop(out, MARK_SYMBOLS)
+    out = _drop(col, ANSWER_TEXT)
+    out = F.translate(out, MARK_SYMBOLS, "")
     verdict = r"(?i)\([^()\n]*(正確|錯誤|correct|incorrect)[^()\n]*\)" if strict else BRACKETED_VERDICT
     out = _drop(out, verdict)
     out = _drop(out, TITLE_PREFIX)
     out = _drop(out, CONTENT_PREFIX)
     out = _drop(out, VERSION_PREFIX)
     out = _drop(out, TITLE_HEADER)
-    out = _drop(out, NOISE_TOKENS)
+    for token in NOISE_TOKENS:
+        out = F.replace(out, F.lit(token), F.lit(""))
     return F.replace(out, F.lit(LATEX_MOD), F.lit("mod"))
 
 
@@ -96,7 +105,7 @@ def extract_mcq(col: Column, strict: bool = False) -> Column:
     """
     content = F.transform(
         F.filter(F.transform(raw_lines(col), strip), lambda s: s != ""),
-        lambda s: _classify_line(_drop(s, TITLE_PREFIX), strict),
+        lambda s: _classify_line(_drop_title(s), strict),
     )
 
     def first_of(parsed: Column, key: str) -> Column:

@@ -17,6 +17,9 @@ WHITESPACE = (
 SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 FULL_WIDTH_DIGITS = "０１２３４５６７８９"
+DIGIT = "[0-9０-９]"
+# The same whitespace in the form that is fastest to search for its complement.
+NOT_SPACE = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -52,12 +55,12 @@ def lines(col: Column) -> Column:
 
 def ws_tokens(col: Column) -> Column:
     """Number of whitespace-separated tokens; null counts as 0."""
-    return F.coalesce(F.regexp_count(col, F.lit(f"[^{SPACE}]+")), F.lit(0))
+    return F.coalesce(F.regexp_count(col, F.lit(NOT_SPACE)), F.lit(0))
 
 
-def ascii_digits(col: Column) -> Column:
-    """Full-width digits written as ASCII ones."""
-    return F.translate(col, FULL_WIDTH_DIGITS, "0123456789")
+def to_int(digits: Column) -> Column:
+    """Matched digits, ASCII or full-width, as INT; null if empty or too large."""
+    return F.translate(digits, FULL_WIDTH_DIGITS, "0123456789").try_cast("int")
 
 
 def keyed_hash(seed: int, purpose: str, *keys: Column) -> Column:

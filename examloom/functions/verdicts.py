@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import SPACE, ascii_digits, let, raw_lines
+from examloom.functions.text import DIGIT, SPACE, let, to_int
 
 # Reply patterns, markers and default reasons.
-SCORE = rf"(?i)Score[:{SPACE}]*([0-9]+)"
-MULTI_SCORE = rf"(?i)Model[{SPACE}]*([0-9]+)[{SPACE}:]*Score?[{SPACE}:：-]*([0-9]+)"
+# A line score is the first one of its line: the rest of the line is passed over.
+BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+SCORE = rf"(?i)Score[:{SPACE}]*({DIGIT}+)"
+LINE_SCORE = rf"(?i)Score[:{SPACE}&&[^{BREAKS}]]*({DIGIT}+)[^{BREAKS}]*"
+MULTI_SCORE = rf"(?i)Model[{SPACE}]*({DIGIT}+)[{SPACE}:]*Score?[{SPACE}:：-]*({DIGIT}+)"
 FINAL_RATINGS = "Final Ratings:"
-WINNER_N = rf"(?i)Winner:[{SPACE}]*(Model[{SPACE}]*[0-9]+)"
-SPACED_LABEL = rf"(?i)^Model[{SPACE}]+([0-9]+)$"
+WINNER_N = rf"(?i)Winner:[{SPACE}]*(Model[{SPACE}]*{DIGIT}+)"
+SPACED_LABEL = rf"(?i)^Model[{SPACE}]+({DIGIT}+)$"
 JSON_OBJECT = r"(?s)(\{.*\})"
 PARSE_FAILED = "JSON parse failed"
 GATE_FAILED = "審查模型錯誤"
@@ -83,15 +86,20 @@ def parse_verdict_json(
     return let(parsed, shape)
 
 
+def _valid_score(digits: Column) -> Column:
+    value = to_int(digits)
+    return F.when(value.between(MIN_SCORE, MAX_SCORE), value).otherwise(F.lit(UNSCORED))
+
+
 def parse_score(reply: Column) -> Column:
     """First ``Score`` number if it lies in 1..10, else -1."""
-    value = F.regexp_extract(ascii_digits(reply), SCORE, 1).try_cast("int")
-    return F.when(value.between(MIN_SCORE, MAX_SCORE), value).otherwise(F.lit(UNSCORED))
+    return _valid_score(F.regexp_extract(reply, SCORE, 1))
 
 
 def parse_two_scores(reply: Column) -> Column:
     """STRUCT<a, b>: the first two valid line scores in order, -1 where missing."""
-    valid = F.filter(F.transform(raw_lines(reply), parse_score), lambda s: s != UNSCORED)
+    per_line = F.regexp_extract_all(reply, F.lit(LINE_SCORE), 1)
+    valid = F.filter(F.transform(per_line, _valid_score), lambda s: s != UNSCORED)
     return let(
         valid,
         lambda v: F.struct(
@@ -106,16 +114,12 @@ def parse_multi_scores(reply: Column, n_models: int) -> Column:
 
     The last score of a label wins; values are taken as they are.
     """
-    area = F.element_at(F.split(ascii_digits(reply), FINAL_RATINGS), -1)
+    area = F.element_at(F.split(reply, FINAL_RATINGS), -1)
 
     def collect(text: Column) -> Column:
         found = F.arrays_zip(
-            F.transform(
-                F.regexp_extract_all(text, F.lit(MULTI_SCORE), 1), lambda d: d.try_cast("int")
-            ).alias("label"),
-            F.transform(
-                F.regexp_extract_all(text, F.lit(MULTI_SCORE), 2), lambda d: d.try_cast("int")
-            ).alias("score"),
+            F.transform(F.regexp_extract_all(text, F.lit(MULTI_SCORE), 1), to_int).alias("label"),
+            F.transform(F.regexp_extract_all(text, F.lit(MULTI_SCORE), 2), to_int).alias("score"),
         )
 
         def last_per_label(pairs: Column) -> Column:
@@ -141,9 +145,12 @@ def parse_winner_n(reply: Column) -> Column:
     Null when no winner line is found, -1 when the label is written without a
     space and so names no known model.
     """
-    label = F.regexp_extract(ascii_digits(reply), WINNER_N, 1)
-    number = F.regexp_extract(label, SPACED_LABEL, 1).try_cast("int")
-    return F.when(label != "", F.coalesce(number, F.lit(UNKNOWN_LABEL)))
+
+    def number(label: Column) -> Column:
+        spaced = to_int(F.regexp_extract(label, SPACED_LABEL, 1))
+        return F.when(label != "", F.coalesce(spaced, F.lit(UNKNOWN_LABEL)))
+
+    return let(F.regexp_extract(reply, WINNER_N, 1), number)
 
 
 def parse_winner_ab(reply: Column) -> Column:

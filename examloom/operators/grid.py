@@ -6,6 +6,7 @@ parameter, not data, so everything built from it has a size known up front.
 
 from __future__ import annotations
 
+import json
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ ERROR_GENERATING = "[ERROR_GENERATING]"
 NO_OUTPUT = "No Output"
 
 MAX_MODELS = 200
+PAIR_LIST = "ARRAY<STRUCT<pair_id: INT, model_1: STRING, model_2: STRING, i: INT, j: INT>>"
 
 
 def check_models(models: list[str]) -> list[str]:
@@ -45,22 +47,27 @@ def model_array(models: list[str]) -> Column:
 def response_grid(tasks: DataFrame, models: list[str], responses: DataFrame) -> DataFrame:
     """One row per task and model with its response, null where there is none.
 
-    Tasks are multiplied by the model list inside each row; the responses are
-    reduced to one per cell on the join key first, so the join needs no further
-    shuffle and every cell is unique.
+    Responses are reduced to one slot per model and task, whatever the group
+    size, then met with their task and spread over the model list in the row.
+    The texts are shuffled once, by task, and the result stays partitioned so.
     """
-    cells = tasks.withColumn("model", F.explode(model_array(models)))
     extra = [c for c in responses.columns if c not in ("task_id", "model", "text")]
-    one_per_cell = (
-        responses.groupBy("task_id", "model")
-        .agg(F.max(F.struct("text", *extra)).alias("_r"))
-        .select("task_id", "model", "_r.*")
-        .withColumn("_present", F.lit(True))
+    response = F.struct("text", *extra)
+    wide = responses.groupBy("task_id").agg(
+        F.array(
+            *[F.max(F.when(F.col("model") == m, response)) for m in check_models(models)]
+        ).alias("_cells")
     )
+    cell = F.get("_cells", F.col("_pos"))
     return (
-        cells.join(one_per_cell, ["task_id", "model"], "left")
-        .withColumn("present", F.coalesce("_present", F.lit(False)))
-        .drop("_present")
+        tasks.join(wide, "task_id", "left")
+        .select(*tasks.columns, "_cells", F.posexplode(model_array(models)).alias("_pos", "model"))
+        .select(
+            *tasks.columns,
+            "model",
+            *[cell[c].alias(c) for c in ("text", *extra)],
+            cell.isNotNull().alias("present"),
+        )
     )
 
 
@@ -125,22 +132,16 @@ def pair_grid(grid: DataFrame, models: list[str], carry: tuple[str, ...] = ()) -
     """One row per task and model pair with both responses.
 
     Responses meet once per task, then the fixed pair list is exploded in the
-    row: one shuffle whatever the number of pairs.
+    row: no shuffle beyond that of the grid, whatever the number of pairs.
     """
     order = check_models(models)
     position = {m: i for i, m in enumerate(order)}
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("pair_id"),
-                F.lit(a).alias("model_1"),
-                F.lit(b).alias("model_2"),
-                F.lit(position[a]).alias("i"),
-                F.lit(position[b]).alias("j"),
-            )
-            for i, (a, b) in enumerate(model_pairs(order), start=1)
-        ]
-    )
+    rows = [
+        {"pair_id": n, "model_1": a, "model_2": b, "i": position[a], "j": position[b]}
+        for n, (a, b) in enumerate(model_pairs(order), start=1)
+    ]
+    # One literal for the whole list: the optimizer folds it to a constant array.
+    pairs = F.from_json(F.lit(json.dumps(rows)), PAIR_LIST)
     return (
         task_texts(grid, order, carry)
         .select("task_id", *carry, "texts", F.inline(pairs))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.functions.prompts import fill
-from examloom.functions.text import is_blank, keyed_index
+from examloom.functions.text import is_blank
 from examloom.operators.cleaning import resolve_review
 from examloom.functions.verdicts import parse_verdict_json
 
@@ -292,19 +292,18 @@ def generate_responses(
     client_factory: Callable[[str], Client],
     prompt_col: str = "prompt",
     partitions: int | None = None,
-    salt: int = 8,
     stage: Stage = Stage("response", "", on_error="error_row"),
     timed: bool = False,
     warm_up: bool = False,
 ) -> DataFrame:
     """Long responses table of a (task_id, model, prompt) grid.
 
-    Rows of a model are brought together, in ``salt`` parts so that one model
-    does not fill one task, and each partition loads its models one at a time.
+    Rows are ranged by model and task into even partitions: a model with many
+    rows fills several, small ones share one, and every partition loads its few
+    models one at a time.
     """
-    part = keyed_index(salt, 0, "salt", F.col("task_id"))
-    by = [F.col("model"), part]
-    spread = grid.repartition(partitions, *by) if partitions else grid.repartition(*by)
+    n = partitions or int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = grid.repartitionByRange(n, "model", F.xxhash64("task_id"))
     ask = _reply_udf(stage, client_factory, warm_up)
     called = spread.sortWithinPartitions("model").withColumn(
         "_reply", ask(F.col("model"), F.col(prompt_col))

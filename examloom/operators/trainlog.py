@@ -19,7 +19,14 @@ def loss_points(train_log: DataFrame) -> DataFrame:
 
 
 def _ranged(points: DataFrame, steps_per_range: int) -> DataFrame:
-    return points.withColumn("_range", F.floor(F.col("step") / steps_per_range))
+    """Points with their step range.
+
+    The null filter is what the join on these columns would add on one side
+    only; with it on both, the two sides share one shuffle.
+    """
+    return points.withColumn("_range", F.expr(f"step div {steps_per_range}")).where(
+        F.col("run_id").isNotNull() & F.col("_range").isNotNull()
+    )
 
 
 def _in_range() -> Window:

@@ -58,15 +58,14 @@ def augment_templates(
 ) -> DataFrame:
     """Grow the template list by one model call.
 
-    The seed list and the single reply are prompt-sized by nature; the
-    candidates in the reply are parsed and merged as a table.
+    All seeds go into one prompt, so they are brought to the driver: fewer than
+    ``target_total`` of them, as a list that long already is returned unchanged.
     """
     spark = seeds.sparkSession
-    seed_block = "\n".join(
-        f"- {r.template}" for r in seeds.select("ordinal", "template").orderBy("ordinal").collect()
-    )
     if seeds.count() >= target_total:
         return merge_templates(seeds, seeds.limit(0), target_total)
+    ordered = seeds.select("ordinal", "template").orderBy("ordinal").collect()
+    seed_block = "\n".join(f"- {row.template}" for row in ordered)
     prompt = instruction.replace("{seeds}", seed_block).replace(
         "{per_template}", str(per_template)
     )

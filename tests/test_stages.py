@@ -172,7 +172,7 @@ def test_generate_responses_loads_models_one_at_a_time(spark, tmp_path):
         (pathlib.Path(folder) / f"{uuid.uuid4().hex}.log").write_text(model + "\n")
         return lambda prompt: f"{model}:{prompt}"
 
-    done = stages.generate_responses(cells, factory, partitions=4, salt=4)
+    done = stages.generate_responses(cells, factory, partitions=4)
     rows = done.collect()
     assert len(rows) == 200 and all(r.text == f"{r.model}:p" and r.status == "ok" for r in rows)
     loads = calls_of(folder)

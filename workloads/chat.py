@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from examloom.functions.text import ws_tokens
 from examloom.operators import chat, records
 from examloom.schemas import CHAT_MESSAGES, STAGES
-from workloads.registry import query, sql_lines, sql_strip, sql_tokens, table
+from workloads.registry import query, sql_lines, sql_strip, sql_tokens, table, texts
 
 BUDGET = 120
 
@@ -136,7 +136,7 @@ def flag_over_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ws_tokens", f"SELECT doc_id, {sql_tokens('text')}::INTEGER AS n_tokens FROM documents")
 def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", ws_tokens(F.col("text")).alias("n_tokens")
     )
 
@@ -267,7 +267,7 @@ def flat_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("reason"),
         F.col("source").alias("final_question"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         F.expr("lang || ' - ' || source").alias("topic"),
         F.col("text").alias("original"),

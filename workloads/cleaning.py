@@ -17,6 +17,7 @@ from workloads.registry import (
     sql_lines,
     sql_strip,
     table,
+    texts,
 )
 
 SEED = 7
@@ -31,7 +32,7 @@ EXAM_SPARK = EXAM_SQL.replace("\\pmod", "\\\\pmod")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("exam", F.expr(EXAM_SPARK))
+    return texts(spark, sf_dir).withColumn("exam", F.expr(EXAM_SPARK))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +264,7 @@ verdicts AS (SELECT *, s <> '' AND json_valid(s) AS ok,
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "documents")
+        texts(spark, sf_dir)
         .join(table(spark, sf_dir, "labels"), "doc_id", "left")
         .select("doc_id", F.expr(REPLY_SQL.replace("''", "\\'")).alias("reply"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from examloom.functions.prompts import parse_candidates
 from examloom.plans import tasks
-from workloads.registry import query, sql_index, sql_lines, sql_strip, table
+from workloads.registry import query, sql_index, sql_lines, sql_strip, table, texts
 
 SEED = 11
 TARGET = 500
@@ -132,7 +132,7 @@ _BARE = (
     FROM (SELECT *, unnest(range(len(c))) AS i FROM parsed)""",
 )
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = table(spark, sf_dir, "documents").select(
+    replies = texts(spark, sf_dir).select(
         "doc_id", F.expr(CANDIDATES_SQL).alias("reply")
     )
     return replies.select(

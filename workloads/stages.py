@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from examloom.operators import stages
 from examloom.plans import flows
 from examloom.session import fresh_path, ship_packages, written
-from workloads.registry import query, sql_strip, sql_tokens, table
+from workloads import judging
+from workloads.registry import query, sql_strip, sql_tokens, table, texts
 
 
 class RefusedPrompt(Exception):
@@ -33,7 +34,7 @@ def _ship(spark: SparkSession) -> None:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return texts(spark, sf_dir).select("doc_id", "source", "text")
 
 
 _STAGE_SQL = f"""SELECT doc_id, source, p, failed,
@@ -118,7 +119,7 @@ RULES = {f"{s}_rules": f"rules of {s}" for s in CLIENTS}
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         F.col("doc_id").alias("task_id"), F.col("source").alias("topic"), F.col("text").alias("prompt")
     )
 
@@ -152,7 +153,7 @@ def generate_rich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MODELS = [f"src{i}" for i in range(20)]
+
 
 
 def model_client(model: str):
@@ -170,3 +171,175 @@ def generate_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("task_id"), F.col("source").alias("model"), F.col("text").alias("prompt")
     )
     return written(stages.generate_responses(cells, model_client), "responses").drop("latency_s")
+
+
+# The flat chain: generation falls back on empty replies, beautify fails, fix echoes.
+def _flat_clients() -> dict:
+    def broken(prompt: str) -> str:
+        raise RefusedPrompt("down")
+
+    def generate(prompt: str) -> str:
+        return "" if "src3」" in prompt else f"Q {len(prompt)}\n答案：B\n解析： because"
+
+    def review(prompt: str) -> str:
+        if len(prompt) % 3 == 0:
+            return "no verdict"
+        return '{"decision": "rewrite", "reason": "' + str(len(prompt)) + '", "final_question": ""}'
+
+    return {
+        "generate": lambda: generate,
+        "beautify": lambda: broken,
+        "review": lambda: review,
+        "fix": lambda: lambda prompt: prompt.split("\n", 1)[1],
+    }
+
+
+_FLAT_RULES = {f"{s}_rules": f"rules of {s}" for s in ("generate", "beautify", "review", "fix")}
+FLAT_SQL = """g AS (SELECT doc_id AS task_id, lang || '」' || source AS topic,
+  'rules of generate' || chr(10) || '請根據主題「' || lang || '」' || source || '」出一題。' AS p FROM documents),
+o AS (SELECT *, CASE WHEN contains(p, 'src3」') THEN '題目（回傳空白）請出與 ' || topic || ' 有關的題目。'
+  ELSE 'Q ' || length(p) || chr(10) || '答案：B' || chr(10) || '解析： because' END AS original FROM g),
+r AS (SELECT *, length('rules of review' || chr(10) || original) AS n FROM o)"""
+
+
+@query(
+    "generate_flat",
+    f"""WITH {FLAT_SQL} SELECT task_id, topic, original, original AS final,
+    CASE WHEN contains(p, 'src3」') THEN 'N/A' ELSE 'B' END AS answer,
+    CASE WHEN contains(p, 'src3」') THEN 'N/A' ELSE 'because' END AS explain,
+    CASE WHEN n % 3 = 0 THEN 'accept' ELSE 'rewrite' END AS decision,
+    CASE WHEN n % 3 = 0 THEN 'JSON parse error' ELSE n::VARCHAR END AS reason FROM r""",
+)
+def generate_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    tasks = texts(spark, sf_dir).select(
+        F.col("doc_id").alias("task_id"), F.expr("lang || '」' || source").alias("topic")
+    )
+    done = flows.generate_flat(
+        tasks, _flat_clients(), _FLAT_RULES, fresh_path(spark, "generate-flat")
+    )
+    return done.drop("review_json")
+
+
+def longest_wins_ab():
+    """Judge of two blocks: the longer one, a tie when equal."""
+
+    def ask(prompt: str) -> str:
+        a, _, b = prompt.partition("=== Response B ===\n")
+        size_a, size_b = len(a) - len("=== Response A ===\n\n\n"), len(b) - len("\n\n")
+        side = "Tie" if size_a == size_b else "A" if size_a > size_b else "B"
+        return f"compared.\nWinner: {side}"
+
+    return ask
+
+
+@query(
+    "pairwise_tournament",
+    f"""WITH {judging.PAIRS_SQL},
+    won AS (SELECT *, CASE WHEN length(text_1) = length(text_2) THEN 'Tie'
+      WHEN length(text_1) > length(text_2) THEN model_1 ELSE model_2 END AS winner FROM pairs),
+    sides AS (SELECT model_1 AS model, winner FROM won UNION ALL SELECT model_2, winner FROM won)
+    SELECT pos::INTEGER AS pos, m.model, count(*) FILTER (WHERE winner = m.model) AS wins,
+      count(*) FILTER (WHERE winner = 'Tie') AS ties, count(*) AS matches,
+      count(*) FILTER (WHERE winner = m.model) * 100.0::DOUBLE / count(*) AS win_rate
+    FROM models m JOIN sides s ON s.model = m.model GROUP BY pos, m.model""",
+)
+def pairwise_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    tasks = judging.tasks(spark, sf_dir).withColumn("prompt", F.col("topic"))
+    _, board = flows.pairwise_tournament(
+        judging.responses(spark, sf_dir), tasks, judging.MODELS, longest_wins_ab, "{responses}",
+        judging.SEED, fresh_path(spark, "pairwise"),
+    )
+    return board
+
+
+def _blocks(prompt: str) -> dict[int, str]:
+    """Label to text of a labelled judge prompt."""
+    import re
+
+    parts = re.split(r"=== Model (\d+) ===\n", prompt)
+    return {int(label): body.removesuffix("\n\n") for label, body in zip(parts[1::2], parts[2::2])}
+
+
+def longest_wins_n():
+    def ask(prompt: str) -> str:
+        blocks = _blocks(prompt)
+        top = max(len(b) for b in blocks.values())
+        leaders = [label for label, b in blocks.items() if len(b) == top]
+        return f"Winner: Model {leaders[0]}" if len(leaders) == 1 else "no single winner"
+
+    return ask
+
+
+@query(
+    "best_of_n_tournament",
+    f"""WITH {judging.CELLS_SQL}, {judging.MODELS_SQL},
+    sized AS (SELECT *, length(CASE text WHEN '[ERROR_GENERATING]' THEN '[ERROR]' ELSE text END) AS n FROM cells),
+    top AS (SELECT *, max(n) OVER (PARTITION BY task_id) AS best FROM sized),
+    leaders AS (SELECT task_id, min(model) AS model FROM top WHERE n = best GROUP BY task_id HAVING count(*) = 1)
+    SELECT pos::INTEGER AS pos, m.model, count(l.task_id) AS wins,
+      (SELECT count(DISTINCT task_id) FROM cells) AS tasks,
+      count(l.task_id) * 100.0::DOUBLE / (SELECT count(DISTINCT task_id) FROM cells) AS win_rate
+    FROM models m LEFT JOIN leaders l ON l.model = m.model GROUP BY pos, m.model""",
+)
+def best_of_n_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    tasks = judging.tasks(spark, sf_dir).withColumn("prompt", F.col("topic"))
+    _, board = flows.best_of_n_tournament(
+        judging.responses(spark, sf_dir), tasks, judging.MODELS, longest_wins_n, "{responses}",
+        judging.SEED, fresh_path(spark, "best-of-n"),
+    )
+    return board
+
+
+def rates_by_size():
+    """Rates every text by its size, leaving out those that rate 0."""
+
+    def ask(prompt: str) -> str:
+        rated = {label: len(b) % 11 for label, b in _blocks(prompt).items()}
+        return "Final Ratings:\n" + "\n".join(f"Model {k} Score: {v}" for k, v in rated.items() if v)
+
+    return ask
+
+
+@query(
+    "multi_judge",
+    f"""WITH {judging.RAW_SQL}, {judging.shuffled_sql('raw')},
+    sized AS (SELECT task_id, model, length(CASE WHEN NOT present THEN 'No Output' ELSE text END) % 11 AS n FROM raw)
+    SELECT task_id, label, model, CASE WHEN n = 0 THEN -1 ELSE n END::INTEGER AS score
+    FROM sized JOIN labels_of USING (task_id, model)""",
+)
+def multi_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    tasks = judging.tasks(spark, sf_dir).withColumn("prompt", F.col("topic"))
+    scores = flows.multi_judge(
+        judging.responses(spark, sf_dir), tasks, judging.MODELS, rates_by_size, "{responses}",
+        judging.SEED, fresh_path(spark, "multi-judge"),
+    )
+    return scores.select("task_id", "label", "model", "score")
+
+
+def scores_by_size():
+    def ask(prompt: str) -> str:
+        a, _, b = prompt.removeprefix("A:\n").partition("\n\nB:\n")
+        return f"Score: {len(a) % 10 + 1}\nScore: {len(b.removesuffix(chr(10) * 2)) % 10 + 1}"
+
+    return ask
+
+
+@query(
+    "two_arm_comparison",
+    """SELECT count(*) AS rounds, sum(length(text) % 10 + 1)::BIGINT AS total_x,
+    sum(length(html) % 10 + 1)::BIGINT AS total_y FROM documents JOIN pages ON page_id = doc_id""",
+)
+def two_arm_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    x = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("task_id"), "text")
+    y = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("task_id"), F.col("html").alias("text")
+    )
+    _, totals = flows.two_arm_comparison(
+        x, y, scores_by_size, "{responses}", judging.SEED, fresh_path(spark, "two-arm")
+    )
+    return totals
