@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from examloom import schemas
 from examloom.functions.text import is_blank, model_name, strip
 from examloom.operators.grid import NO_OUTPUT
+from examloom.session import written
 
 # The built-in catalogues used when no file is given.
 SMALL_TOPICS = (
@@ -73,8 +74,10 @@ def valid_prefix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantined) lines of JSONL files; a missing path gives no lines.
 
     Per file, lines before the first corrupt one are valid, that line and all
-    after it are quarantined; blank lines are skipped. One small row per
-    damaged file is joined back; nothing is rewritten.
+    after it are quarantined; blank lines are skipped. The places of the first
+    corrupt lines, one row per damaged file, are written first: the join then
+    knows their size and moves the lines only if there are very many. The input
+    files are not changed.
     """
     try:
         found = _text_lines(spark, path)
@@ -87,7 +90,7 @@ def valid_prefix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     numbered = found.where(~is_blank(F.col("line"))).withColumn("line", strip(F.col("line")))
     checked = numbered.withColumn("ok", F.coalesce(F.size(parsed) == 1, F.lit(False)))
     first_bad = checked.where(~F.col("ok")).groupBy("file").agg(F.min("place").alias("_bad"))
-    placed = numbered.join(first_bad, "file", "left")
+    placed = numbered.join(written(first_bad, "first-bad"), "file", "left")
     before = F.col("_bad").isNull() | (F.col("place") < F.col("_bad"))
     return (
         placed.where(before).select("file", "line"),
