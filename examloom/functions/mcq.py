@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import SPACE, let, lines, raw_lines, strip
+from examloom.functions.text import BREAKS, SPACE, let, one_break, strip
 
 # The patterns and words that define the question format.
 # (?d) makes "." stop only at a line feed. Every line is cut at its first answer
@@ -20,11 +20,8 @@ BRACKETED_VERDICT = r"(?id)\(.*?(正確|錯誤|correct|incorrect).*?\)"
 TITLE_PREFIX = rf"^題目[:：]?[{SPACE}]*"
 CONTENT_PREFIX = rf"(?d)^以下.*內容[:：][{SPACE}]*"
 VERSION_PREFIX = rf"(?d)^這.*版本[{SPACE}]*"
-TITLE_WORD = "題目"
 TITLE_HEADER = rf"###[{SPACE}]*題目[{SPACE}]*"
 NOISE_TOKENS = ("###", "```", "$")
-OPTION_LINE = rf"(?d)^\(?([A-Da-d])\)?[.)]?[{SPACE}]*(.*)"
-STRICT_OPTION_LINE = rf"(?d)^(?:\(([A-Da-d])\)|([A-Da-d])[.)])[{SPACE}]*(.*)"
 ARROWS = r"←|→|<-|->"
 OPTION_VERDICT = r"(?d)(正確|最佳選項|最合適).*"
 LATEX_MOD = r"\pmod"
@@ -37,13 +34,21 @@ EXPLAIN_WORD = "解析"
 FLAT_FIELD = "資訊工程"
 DEFAULT_SUBJECT = "資料結構"
 
+# Searches over a whole text that act per line: a line starts after a line feed,
+# white space and a title before its content are passed over.
+_GAP = rf"[{SPACE}&&[^\n]]*+"
+_LINE = f"(?md)^{_GAP}(?:題目[:：]?{_GAP})?+"
+_ANSWER_LINE = f"(?md)^(?:{ANSWER_WORD}|{EXPLAIN_WORD}).*\\n?"
 
-def _drop(col: Column, pattern: str) -> Column:
-    return F.regexp_replace(col, pattern, "")
 
+def _option(letters: str, strict: bool) -> str:
+    """Pattern of the start of a line that opens one of the options ``letters``."""
+    label = rf"(?:\([{letters}]\)|[{letters}][.)])" if strict else rf"\(?[{letters}]\)?[.)]?"
+    return _LINE + label
 
-def _drop_title(line: Column) -> Column:
-    return F.when(line.startswith(TITLE_WORD), _drop(line, TITLE_PREFIX)).otherwise(line)
+
+def _drop(col: Column, pattern: str) -> Column:
+    return F.regexp_replace(col, pattern, "")
 
 
 def scrub_mcq(col: Column, strict: bool = False) -> Column:
@@ -77,23 +82,13 @@ def _option_text(col: Column) -> Column:
     return normalize_option(strip(_drop(without_arrows, OPTION_VERDICT)))
 
 
-def _classify_line(line: Column, strict: bool) -> Column:
-    """(key, text) of one stripped line; key is empty for a stem line."""
-    if strict:
-        key = F.concat(
-            F.regexp_extract(line, STRICT_OPTION_LINE, 1),
-            F.regexp_extract(line, STRICT_OPTION_LINE, 2),
-        )
-        text = F.regexp_extract(line, STRICT_OPTION_LINE, 3)
-    else:
-        key = F.regexp_extract(line, OPTION_LINE, 1)
-        text = F.regexp_extract(line, OPTION_LINE, 2)
-    return let(
-        F.upper(key),
-        lambda k: F.struct(
-            k.alias("key"), F.when(k == "", line).otherwise(text).alias("text")
-        ),
+def _stem(before_options: Column) -> Column:
+    """Non-blank lines, stripped and without title, joined by one space."""
+    content = F.filter(F.transform(F.split(before_options, "\n"), strip), lambda s: s != "")
+    untitled = F.transform(
+        content, lambda s: F.when(s.startswith("題目"), _drop(s, TITLE_PREFIX)).otherwise(s)
     )
+    return _drop(strip(F.array_join(untitled, " ")), TITLE_PREFIX)
 
 
 def extract_mcq(col: Column, strict: bool = False) -> Column:
@@ -102,30 +97,24 @@ def extract_mcq(col: Column, strict: bool = False) -> Column:
     A line that starts like an option opens one; the first line per letter
     counts, lines before the first option form the stem. Missing options are
     empty. ``strict`` needs a bracket or punctuation after the letter.
-    """
-    content = F.transform(
-        F.filter(F.transform(raw_lines(col), strip), lambda s: s != ""),
-        lambda s: _classify_line(_drop_title(s), strict),
-    )
 
-    def first_of(parsed: Column, key: str) -> Column:
-        return F.try_element_at(F.filter(parsed, lambda p: p.key == key), F.lit(1)).text
+    Options are searched for in the text as a whole; only the lines of the stem
+    are taken apart.
+    """
 
-    def assemble(parsed: Column) -> Column:
-        first_option = F.array_position(F.transform(parsed, lambda p: p.key != ""), True)
-        stem_lines = F.when(first_option == 0, parsed).otherwise(
-            F.slice(parsed, F.lit(1), F.greatest(first_option.cast("int") - 1, F.lit(0)))
-        )
-        stem = _drop(
-            strip(F.array_join(F.transform(stem_lines, lambda p: p.text), " ")), TITLE_PREFIX
-        )
+    def parts(text: Column) -> Column:
+        before_options = F.split(text, _option("A-Da-d", strict), 2)[0]
         options = [
-            F.coalesce(_option_text(first_of(parsed, key)), F.lit("")).alias(key)
+            _option_text(
+                F.regexp_extract(text, f"{_option(key + key.lower(), strict)}{_GAP}(.*)", 1)
+            ).alias(key)
             for key in OPTION_KEYS
         ]
-        return F.struct(stem.alias("stem"), F.struct(*options).alias("options"))
+        return F.struct(
+            _stem(before_options).alias("stem"), F.struct(*options).alias("options")
+        )
 
-    return let(content, assemble)
+    return let(one_break(col), parts)
 
 
 def mcq_json(mcq: Column) -> Column:
@@ -146,10 +135,10 @@ def mcq_json(mcq: Column) -> Column:
 
 
 def _labelled_line(col: Column, word: str) -> Column:
-    first = F.try_element_at(
-        F.filter(raw_lines(col), lambda line: line.startswith(word)), F.lit(1)
-    )
-    return F.coalesce(strip(F.replace(first, F.lit(f"{word}："), F.lit(""))), F.lit("N/A"))
+    # The word is searched for first and then must be at the start of its line.
+    line = F.regexp_extract(col, f"({word}(?<![^{BREAKS}]{word})[^{BREAKS}]*)", 1)
+    text = strip(F.replace(line, F.lit(f"{word}："), F.lit("")))
+    return F.when(line != "", text).otherwise(F.lit("N/A"))
 
 
 def answer_line(col: Column) -> Column:
@@ -164,11 +153,7 @@ def explain_line(col: Column) -> Column:
 
 def strip_answer_lines(col: Column) -> Column:
     """Drop every line that starts with the answer or explanation word."""
-    kept = F.filter(
-        lines(col),
-        lambda line: ~(line.startswith(ANSWER_WORD) | line.startswith(EXPLAIN_WORD)),
-    )
-    return strip(F.array_join(kept, "\n"))
+    return strip(_drop(one_break(col), _ANSWER_LINE))
 
 
 def subject_prefixed(topic: Column) -> Column:

@@ -15,6 +15,8 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BREAKS = "\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029"
+RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 FULL_WIDTH_DIGITS = "０１２３４５６７８９"
 DIGIT = "[0-9０-９]"
@@ -53,6 +55,12 @@ def lines(col: Column) -> Column:
     )
 
 
+def one_break(col: Column) -> Column:
+    """Every line break written as a line feed, so that searches need only look for that."""
+    plain = F.replace(col, F.lit("\r\n"), F.lit("\n"))
+    return F.translate(plain, RARE_BREAKS, "\n" * len(RARE_BREAKS))
+
+
 def ws_tokens(col: Column) -> Column:
     """Number of whitespace-separated tokens; null counts as 0."""
     return F.coalesce(F.regexp_count(col, F.lit(NOT_SPACE)), F.lit(0))

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import DIGIT, SPACE, let, to_int
+from examloom.functions.text import BREAKS, DIGIT, SPACE, let, to_int
 
 # Reply patterns, markers and default reasons.
 # A line score is the first one of its line: the rest of the line is passed over.
-BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 SCORE = rf"(?i)Score[:{SPACE}]*({DIGIT}+)"
 LINE_SCORE = rf"(?i)Score[:{SPACE}&&[^{BREAKS}]]*({DIGIT}+)[^{BREAKS}]*"
 MULTI_SCORE = rf"(?i)Model[{SPACE}]*({DIGIT}+)[{SPACE}:]*Score?[{SPACE}:：-]*({DIGIT}+)"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from examloom.functions.prompts import fill
 from examloom.functions.text import keyed_hash, keyed_index
-from examloom.operators.grid import check_models
+from examloom.operators.grid import model_array
 
 # Names of outcomes without a model.
 TIE = "Tie"
@@ -48,11 +48,9 @@ def blind_pairs(pairs: DataFrame, seed: int) -> DataFrame:
 
 def shuffled_models(models: list[str], seed: int, task: Column) -> Column:
     """The models of one task in blind order: label ``i`` is element ``i``."""
-    keyed = F.array(
-        *[
-            F.struct(keyed_hash(seed, "shuffle", task, F.lit(m)).alias("h"), F.lit(m).alias("m"))
-            for m in check_models(models)
-        ]
+    keyed = F.transform(
+        model_array(models),
+        lambda m: F.struct(keyed_hash(seed, "shuffle", task, m).alias("h"), m.alias("m")),
     )
     return F.transform(F.array_sort(keyed), lambda s: s.m)
 

@@ -21,16 +21,13 @@ ERROR = "[ERROR]"
 ERROR_GENERATING = "[ERROR_GENERATING]"
 NO_OUTPUT = "No Output"
 
-MAX_MODELS = 200
 PAIR_LIST = "ARRAY<STRUCT<pair_id: INT, model_1: STRING, model_2: STRING, i: INT, j: INT>>"
 
 
 def check_models(models: list[str]) -> list[str]:
-    """The model list, refused if names repeat or the list is out of proportion."""
-    if len(set(models)) != len(models):
-        raise ValueError("model names must be unique")
-    if not 0 < len(models) <= MAX_MODELS:
-        raise ValueError(f"between 1 and {MAX_MODELS} models can be compared")
+    """The model list, refused when empty or with a name that stands for two models."""
+    if not models or len(set(models)) != len(models):
+        raise ValueError("model names must be given and unique")
     return list(models)
 
 

@@ -57,8 +57,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = schemas.GEN_RECORD)
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their file and a number that rises with the position in the file."""
     return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
+        spark.read.text(path)
         .select(
             F.col("value").alias("line"),
             F.col("_metadata.file_path").alias("file"),
