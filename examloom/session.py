@@ -17,8 +17,10 @@ def build_session(
     """A session with the settings the operators are designed for.
 
     Adaptive execution chooses joins by measured size, splits skewed join
-    partitions and coalesces small ones. ``master`` and ``shuffle_partitions``
-    are for local runs; a cluster supplies its own.
+    partitions and coalesces small ones. Recording a Python call site for every
+    column is turned off, as it takes most of the time of building a plan.
+    ``master`` and ``shuffle_partitions`` are for local runs; a cluster
+    supplies its own.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -26,6 +28,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
