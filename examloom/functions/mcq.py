@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import BREAKS, SPACE, let, one_break, strip
+from examloom.functions.text import BREAKS, SPACE, json_string, let, one_break, strip
 
 # The patterns and words that define the question format.
 # (?d) makes "." stop only at a line feed. Every line is cut at its first answer
@@ -121,8 +121,7 @@ def mcq_json(mcq: Column) -> Column:
     """The question struct as JSON text indented by two spaces."""
 
     def quoted(value: Column) -> Column:
-        wrapped = F.to_json(F.struct(F.coalesce(value, F.lit("")).alias("v")))
-        return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+        return json_string(F.coalesce(value, F.lit("")))
 
     body = [F.lit('{\n  "stem": '), quoted(mcq.stem), F.lit(',\n  "options": {\n')]
     for i, key in enumerate(OPTION_KEYS):

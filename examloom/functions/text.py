@@ -84,6 +84,13 @@ def keyed_index(n: int | Column, seed: int, purpose: str, *keys: Column) -> Colu
     return F.pmod(first_32_bits.cast("bigint"), size.cast("bigint"))
 
 
+def json_string(col: Column) -> Column:
+    """A text as a quoted JSON string, non-ASCII kept; null becomes ``null``."""
+    wrapped = F.to_json(F.struct(col.alias("v")))
+    quoted = F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return F.when(col.isNull(), F.lit("null")).otherwise(quoted)
+
+
 def log_text(col: Column, max_chars: int = 10000) -> Column:
     r"""One-line log form: newline written as ``\n``, first ``max_chars``."""
     return F.substring(F.replace(col, F.lit("\n"), F.lit("\\n")), 1, max_chars)

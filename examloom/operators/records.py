@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.functions.mcq import answer_line, explain_line
+from examloom.functions.text import json_string
 from examloom.schemas import STAGES, TOKEN_FIELDS, TOKENS
 
 # Log headers and the user turn of flat records.
@@ -62,6 +63,14 @@ def assemble_record(stages: DataFrame) -> DataFrame:
     )
 
 
+def _review_json(review: Column) -> Column:
+    fields = [
+        F.concat(F.lit(f'"{name}": '), json_string(review[name]))
+        for name in ("decision", "reason", "final_question")
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+
+
 def assemble_flat(stages: DataFrame) -> DataFrame:
     """Flat records from ``topic``, ``original``, ``fixed`` and a ``review`` struct."""
     return stages.select(
@@ -73,7 +82,7 @@ def assemble_flat(stages: DataFrame) -> DataFrame:
         explain_line(F.col("fixed")).alias("explain"),
         F.col("review.decision").alias("decision"),
         F.col("review.reason").alias("reason"),
-        F.to_json("review", {"ignoreNullFields": "false"}).alias("review_json"),
+        _review_json(F.col("review")).alias("review_json"),
     )
 
 

@@ -138,8 +138,8 @@ def _reply_udf(stage: Stage, factory: Callable[[str], Client], warm_up: bool) ->
                 if client is None or name != model:
                     client, model = None, name
                     client = factory(name)
-                    if warm_up:
-                        call_once(client, prompt, stage)
+                if warm_up:
+                    call_once(client, prompt, stage)
                 rows.append(call_once(client, prompt, stage))
             out = pd.DataFrame(rows, columns=columns)
             for c in ("out_tokens", "in_tokens"):
@@ -160,8 +160,9 @@ def apply_stage(
     """Add ``<name>_text``, ``_in``, ``_out`` and ``_error`` (``_latency_s`` if timed).
 
     Rows that carry an ``_error`` from an earlier stage are not sent. ``rules``
-    gives fixed texts for names in the prompt. The result is lazy; write it
-    before using it twice.
+    gives fixed texts for names in the prompt. ``warm_up`` asks every prompt
+    once untimed before the timed call. The result is lazy; write it before
+    using it twice.
     """
     if stage.on_error not in ON_ERROR:
         raise ValueError(f"unknown on_error {stage.on_error!r}")

@@ -115,11 +115,16 @@ def best_of_n_tournament(
     rubric: str,
     seed: int,
     path: str,
+    failed_models: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """(judged tasks, board) where one winner is chosen among all models."""
-    cells = grid.fill_blank_response(
+    """(judged tasks, board) where one winner is chosen among all models.
+
+    All responses of ``failed_models`` count as errors, also those they gave.
+    """
+    given = grid.fill_blank_response(
         grid.response_grid(tasks, models, responses), missing_marker=grid.ERROR
     )
+    cells = grid.fail_whole_models(given, list(failed_models))
     prompts = blinding.judge_prompts_n(
         blinding.blind_n(cells, models, seed), len(models), rubric, ("topic", "prompt")
     )

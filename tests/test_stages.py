@@ -141,10 +141,21 @@ def test_retry_and_error_modes(spark):
 
 
 def test_tokens_and_timing(spark):
+    def counting():
+        seen = []
+
+        def ask(prompt):
+            seen.append(prompt)
+            return str(len(seen))
+
+        return ask
+
     df = spark.createDataFrame([(1, "a b c")], "id INT, q STRING")
     stage = stages.Stage("s", "{q}")
     row = stages.apply_stage(df, stage, lambda: lambda p: " x y ", timed=True, warm_up=True).first()
     assert (row.s_text, row.s_in, row.s_out) == ("x y", 3, 2) and row.s_latency_s >= 0
+    calls = stages.apply_stage(df, stage, counting, timed=True, warm_up=True).first()
+    assert calls.s_text == "2"
     row = stages.apply_stage(df, stage, lambda: lambda p: stages.Reply(None, 5, 6)).first()
     assert (row.s_text, row.s_in, row.s_out) == ("", 6, 5)
 

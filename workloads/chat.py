@@ -71,10 +71,6 @@ def to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _json_string(expr: str) -> str:
-    return f"to_json({expr})::VARCHAR"
-
-
 @query(
     "to_messages_mcq",
     """SELECT doc_id, '{' || chr(10) || '  "stem": ' || to_json(text)::VARCHAR || ',' || chr(10)
@@ -265,7 +261,7 @@ def flat_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = F.struct(
         F.lit("accept").alias("decision"),
         F.col("lang").alias("reason"),
-        F.col("source").alias("final_question"),
+        F.col("text").alias("final_question"),
     )
     return texts(spark, sf_dir).select(
         "doc_id",
@@ -286,7 +282,8 @@ FLAT_SQL = f"""flat AS (SELECT *, lang || ' - ' || source AS topic, {FIXED_SQL}
 assembled AS (SELECT doc_id, topic, text AS original, fixed AS final,
   {_first_line('答案')} AS answer, {_first_line('解析')} AS explain,
   'accept' AS decision, lang AS reason,
-  '{{"decision":"accept","reason":"' || lang || '","final_question":"' || source || '"}}' AS review_json
+  '{{"decision": "accept", "reason": ' || to_json(lang)::VARCHAR || ', "final_question": '
+    || to_json(text)::VARCHAR || '}}' AS review_json
   FROM flat)"""
 
 
