@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import let, raw_lines, strip
+from examloom.functions.text import is_json, raw_lines, strip
 
 TOPIC_SLOT = "{topic}"
 MIN_LINE_CHARS = 5
@@ -49,6 +49,7 @@ def parse_candidates(text: Column) -> Column:
     keeping lines longer than five characters.
     """
     reply = F.coalesce(text, F.lit(""))
+    no_strings = F.array().cast("array<string>")
     bare = F.transform(
         raw_lines(reply),
         lambda line: F.btrim(
@@ -57,23 +58,14 @@ def parse_candidates(text: Column) -> Column:
     )
     from_lines = F.filter(bare, lambda s: F.length(s) > MIN_LINE_CHARS)
 
-    as_json = F.from_json(
-        F.concat(F.lit("["), reply, F.lit("]")), "ARRAY<VARIANT>", {"allowSingleQuotes": "false"}
-    )
-
-    def from_json_value(value: Column) -> Column:
-        items = F.try_variant_get(value, "$", "array<variant>")
-        texts = F.transform(
-            F.filter(items, lambda v: F.schema_of_variant(v) == "STRING"),
-            lambda v: strip(F.try_variant_get(v, "$", "string")),
-        )
-        return F.coalesce(
-            F.filter(texts, lambda s: s != ""), F.array().cast("array<string>")
-        )
-
-    return let(
-        as_json,
-        lambda values: F.when(
-            F.size(values) == 1, from_json_value(F.try_element_at(values, F.lit(1)))
-        ).otherwise(from_lines),
+    items = F.from_json(reply, "ARRAY<VARIANT>", {"allowSingleQuotes": "false"})
+    strings = F.transform(
+        F.filter(items, lambda v: F.schema_of_variant(v) == "STRING"),
+        lambda v: strip(F.try_variant_get(v, "$", "string")),
     )
+    from_array = F.filter(strings, lambda s: s != "")
+    is_array = strip(reply).startswith("[")
+    return F.when(
+        is_json(reply),
+        F.when(is_array, F.coalesce(from_array, no_strings)).otherwise(no_strings),
+    ).otherwise(from_lines)

@@ -84,6 +84,17 @@ def keyed_index(n: int | Column, seed: int, purpose: str, *keys: Column) -> Colu
     return F.pmod(first_32_bits.cast("bigint"), size.cast("bigint"))
 
 
+def is_json(col: Column) -> Column:
+    """True when the text is exactly one strict JSON value.
+
+    Read as a one-element array, so that text after the value is noticed; a
+    repeated key is allowed.
+    """
+    wrapped = F.concat(F.lit("["), col, F.lit("]"))
+    values = F.from_json(wrapped, "ARRAY<STRING>", {"allowSingleQuotes": "false"})
+    return F.coalesce(F.size(values) == 1, F.lit(False))
+
+
 def json_string(col: Column) -> Column:
     """A text as a quoted JSON string, non-ASCII kept; null becomes ``null``."""
     wrapped = F.to_json(F.struct(col.alias("v")))

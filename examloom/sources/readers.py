@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom import schemas
-from examloom.functions.text import is_blank, model_name, strip
+from examloom.functions.text import is_blank, is_json, model_name, strip
 from examloom.operators.grid import NO_OUTPUT
 from examloom.session import written
 
@@ -83,12 +83,9 @@ def valid_prefix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     except AnalysisException:
         empty = spark.createDataFrame([], "file STRING, line STRING")
         return empty, empty
-    parsed = F.from_json(
-        F.concat(F.lit("["), "line", F.lit("]")), "ARRAY<VARIANT>", {"allowSingleQuotes": "false"}
-    )
     numbered = found.where(~is_blank(F.col("line"))).withColumn("line", strip(F.col("line")))
-    checked = numbered.withColumn("ok", F.coalesce(F.size(parsed) == 1, F.lit(False)))
-    first_bad = checked.where(~F.col("ok")).groupBy("file").agg(F.min("place").alias("_bad"))
+    corrupt = numbered.where(~is_json(F.col("line")))
+    first_bad = corrupt.groupBy("file").agg(F.min("place").alias("_bad"))
     placed = numbered.join(written(first_bad, "first-bad"), "file", "left")
     before = F.col("_bad").isNull() | (F.col("place") < F.col("_bad"))
     return (

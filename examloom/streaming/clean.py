@@ -26,9 +26,11 @@ def stream_clean(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read once for both outputs
         clean, removed = split_keep_removed(batch)
         write_jsonl(clean, f"{clean_dir}/batch={batch_id}", "overwrite")
         write_jsonl(removed, f"{removed_dir}/batch={batch_id}", "overwrite")
+        batch.unpersist()
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:

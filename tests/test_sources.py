@@ -13,6 +13,7 @@ def test_valid_prefix(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n", encoding="utf-8")
     (tmp_path / "b.jsonl").write_text('[1]\n5\n"x"\nNaN\n\n', encoding="utf-8")
     (tmp_path / "c.jsonl").write_text("{'a': 1}\n{}\n", encoding="utf-8")
+    (tmp_path / "d.jsonl").write_text('{"a": 1, "a": 2}\r\nnull\n{"b": {}} {}\n', encoding="utf-8")
     valid, bad = readers.valid_prefix(spark, str(tmp_path / "*.jsonl"))
 
     def by_file(df):
@@ -20,12 +21,13 @@ def test_valid_prefix(spark, tmp_path):
 
     assert by_file(valid) == [
         ("a.jsonl", '{"a": 1}'), ("a.jsonl", '{"a": 2}'), ("b.jsonl", '"x"'), ("b.jsonl", "5"),
-        ("b.jsonl", "NaN"), ("b.jsonl", "[1]"),
+        ("b.jsonl", "NaN"), ("b.jsonl", "[1]"), ("d.jsonl", "null"), ("d.jsonl", '{"a": 1, "a": 2}'),
     ]
     assert by_file(bad) == [
         ("a.jsonl", '{"a":'), ("a.jsonl", '{"a": 3}'), ("c.jsonl", "{'a': 1}"), ("c.jsonl", "{}"),
+        ("d.jsonl", '{"b": {}} {}'),
     ]
-    assert readers.valid_count(valid).first().n_valid == 6
+    assert readers.valid_count(valid).first().n_valid == 8
 
 
 def test_valid_prefix_of_a_file_in_many_splits(spark, tmp_path):

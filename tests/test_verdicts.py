@@ -91,8 +91,10 @@ def test_candidates(apply):
     replies = [
         '["a {topic}", " b ", "", 5]', '{"a": ["long enough"]}', '"a long string"', "",
         "- abc {topic}\n* -x\n  -- 'quoted line' \n\"zzzzzz\"", "['single quoted list']", None,
+        '{"a": 1, "a": 2}', '["one", "two"] and more text', "12345678",
     ]
     assert apply(parse_candidates, replies) == [
         ["a {topic}", "b"], [], [], [],
         ["abc {topic}", "quoted line", "zzzzzz"], ["['single quoted list']"], [],
+        [], ['["one", "two"] and more text'], [],
     ]
