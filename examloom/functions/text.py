@@ -44,17 +44,6 @@ def raw_lines(col: Column) -> Column:
     return F.split(col, LINE_BREAK)
 
 
-def lines(col: Column) -> Column:
-    """Lines of a text: one trailing empty element is dropped, ``""`` has none."""
-    return let(
-        raw_lines(col),
-        lambda parts: F.when(
-            F.try_element_at(parts, F.lit(-1)) == "",
-            F.slice(parts, F.lit(1), F.size(parts) - 1),
-        ).otherwise(parts),
-    )
-
-
 def one_break(col: Column) -> Column:
     """Every line break written as a line feed, so that searches need only look for that."""
     plain = F.replace(col, F.lit("\r\n"), F.lit("\n"))

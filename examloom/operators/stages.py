@@ -226,7 +226,7 @@ def replay_stage(df: DataFrame, stage: Stage, replies: DataFrame, key: str) -> D
 
 
 def stored_once(
-    todo: DataFrame, key: str, path: str, step: Callable[[DataFrame], DataFrame]
+    todo: DataFrame, key: str | list[str], path: str, step: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Run ``step`` for the rows of ``todo`` that ``path`` does not hold yet.
 
@@ -296,25 +296,35 @@ def generate_responses(
     stage: Stage = Stage("response", "", on_error="error_row"),
     timed: bool = False,
     warm_up: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
     """Long responses table of a (task_id, model, prompt) grid.
 
     Rows are ranged by model and task into even partitions: a model with many
     rows fills several, small ones share one, and every partition loads its few
-    models one at a time.
+    models one at a time. With a ``path`` the responses are stored there, and a
+    rerun asks only for the missing ones; without it the result is lazy.
     """
     n = partitions or int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = grid.repartitionByRange(n, "model", F.xxhash64("task_id"))
     ask = _reply_udf(stage, client_factory, warm_up)
-    called = spread.sortWithinPartitions("model").withColumn(
-        "_reply", ask(F.col("model"), F.col(prompt_col))
-    )
-    return called.select(
-        "task_id",
-        "model",
-        F.col("_reply.text").alias("text"),
-        F.when(F.col("_reply.error").isNull(), F.lit("ok")).otherwise(F.lit("error")).alias("status"),
-        F.col("_reply.in_tokens").alias("in_tokens"),
-        F.col("_reply.out_tokens").alias("out_tokens"),
-        (F.col("_reply.latency_s") if timed else F.lit(None).cast("double")).alias("latency_s"),
-    )
+    status = F.when(F.col("_reply.error").isNull(), F.lit("ok")).otherwise(F.lit("error"))
+    latency = F.col("_reply.latency_s") if timed else F.lit(None).cast("double")
+
+    def generate(cells: DataFrame) -> DataFrame:
+        spread = cells.repartitionByRange(n, "model", F.xxhash64("task_id"))
+        called = spread.sortWithinPartitions("model").withColumn(
+            "_reply", ask(F.col("model"), F.col(prompt_col))
+        )
+        return called.select(
+            "task_id",
+            "model",
+            F.col("_reply.text").alias("text"),
+            status.alias("status"),
+            F.col("_reply.in_tokens").alias("in_tokens"),
+            F.col("_reply.out_tokens").alias("out_tokens"),
+            latency.alias("latency_s"),
+        )
+
+    if path is None:
+        return generate(grid)
+    return stored_once(grid, ["task_id", "model"], path, generate)

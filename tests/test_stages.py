@@ -190,6 +190,20 @@ def test_generate_responses_loads_models_one_at_a_time(spark, tmp_path):
     assert loads["hot"] <= 4 and loads["cold"] <= 4
 
 
+def test_generate_responses_resumes(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    cells = spark.range(20).select(
+        F.col("id").alias("task_id"), F.lit("m").alias("model"), F.col("id").cast("string").alias("prompt")
+    )
+    make = logging(log, "m", lambda p: p)
+    path = str(tmp_path / "responses")
+    stages.generate_responses(cells.where("task_id < 12"), lambda model: make(), path=path)
+    done = stages.generate_responses(cells, lambda model: make(), path=path)
+    assert sorted((r.task_id, r.text) for r in done.collect()) == [(i, str(i)) for i in range(20)]
+    assert set(calls_of(log).values()) == {1}
+
+
 def test_generate_responses_failing_rows_are_data(spark):
     cells = spark.createDataFrame([(1, "m", "x"), (2, "m", "boom")], "task_id LONG, model STRING, prompt STRING")
 

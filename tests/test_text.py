@@ -5,16 +5,21 @@ from pyspark.sql import functions as F
 from examloom.functions import text as t
 
 
-def test_lines(apply):
-    cases = ["a\x0bb\x0cc\x1cd\x85e f\r\ng\rh\n", "a\n\n", "", "a", "\n", None]
-    expected = [list("abcdefgh"), ["a", ""], [], ["a"], [""], None]
-    assert apply(t.lines, cases) == expected
+def as_line_feeds(text):
+    ended = text != "" and len((text + "x").splitlines()) > len(text.splitlines())
+    return "\n".join(text.splitlines()) + ("\n" if ended else "")
+
+
+def test_breaks(apply):
+    cases = ["a\x0bb\x0cc\x1cd\x85e f\r\ng\rh\n", "a\n\n", "", "a", "\n", "a\u2028b\u2029"]
+    assert apply(t.one_break, cases) == [as_line_feeds(c) for c in cases]
+    assert apply(t.raw_lines, ["a\r\nb\x0b", "", None]) == [["a", "b", ""], [""], None]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet=" \n\r\t\x0b\x1c\x85 　ab題é", max_size=12), min_size=40, max_size=80))
-def test_lines_strip_tokens_match_python(apply, values):
-    assert apply(t.lines, values) == [v.splitlines() for v in values]
+def test_breaks_strip_tokens_match_python(apply, values):
+    assert apply(t.one_break, values) == [as_line_feeds(v) for v in values]
     assert apply(t.strip, values) == [v.strip() for v in values]
     assert apply(t.ws_tokens, values) == [len(v.split()) for v in values]
     assert apply(t.is_blank, values) == [not v.strip() for v in values]

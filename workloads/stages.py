@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from examloom.operators import stages
 from examloom.plans import flows
-from examloom.session import fresh_path, ship_packages, written
+from examloom.session import fresh_path, ship_packages
 from workloads import judging
 from workloads.registry import query, sql_strip, sql_tokens, table, texts
 
@@ -170,7 +170,8 @@ def generate_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("task_id"), F.col("source").alias("model"), F.col("text").alias("prompt")
     )
-    return written(stages.generate_responses(cells, model_client), "responses").drop("latency_s")
+    done = stages.generate_responses(cells, model_client, path=fresh_path(spark, "responses"))
+    return done.drop("latency_s")
 
 
 # The flat chain: generation falls back on empty replies, beautify fails, fix echoes.
