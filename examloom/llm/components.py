@@ -30,8 +30,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct(),
         "edges",
     )
-    # The least neighbour of an id that only ever is the larger end is unique once
-    # every such id has one edge and no lesser end has an edge of its own.
     while not _is_stars(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

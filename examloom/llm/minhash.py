@@ -28,16 +28,17 @@ from examloom.session import written
 class NearDup:
     """Parameters: shingle words, similarity in percent, bands and rows of a band.
 
-    With 32 bands of 5, a pair at similarity 0.85 shares no band once in 1e8. A
-    pair is checked on its sets when at least ``least_match`` of its coordinates
-    agree; at 0.8 that fails with a probability below 1e-8.
+    With 32 bands of 6, a pair at similarity 0.85 shares no band once in 3e6. A
+    pair is checked on its sets when the share of equal coordinates is at most
+    ``slack`` below the similarity; by the Chernoff bound a pair at 0.85 fails that
+    with a probability below 1e-7. ``bands * rows`` must be a multiple of 8.
     """
 
     shingle: int = 5
     percent: int = 85
     bands: int = 32
-    rows: int = 5
-    least_match: float = 0.6
+    rows: int = 6
+    slack: float = 0.17
 
     @property
     def size(self) -> int:
@@ -118,7 +119,7 @@ def _sketch_rows(p: NearDup):
                     pa.array(counts.astype(np.int64)),
                     pa.array(digests[0]),
                     pa.array(digests[1]),
-                    A.blobs((bins & np.uint64(255)).astype(np.uint8).reshape(-1), np.arange(n + 1) * p.size),
+                    A.lists(_low_bytes(bins), np.arange(n + 1) * (p.size // 8), pa.int64()),
                     A.lists(flat, np.concatenate([[0], np.cumsum(some)]), pa.int64()),
                 ],
                 names=["doc_id", "n_shingles", "d1", "d2", "sketch", "keys"],
@@ -127,19 +128,20 @@ def _sketch_rows(p: NearDup):
     return run
 
 
-def _matching(size: int, least: float):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, size)
-                for c in ("sketch_a", "sketch_b")
-            )
-            keep = (a == b).mean(axis=1) >= least
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+def _low_bytes(bins: np.ndarray) -> np.ndarray:
+    """The low byte of every coordinate, eight of them in one long."""
+    return np.ascontiguousarray((bins & np.uint64(255)).astype(np.uint8).reshape(-1)).view(np.int64)
 
-    return run
+
+def _alike(a: str, b: str, p: NearDup) -> Column:
+    """Do enough coordinates of two sketches agree? Counts the bytes that differ."""
+    differ = F.lit(0)
+    for k in range(p.size // 8):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return differ <= int(p.size * (1 - p.percent / 100 + p.slack))
 
 
 def _links(p: NearDup):
@@ -176,23 +178,23 @@ def _lengths_fit(p: NearDup, a: str, b: str) -> Column:
     return (100 * F.least(a, b)) >= (p.percent * F.greatest(a, b))
 
 
-def _verified(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
-    """Those (a, b) whose sets reach the similarity."""
-    side = sketches.select("doc_id", "sketch")
-    near = (
-        pairs.join(side.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        .join(side.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        .select("a", "b", "sketch_a", "sketch_b")
-        .mapInArrow(_matching(p.size, p.least_match), "a long, b long")
-    )
+def _verified(docs: DataFrame, near: DataFrame, p: NearDup) -> DataFrame:
+    """Those (a, b) whose sets reach the similarity.
+
+    Texts are joined by sorting at every size, as a hint says: the number of
+    proposed documents grows with the input.
+    """
     near = written(near, "near")
+    if near.isEmpty():
+        return near
     ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    texts = written(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
     return written(
         near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_links(p), "a long, b long"),
+        .mapInArrow(_links(p), "a long, b long")
+        .distinct(),
         "links",
     )
 
@@ -219,7 +221,7 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     sketches = written(
         wanted.mapInArrow(
             _sketch_rows(p),
-            "doc_id long, n_shingles long, d1 long, d2 long, sketch binary, keys array<long>",
+            "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>, keys array<long>",
         ),
         "sketches",
     )
@@ -239,31 +241,37 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
         ),
         "members",
     )
-    tried = written(
+    tried = (
         members.where("id <> lead")
         .where(_lengths_fit(p, "n", "lead_n"))
         .select(F.col("lead").alias("a"), F.col("id").alias("b"))
-        .distinct(),
-        "pairs",
+        .distinct()
+    )
+    side = reps.select("doc_id", "sketch")
+    near = (
+        tried.join(side.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        .join(side.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        .where(_alike("sketch_a", "sketch_b", p))
+        .select("a", "b")
     )
-    links = _verified(wanted, reps, tried, p)
+    links = _verified(wanted, near, p)
     found = components(links)
     labelled = members.join(found.withColumnRenamed("component", "c"), "id", "left").select(
         "key", "id", "n", F.coalesce("c", "id").alias("c")
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    mixed = mixed.where("lo < hi").select("key")
-    left = written(labelled.join(mixed, "key", "left_semi"), "mixed")
+    left = labelled.join(mixed.where("lo < hi").select("key"), "key", "left_semi")
+    left = written(left.join(side.withColumnRenamed("doc_id", "id"), "id"), "mixed")
     l, r = left.alias("l"), left.alias("r")
+    # One test in the join itself, so that only pairs that may be links leave it.
+    fits = F.expr("l.key = r.key and l.id < r.id and l.c <> r.c")
     others = (
-        l.join(r, F.expr("l.key = r.key and l.id < r.id and l.c <> r.c"))
-        .where(_lengths_fit(p, "l.n", "r.n"))
+        l.join(r, fits & _lengths_fit(p, "l.n", "r.n") & _alike("l.sketch", "r.sketch", p))
         .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
         .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
-    more = _verified(wanted, reps, others, p)
-    found = components(links.unionByName(more)) if more.limit(1).count() else found
+    more = _verified(wanted, others, p)
+    found = found if more.isEmpty() else components(links.unionByName(more))
     classes = reps.join(found, reps.doc_id == found.id, "left").select(
         "d1", "d2", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from examloom.llm.blocks import without_repeated_passages
 from examloom.llm.decontaminate import contamination
+from examloom.llm.fingerprints import as_text, fingerprints, likeness, next_ids
 from examloom.llm.minhash import near_duplicates
 from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, scored
+from examloom.llm.suffixes import without_repeated_strings
+from examloom.llm.toxicity import fit_severity, severities
+from examloom.llm.warc import read_archives, resolved, with_revisits, write_archives
+from examloom.session import fresh_path, written
 
 QUERIES = {}
 ORACLES = {}
@@ -34,6 +40,90 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_document_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text and its edited form, whose last third is the head of the next document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sized = docs.withColumn("n_chars", F.length("text").cast("long"))
+    nexts = next_ids(docs.select("doc_id"), "doc_id")
+    ahead = sized.select("doc_id", "n_chars").join(nexts, "doc_id")
+    heads = ahead.join(docs.select(F.col("doc_id").alias("next_key"), F.col("text").alias("head")), "next_key").select(
+        "doc_id", "next_key", F.expr("substring(head, 1, cast(n_chars div 3 as int))").alias("head")
+    )
+    both = (
+        sized.join(heads, "doc_id")
+        .withColumn("kept", F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"))
+        .select(
+            "doc_id", "next_key", "n_chars",
+            F.explode(
+                F.array(
+                    F.struct(F.lit(False).alias("edited"), "text", F.lit(None).cast("string").alias("digest")),
+                    F.struct(
+                        F.lit(True).alias("edited"), F.concat("kept", "head").alias("text"),
+                        F.sha2(F.concat("kept", "head"), 256).alias("digest"),
+                    ),
+                )
+            ).alias("v"),
+        )
+        .select("doc_id", "next_key", "n_chars", "v.*")
+    )
+    found = fingerprints(both, ["doc_id", "next_key", "n_chars", "edited", "digest"])
+    print_ = F.struct("identity", "content", "n_pairs")
+    whole = written(
+        found.groupBy("doc_id").agg(
+            F.max("next_key").alias("next_key"), F.max("n_chars").alias("n_chars"), F.max("digest").alias("edited_sha256"),
+            F.max(F.when(~F.col("edited"), print_)).alias("own"), F.max(F.when(F.col("edited"), print_)).alias("other"),
+        ),
+        "fingerprints",
+    )
+    ahead = whole.select(F.col("doc_id").alias("next_key"), F.col("own").alias("ahead"))
+    return whole.join(ahead, "next_key").select(
+        "doc_id", "n_chars", "edited_sha256",
+        as_text(F.col("own.identity"), F.col("own.content")).alias("fingerprint"),
+        as_text(F.col("other.identity"), F.col("other.content")).alias("edited_fingerprint"),
+        likeness(F.col("own.content"), F.col("own.n_pairs"), F.col("other.content"), F.col("other.n_pairs")).alias("near_edited"),
+        likeness(F.col("own.content"), F.col("own.n_pairs"), F.col("ahead.content"), F.col("ahead.n_pairs")).alias("near_next"),
+    )
+
+
+@query("op3_warc")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page into archives and back; ids travel as record ids."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), F.col("url").alias("uri"), F.encode("html", "UTF-8").alias("payload")
+    )
+    records = with_revisits(pages).select(
+        F.concat(F.lit("urn:page:"), "id").alias("record_id"), "uri", "payload",
+        F.concat(F.lit("urn:page:"), "refers_to").alias("refers_to"),
+    )
+    path = fresh_path(spark, "archives")
+    write_archives(records, path)
+    back = resolved(read_archives(spark, path))
+    number = lambda c: F.substring_index(c, ":", -1).cast("long")
+    return back.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return severities(docs, fit_severity(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
