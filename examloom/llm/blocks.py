@@ -44,8 +44,11 @@ def _message(kind: int, part, run: int, *blobs) -> pa.RecordBatch:
     )
 
 
-def _probe(length: int, step: int, parts: int):
-    """Messages about the windows of ``length`` words; index windows start every ``step`` words."""
+def _probe(length: int, step: int, parts: int, width: int):
+    """Messages about the windows of ``length`` words; index windows start every ``step`` words.
+
+    A hash travels as its ``width`` low bytes, two bits of which are marks.
+    """
 
     def run(batches):
         for rows, data, borders in A.runs(batches, limit=RUN):
@@ -82,28 +85,24 @@ def _probe(length: int, step: int, parts: int):
             edge = np.searchsorted(part, np.arange(parts + 1))
             used = np.flatnonzero(np.diff(edge))
             edge = np.append(edge[used], len(part))
-            step_to = np.diff(place, prepend=0)
-            step_to[edge[:-1]] = place[edge[:-1]]
-            wide = np.uint16 if len(place) and _small(step_to, edge) else np.uint32
-            firsts = place[edge[:-1]].astype("<u4")
-            step_to[edge[:-1]] = 0
-            six = np.ascontiguousarray(short).view(np.uint8).reshape(-1, 8)[:, :6]
+            firsts = place[edge[:-1]]
+            ahead = np.diff(place, prepend=0)
+            ahead[edge[:-1]] = 0
+            # Bytes of equal weight stand together: the higher ones are mostly zero.
+            weights = 4 if len(ahead) and int(ahead.max()) >> 16 else 2
+            planes = ahead.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :weights]
+            ahead = np.concatenate([planes[x:y].T.reshape(-1) for x, y in zip(edge, edge[1:])])
+            short = short.view(np.uint8).reshape(-1, 8)[:, :width]
             yield _message(
                 0, used, name,
-                A.blobs(np.ascontiguousarray(six).reshape(-1), edge * 6),
-                A.blobs(step_to.astype(wide).view(np.uint8), edge * np.dtype(wide).itemsize),
-                A.blobs(firsts.view(np.uint8), np.arange(len(used) + 1) * 4),
+                A.blobs(np.ascontiguousarray(short).reshape(-1), edge * width),
+                A.blobs(ahead, edge * weights),
+                A.blobs(np.stack([firsts, np.diff(edge)], axis=1).astype("<u4").reshape(-1).view(np.uint8), np.arange(len(used) + 1) * 8),
             )
 
     return run
 
 
-def _small(steps, edge) -> bool:
-    inner = np.ones(len(steps), bool)
-    inner[edge[:-1]] = False
-    return not inner.any() or int(steps[inner].max()) < 1 << 16
-
-
 def _wanted(spans: pa.ListArray, at: np.ndarray) -> np.ndarray:
     flat = np.asarray(spans.flatten()).reshape(-1, 2)
     owner = np.repeat(np.arange(len(spans)), np.diff(np.asarray(spans.offsets)) // 2)
@@ -112,28 +111,29 @@ def _wanted(spans: pa.ListArray, at: np.ndarray) -> np.ndarray:
 
 def _answer(batches):
     """Of one hash range: places of windows that occur elsewhere and meet an index window."""
-    value, name, place = [], [], []
+    value, own, name, place = [], [], [], []
     for batch in batches:
         for part, kind, run, a, b, c in zip(*(batch.column(k).to_pylist() for k in ("part", "kind", "run", "a", "b", "c"))):
             if kind:
                 yield _message(kind, [part], run, a, b, c)
                 continue
-            six = np.frombuffer(a, np.uint8).reshape(-1, 6)
-            whole = np.zeros((len(six), 8), np.uint8)
-            whole[:, :6] = six
-            value.append(whole.view(np.uint64).reshape(-1) | (np.uint64(part & 0xFFFF) << np.uint64(48)))
-            kind_of = np.uint16 if len(b) == 2 * len(six) else np.uint32
-            steps = np.frombuffer(b, kind_of).astype(np.int32)
-            place.append(np.cumsum(steps, dtype=np.int32) + np.frombuffer(c, "<u4").astype(np.int32)[0])
-            name.append(np.full(len(six), run, np.int64))
+            first, n = np.frombuffer(c, "<u4").tolist()
+            whole = np.zeros((n, 8), np.uint8)
+            whole[:, : len(a) // n] = np.frombuffer(a, np.uint8).reshape(n, -1)
+            value.append(whole.view(np.uint64).reshape(-1))
+            own.append(np.full(n, part, np.int32))
+            ahead = np.zeros((n, 4), np.uint8)
+            ahead[:, : len(b) // n] = np.frombuffer(b, np.uint8).reshape(-1, n).T
+            place.append(np.cumsum(ahead.view(np.uint32).reshape(-1)).astype(np.int32) + first)
+            name.append(np.full(n, run, np.int64))
     if not value:
         return
-    value, name, place = (np.concatenate(x) for x in (value, name, place))
-    order = np.argsort(value, kind="stable")
-    value, name, place = value[order], name[order], place[order]
+    value, own, name, place = (np.concatenate(x) for x in (value, own, name, place))
+    order = np.lexsort((value, own))
+    value, own, name, place = value[order], own[order], name[order], place[order]
     bare = value >> np.uint64(2)
     new = np.ones(len(bare), bool)
-    new[1:] = bare[1:] != bare[:-1]
+    new[1:] = (bare[1:] != bare[:-1]) | (own[1:] != own[:-1])
     first = np.flatnonzero(new)
     counts = np.diff(np.append(first, len(bare)))
     twice = (value >> np.uint64(1) & np.uint64(1)).astype(bool)
@@ -183,15 +183,16 @@ def _by_document(batches):
         )
 
 
-def repeated_windows(docs: DataFrame, length: int, step: int = 1) -> DataFrame:
+def repeated_windows(docs: DataFrame, length: int, step: int = 1, width: int = 8) -> DataFrame:
     """(did, key, spans): runs of places whose window of ``length`` words occurs elsewhere.
 
     With ``step`` over 1 a window counts only if it starts a block of the index in
     one of its places. With a column spans (flat start and end places) only windows
-    that start there take part.
+    that start there take part. Hashes of ``width`` bytes are compared inside hash
+    ranges, whose number follows the number of shuffle partitions.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = docs.mapInArrow(_probe(length, step, 4 * n), SENT)
+    sent = docs.mapInArrow(_probe(length, step, 4 * n, width), SENT)
     told = sent.repartition(n, "part").mapInArrow(_answer, SENT)
     found = told.repartition(n, "run").mapInArrow(_by_document, FOUND)
     return found.groupBy("did", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
@@ -242,8 +243,9 @@ def without_repeated_passages(docs: DataFrame, length: int = 35, block: int | No
 
     Window hashes travel packed by hash range, each once for a run of about 4 MB of
     text, so a passage shared by a third of all documents sends one entry per run.
-    Answers go back by run. Texts are shuffled once, to meet their hits. Windows are
-    equal if hashes of about 60 bits agree both for a block and the whole window.
+    Answers go back by run. Texts are shuffled once: both joins read that shuffle.
+    Blocks are compared by 30 bits inside a hash range, which leaves one false hit
+    in thousands; whole windows by 62 bits inside theirs, and those decide.
     """
     block = (length + 1) // 2 if block is None else block
     if not 0 < 2 * block <= length + 1:
@@ -254,12 +256,11 @@ def without_repeated_passages(docs: DataFrame, length: int = 35, block: int | No
         F.hash(F.coalesce("text", F.lit(""))).alias("key"),
         "text",
     )
-    bare = rows.select("did", "key", "text")
-    hits = repeated_windows(bare, block, block)
+    hits = repeated_windows(rows, block, block, width=4)
     reach = length - block
     near = F.transform("spans", lambda x, i: F.when(i % 2 == 0, F.greatest(x - reach, F.lit(0))).otherwise(x))
     seeded = rows.join(hits.select("did", "key", near.alias("spans")).hint("merge"), ["did", "key"])
-    spans = repeated_windows(seeded.select("did", "key", "text", "spans"), length)
+    spans = repeated_windows(seeded, length)
     none = F.array().cast("array<int>")
     joined = rows.join(spans.hint("merge"), ["did", "key"], "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
     return joined.mapInArrow(_cut(length), KEPT)
