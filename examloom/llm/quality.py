@@ -81,7 +81,7 @@ def _scaling(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, rows: int = 12_000, bits: int = 18, cost: float = 1.0, epochs: int = 6
+    docs: DataFrame, labels: DataFrame, rows: int = 6_000, bits: int = 18, cost: float = 1.0, epochs: int = 6
 ) -> QualityModel:
     """A model of ``labels(doc_id, quality)`` from a sample of at most ``rows`` labelled documents.
 

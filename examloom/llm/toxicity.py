@@ -87,7 +87,7 @@ def fit_ordinal(at, index, grade, grades: int, size: int, ridge: float = 1e-4, s
 
 
 def fit_severity(
-    docs: DataFrame, labels: DataFrame, rows: int = 12_000, bits: int = 19, grades: int = 4
+    docs: DataFrame, labels: DataFrame, rows: int = 6_000, bits: int = 19, grades: int = 4
 ) -> SeverityModel:
     """A model of ``labels(doc_id, toxic)`` from a sample of at most ``rows`` labelled documents.
 
