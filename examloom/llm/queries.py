@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from examloom.llm.blocks import without_repeated_passages
 from examloom.llm.decontaminate import contamination
 from examloom.llm.fingerprints import as_text, fingerprints, likeness, next_ids
+from examloom.llm.lines import without_similar_lines
 from examloom.llm.minhash import near_duplicates
 from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, scored
@@ -143,6 +144,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_similar_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 @query("op10_quality_classifier")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
