@@ -55,7 +55,7 @@ def severity_grades(toxic: np.ndarray, at: np.ndarray, index: np.ndarray, size:
     return out
 
 
-def fit_ordinal(at, index, grade, grades: int, size: int, ridge: float = 1e-4, steps: int = 150, rate: float = 0.05):
+def fit_ordinal(at, index, grade, grades: int, size: int, ridge: float = 3e-3, steps: int = 200, rate: float = 0.05):
     """Maximum likelihood by full-gradient Adam steps; thresholds stay ordered by their gaps."""
     row = A.owners(at)
     n, k = len(grade), grades - 1
@@ -87,11 +87,12 @@ def fit_ordinal(at, index, grade, grades: int, size: int, ridge: float = 1e-4, s
 
 
 def fit_severity(
-    docs: DataFrame, labels: DataFrame, rows: int = 6_000, bits: int = 19, grades: int = 4
+    docs: DataFrame, labels: DataFrame, rows: int = 6_000, bits: int = 19, grades: int = 4, least_docs: int = 2
 ) -> SeverityModel:
     """A model of ``labels(doc_id, toxic)`` from a sample of at most ``rows`` labelled documents.
 
-    Labels of fold 0 are never read, so they measure the model. Without labels,
+    Labels of fold 0 are never read, so they measure the model. Features of fewer
+    than ``least_docs`` documents of the sample have no weight. Without labels,
     or with labels of one class only, all weights are zero and thresholds stand
     at plus or minus 10: every document has the one grade seen (0 if none).
     """
@@ -101,8 +102,12 @@ def fit_severity(
         level = 10.0 if not len(toxic) or toxic[0] <= 0 else -10.0
         return SeverityModel(bits, np.zeros(size), np.full(grades - 1, level))
     grade = severity_grades(toxic, at, index, size, grades)
-    used, seen = np.unique(index, return_inverse=True)
-    w, cuts = fit_ordinal(at, seen, grade, grades, len(used))
+    used = np.flatnonzero(np.bincount(index, minlength=size) >= least_docs)
+    number = np.full(size, -1)
+    number[used] = np.arange(len(used))
+    seen = number[index] >= 0
+    own_at = np.searchsorted(A.owners(at)[seen], np.arange(len(at)))
+    w, cuts = fit_ordinal(own_at, number[index[seen]], grade, grades, len(used))
     weight = np.zeros(size)
     weight[used] = w
     return SeverityModel(bits, weight, cuts)
