@@ -155,45 +155,75 @@ def slots(packs, first: int) -> Slots:
     return Slots(*table.T, n_sequences=sequence - first)
 
 
-def _encoder(path: str):
-    """Ids of texts, word by word: a word between blanks always has the same ids."""
-    from tokenizers import Tokenizer
-
-    machine = Tokenizer.from_file(path)
-    machine.encode_special_tokens = False
-    known: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = [w for w in {*parts} if w not in known]
-        if len(known) + len(new) > 500_000:
-            known.clear()
-            new = [*{*parts}]
-        for word, got in zip(new, machine.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in parts])
-
-    return encode
+class WordIds:
+    """Ids of texts, word by word: a word between blanks always has the same ids.
 
+    Words seen before are looked up; new ones are encoded many at a time. At most
+    ``room`` words are kept, then the store starts anew.
+    """
 
-_encoders: dict[str, object] = {}
+    def __init__(self, path: str, room: int = 700_000):
+        from tokenizers import Tokenizer
+
+        self.machine, self.room = Tokenizer.from_file(path), room
+        self._clear()
+
+    def _clear(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.at, self.used = np.zeros(1 << 20, "<u4"), np.zeros(1 << 18, np.int64), 0
+
+    def _learn(self, words: list[str]) -> None:
+        got = self.machine.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(got.ids, "<u4")
+        places = np.array([start for start, _ in got.offsets], np.int64)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        counts = np.bincount(np.searchsorted(ends, places, "right"), minlength=len(words))
+        n = len(self.number)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(words) >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.at[n + 1 : n + 1 + len(words)] = self.used + np.cumsum(counts)
+        self.used += len(ids)
+        self.number.update(zip(words, range(n, n + len(words))))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts and the borders of each text's ids."""
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        flat = [w for words in split for w in words]
+        new = {w for w in dict.fromkeys(flat) if w not in self.number}
+        if len(self.number) + len(new) > self.room:
+            self._clear()
+            new = dict.fromkeys(flat)
+        new = list(new)
+        for k in range(0, len(new), 1000):
+            self._learn(new[k : k + 1000])
+        codes = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        begin = self.at[codes]
+        sizes = self.at[codes + 1] - begin
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.arange(total) + np.repeat(begin - (ends - sizes), sizes)]
+        last = np.cumsum([len(words) for words in split])
+        return ids, np.concatenate([[0], ends[last - 1]]) if len(split) else np.zeros(1, np.int64)
+
+
+_encoders: dict[str, WordIds] = {}
 
 
 def _tokens(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         if path not in _encoders:
-            _encoders[path] = _encoder(path)
-        encode = _encoders[path]
+            _encoders[path] = WordIds(path)
+        encoder = _encoders[path]
         for rows, _, _ in A.runs(batches):
-            ids = [encode(t or "") + end for t in rows.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": rows.column("doc_id"),
-                    "n": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    "ids": pa.array(ids, pa.binary()),
-                }
+            ids, borders = encoder.encode([t or "" for t in rows.column("text").to_pylist()])
+            ids = np.insert(ids, borders[1:], end_id)
+            borders = borders + np.arange(len(borders))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array(np.diff(borders)), A.blobs(ids.astype("<u4"), borders)],
+                names=["doc_id", "n", "ids"],
             )
 
     return run
