@@ -29,7 +29,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
             kept = {r.doc_id for r in QUERIES["op10_quality_classifier"](spark, SF).where("predicted = 1").collect()}
             assert after == {d: t for d, t in before.items() if d in kept}
         elif name == "line_dedup":
-            gone = brute.similar_lines(before.items())
+            gone = brute.similar_lines(before.items(), 90)
             want = {d: "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in gone) for d, t in before.items()}
             assert after == {d: t for d, t in want.items() if brute.words(t) or t == before[d]}
         elif name == "minhash_near_dedup":
