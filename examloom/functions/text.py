@@ -20,6 +20,7 @@ RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 FULL_WIDTH_DIGITS = "０１２３４５６７８９"
 DIGIT = "[0-9０-９]"
+STRICT = {"allowSingleQuotes": "false"}
 # The same whitespace in the form that is fastest to search for its complement.
 NOT_SPACE = r"(?U)[^\s\x1c-\x1f]+"
 
@@ -74,14 +75,20 @@ def keyed_index(n: int | Column, seed: int, purpose: str, *keys: Column) -> Colu
 
 
 def is_json(col: Column) -> Column:
-    """True when the text is exactly one strict JSON value.
+    """True when the text is exactly one strict JSON value; a repeated key is allowed.
 
-    Read as a one-element array, so that text after the value is noticed; a
-    repeated key is allowed.
+    The text is read both as the one element of an array and as a field with
+    another after it. A text that closes either wrapper by itself is refused by
+    the other.
     """
-    wrapped = F.concat(F.lit("["), col, F.lit("]"))
-    values = F.from_json(wrapped, "ARRAY<STRING>", {"allowSingleQuotes": "false"})
-    return F.coalesce(F.size(values) == 1, F.lit(False))
+    values = F.from_json(F.concat(F.lit("["), col, F.lit("]")), "ARRAY<STRING>", STRICT)
+    return F.coalesce((F.size(values) == 1) & is_field(col), F.lit(False))
+
+
+def is_field(col: Column) -> Column:
+    """True when a JSON object with the text as a field and one more field is whole."""
+    wrapped = F.concat(F.lit('{"value":'), col, F.lit(',"end":1}'))
+    return F.from_json(wrapped, "value STRING, end INT", STRICT)["end"].eqNullSafe(1)
 
 
 def json_string(col: Column) -> Column:
@@ -91,12 +98,13 @@ def json_string(col: Column) -> Column:
     return F.when(col.isNull(), F.lit("null")).otherwise(quoted)
 
 
-def log_text(col: Column, max_chars: int = 10000) -> Column:
-    r"""One-line log form: newline written as ``\n``, first ``max_chars``."""
-    return F.substring(F.replace(col, F.lit("\n"), F.lit("\\n")), 1, max_chars)
+def log_text(col: Column, max_chars: int | None = None) -> Column:
+    r"""One-line log form: newline written as ``\n``; cut only at a named ``max_chars``."""
+    line = F.replace(col, F.lit("\n"), F.lit("\\n"))
+    return line if max_chars is None else F.substring(line, 1, max_chars)
 
 
-def log_excerpt(col: Column, max_chars: int = 200) -> Column:
+def log_excerpt(col: Column, max_chars: int) -> Column:
     """Short log form: newline to space, first ``max_chars``, then ``...``."""
     return F.concat(
         F.substring(F.replace(col, F.lit("\n"), F.lit(" ")), 1, max_chars), F.lit("...")

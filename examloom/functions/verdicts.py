@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.text import BREAKS, DIGIT, SPACE, let, to_int
+from examloom.functions.text import BREAKS, DIGIT, SPACE, STRICT, is_field, let, to_int
 
 # Reply patterns, markers and default reasons.
 # A line score is the first one of its line: the rest of the line is passed over.
@@ -31,15 +31,17 @@ def json_slice(reply: Column) -> Column:
 def parse_object(reply: Column, fields: str) -> Column:
     """The one JSON object in ``reply`` as a struct, null unless it is strict JSON.
 
-    The slice is parsed as a one-element array, so single quotes, text after
-    the object and a second object are all refused.
+    The slice is parsed as a one-element array and must also stand as a field
+    of an object, so single quotes, text after the object, a second object and
+    a slice that closes a wrapper itself are all refused.
     """
-    parsed = F.from_json(
-        F.concat(F.lit("["), json_slice(reply), F.lit("]")),
-        f"ARRAY<STRUCT<{fields}>>",
-        {"allowSingleQuotes": "false"},
-    )
-    return let(parsed, lambda p: F.when(F.size(p) == 1, F.try_element_at(p, F.lit(1))))
+
+    def parse(text: Column) -> Column:
+        parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<STRUCT<{fields}>>", STRICT)
+        one = lambda p: F.when((F.size(p) == 1) & is_field(text), F.try_element_at(p, F.lit(1)))
+        return let(parsed, one)
+
+    return let(json_slice(reply), parse)
 
 
 def truthy(value: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from examloom.functions import verdicts as v
@@ -178,23 +178,45 @@ def with_total_row(pivoted: DataFrame, prefix: str = "score_") -> DataFrame:
     return rounds.unionByName(total)
 
 
-def latency_summary(rounds: DataFrame, accuracy: int = 100_000) -> DataFrame:
-    """Latency per arm: count, mean, extremes, median and 95th percentile.
+def latency_summary(rounds: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Latency per arm: count, mean, extremes, exact median and 95th percentile.
 
-    The percentiles are exact up to ``accuracy`` rounds per arm and off by at
-    most one part in ``accuracy`` of the ranks beyond; their state is bounded.
+    A percentile is the least value that at least that share of the rounds does
+    not exceed. Approximate percentiles on either side bracket it; values below
+    the bracket are only counted, those inside are counted by value, and the
+    rank is found among these. ``accuracy`` sets the width of the brackets, a
+    few parts in ``accuracy`` of the rounds, and never the result.
     """
-    p50, p95 = (
-        F.percentile_approx("latency_s", q, accuracy).alias(name)
-        for q, name in ((0.5, "p50_s"), (0.95, "p95_s"))
-    )
-    return rounds.groupBy("arm").agg(
+    asked = {"p50_s": 0.5, "p95_s": 0.95}
+    slack = 2 / accuracy
+    edges = [min(max(q + s, 0.0), 1.0) for q in asked.values() for s in (-slack, slack)]
+    stats = rounds.groupBy("arm").agg(
         F.count("latency_s").alias("rounds"),
         F.avg("latency_s").alias("mean_s"),
         F.min("latency_s").alias("min_s"),
         F.max("latency_s").alias("max_s"),
-        p50,
-        p95,
+        F.percentile_approx("latency_s", edges, accuracy).alias("edges"),
+    )
+    brackets = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.greatest(F.ceil(F.col("rounds") * q), F.lit(1)).alias("rank"),
+            F.col("edges")[2 * k].alias("lo"),
+            F.col("edges")[2 * k + 1].alias("hi"),
+        )
+        for k, (name, q) in enumerate(asked.items())
+    ]
+    wanted = stats.where("rounds > 0").select(F.col("arm").alias("_arm"), F.inline(F.array(*brackets)))
+    # nulls stand for all values below the bracket and sort before those inside
+    value = F.when(F.col("latency_s") >= F.col("lo"), F.col("latency_s")).alias("value")
+    near = rounds.join(wanted, F.col("arm").eqNullSafe(F.col("_arm"))).where("latency_s <= hi")
+    counted = near.groupBy("_arm", "name", "rank", value).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("_arm", "name").orderBy("value"))
+    reached = counted.withColumn("upto", upto).where("upto >= rank").groupBy("_arm")
+    exact = reached.agg(*[F.min(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in asked])
+    return (
+        stats.join(exact, F.col("arm").eqNullSafe(F.col("_arm")), "left")
+        .select("arm", "rounds", "mean_s", "min_s", "max_s", *asked)
     )
 
 

@@ -155,11 +155,21 @@ def pair_grid(grid: DataFrame, models: list[str], carry: tuple[str, ...] = ()) -
 
 
 def pair_arms(
-    left: DataFrame, right: DataFrame, on: str = "task_id", text_col: str = "text"
+    left: DataFrame,
+    right: DataFrame,
+    on: str = "task_id",
+    text_col: str = "text",
+    missing_marker: str = ERROR_GENERATING,
 ) -> DataFrame:
-    """Rounds answered by both arms: ``text_x`` from left, ``text_y`` from right."""
-    return left.withColumnRenamed(text_col, "text_x").join(
-        right.select(on, F.col(text_col).alias("text_y")), on
+    """All rounds of either arm: ``text_x`` from left, ``text_y`` from right.
+
+    An arm without a row for the round, or with a null text, has ``missing_marker``.
+    """
+    both = left.withColumnRenamed(text_col, "text_x").join(
+        right.select(on, F.col(text_col).alias("text_y")), on, "full_outer"
+    )
+    return both.withColumns(
+        {c: F.coalesce(c, F.lit(missing_marker)) for c in ("text_x", "text_y")}
     )
 
 

@@ -47,15 +47,16 @@ def choice_log(
     )
 
 
-def pairwise_log(judged: DataFrame) -> DataFrame:
-    """Round-robin matches with the start of the judge's reason."""
+def pairwise_log(judged: DataFrame, reason_chars: int) -> DataFrame:
+    """Round-robin matches with the judge's reply, whole and as its first ``reason_chars``."""
     return judged.select(
         "task_id",
         "topic",
         "model_A",
         "model_B",
         "winner",
-        log_excerpt(F.col("judge_raw")).alias("reason"),
+        log_excerpt(F.col("judge_raw"), reason_chars).alias("reason"),
+        "judge_raw",
     )
 
 

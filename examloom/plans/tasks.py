@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examloom.functions.prompts import TOPIC_SLOT, render
 from examloom.functions.text import keyed_index
+from examloom.session import written
 
 
 def draw(
-    df: DataFrame, dim: DataFrame, dim_id: str, seed: int, key: str, size: int | None = None
+    df: DataFrame, dim: DataFrame, dim_id: str, seed: int, key: str
 ) -> DataFrame:
     """Join one uniformly drawn row of ``dim`` to every row, with replacement.
 
-    ``dim_id`` numbers the rows of ``dim`` from 0. The join is an equi-join on
-    the drawn number: broadcast while the catalogue is small by measured size,
-    sorted beyond that, and even by construction.
+    ``dim_id`` numbers the rows of ``dim`` 0 .. n-1 without gaps or repeats; any
+    other catalogue is refused, as it would lose or double tasks. The join is an
+    equi-join on the drawn number: broadcast while the catalogue is small by
+    measured size, sorted beyond that, and even by construction.
     """
-    n = dim.count() if size is None else size
+    n, least, most, distinct = dim.agg(
+        F.count("*"), F.min(dim_id), F.max(dim_id), F.count_distinct(dim_id)
+    ).first()
+    if n and (least, most, distinct) != (0, n - 1, n):
+        raise ValueError(f"{dim_id} must number the {n} rows 0 .. {n - 1}, each once")
     return df.withColumn(dim_id, keyed_index(n, seed, dim_id, F.col(key))).join(
         dim.withColumn(dim_id, F.col(dim_id).cast("bigint")), dim_id
     )
@@ -62,9 +68,15 @@ def plan_top_up(
     templates: DataFrame,
     seed: int,
 ) -> DataFrame:
-    """Tasks for the rows still missing; empty once ``total`` is reached."""
-    existing, missing = remaining(total, clean, raw)
-    return plan_tasks(task_ids(spark, missing, existing + 1), topics, templates, seed)
+    """Tasks for the rows still missing; empty once ``total`` is reached.
+
+    Their ids follow the greatest task id of either dataset, so they repeat
+    neither a stored row nor one that was dropped since.
+    """
+    _, missing = remaining(total, clean, raw)
+    used = [df.agg(F.max("task_id")).first()[0] for df in (clean, raw) if df is not None]
+    first = max((u for u in used if u is not None), default=0) + 1
+    return plan_tasks(task_ids(spark, missing, first), topics, templates, seed)
 
 
 def pending(tasks: DataFrame, done: DataFrame, key: str = "task_id") -> DataFrame:
@@ -82,22 +94,40 @@ def merge_templates(
 
     Both inputs have ``ordinal`` and ``template``. Seeds are taken as they are;
     a candidate must hold the slot and be neither a seed nor an earlier
-    candidate. Only the accepted rows are sorted.
+    candidate. The result is numbered 0 .. n-1 by ``template_id``. Candidates are
+    grouped and met by digest, and ranked by a distributed sort.
     """
-    n_seeds = seeds.count()
-    base = seeds.select(F.lit("seed").alias("origin"), "ordinal", "template")
-    if n_seeds >= target_total:
-        return base
+    digest = F.sha2("template", 256).alias("digest")
     fresh = (
         candidates.where(F.col("template").contains(slot))
-        .groupBy("template")
-        .agg(F.min("ordinal").alias("ordinal"))
-        .join(seeds.select("template"), "template", "left_anti")
-        .orderBy("ordinal")
-        .limit(target_total - n_seeds)
+        .groupBy(digest)
+        .agg(F.min(F.struct("ordinal", "template")).alias("first"))
+        .join(seeds.select(digest).distinct(), "digest", "left_anti")
+        .select(F.lit(1).alias("rank"), "first.*")
+    )
+    base = seeds.select(F.lit(0).alias("rank"), "ordinal", "template")
+    merged = numbered(base.unionByName(fresh), ["rank", "ordinal", "template"], "template_id")
+    origin = F.when(F.col("rank") == 0, "seed").otherwise("augmented").alias("origin")
+    wanted = (F.col("rank") == 0) | (F.col("template_id") < target_total)
+    return merged.where(wanted).select(origin, "template_id", "template")
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add ``name``: the place 0 .. n-1 of each row in ``order``.
+
+    Rows are sorted by ranges and written with their place inside the range;
+    what meets in one task is one count per range.
+    """
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = sorted_rows.withColumns(
+        {"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
     )
-    return base.unionByName(
-        fresh.select(F.lit("augmented").alias("origin"), "ordinal", "template")
+    placed = written(placed.withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    starts = sizes.select("_range", before.alias("_before"))
+    return placed.join(starts, "_range").withColumn(name, F.col("_before") + F.col("_row")).drop(
+        "_range", "_row", "_before"
     )
 
 

@@ -73,10 +73,11 @@ def valid_prefix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantined) lines of JSONL files; a missing path gives no lines.
 
     Per file, lines before the first corrupt one are valid, that line and all
-    after it are quarantined; blank lines are skipped. The places of the first
-    corrupt lines, one row per damaged file, are written first: the join then
-    knows their size and moves the lines only if there are very many. The input
-    files are not changed.
+    after it are quarantined; blank lines are skipped. Lines are numbered and
+    checked once and written; both results come from that table, so they do not
+    depend on how later jobs split the files. The join with the first corrupt
+    places, one row per damaged file, moves lines only if there are very many.
+    The input files are not changed.
     """
     try:
         found = _text_lines(spark, path)
@@ -84,9 +85,9 @@ def valid_prefix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         empty = spark.createDataFrame([], "file STRING, line STRING")
         return empty, empty
     numbered = found.where(~is_blank(F.col("line"))).withColumn("line", strip(F.col("line")))
-    corrupt = numbered.where(~is_json(F.col("line")))
-    first_bad = corrupt.groupBy("file").agg(F.min("place").alias("_bad"))
-    placed = numbered.join(written(first_bad, "first-bad"), "file", "left")
+    checked = written(numbered.withColumn("ok", is_json(F.col("line"))), "lines")
+    first_bad = checked.where(~F.col("ok")).groupBy("file").agg(F.min("place").alias("_bad"))
+    placed = checked.join(first_bad, "file", "left")
     before = F.col("_bad").isNull() | (F.col("place") < F.col("_bad"))
     return (
         placed.where(before).select("file", "line"),

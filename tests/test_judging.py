@@ -187,3 +187,18 @@ def test_latency(spark):
     long = boards.latency_wide_to_long(df, {"x": "time_x", "y": "time_y"})
     out = {r.arm: r for r in boards.latency_summary(long).collect()}
     assert (out["x"].mean_s, out["y"].max_s, out["x"].rounds) == (1.5, 5.0, 2)
+
+
+def test_percentiles_are_exact_at_any_size(spark):
+    n = 300_000
+    rounds = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").alias("arm"),
+        F.when(F.col("id") % 3 == 1, F.col("id") % 5).otherwise(F.col("id") * 7919 % 1_000_003).cast("double").alias("latency_s"),
+    )
+    rounds = rounds.unionByName(spark.createDataFrame([("a", None), ("none", None)], "arm STRING, latency_s DOUBLE"))
+    got = {r.arm: r for r in boards.latency_summary(rounds, accuracy=1000).collect()}
+    for arm, k in (("a", 0), ("b", 1), (None, 2)):
+        values = sorted(i % 5 if k == 1 else i * 7919 % 1_000_003 for i in range(k, n, 3))
+        rank = lambda q: values[-(-len(values) * q // 100) - 1]
+        assert (got[arm].rounds, got[arm].p50_s, got[arm].p95_s) == (len(values), rank(50), rank(95))
+    assert (got["none"].rounds, got["none"].p50_s) == (0, None)

@@ -46,6 +46,20 @@ def test_valid_prefix_of_a_file_in_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_valid_prefix_when_splits_change_before_the_action(spark, tmp_path):
+    lines = [f'{{"n":{i}}}' if i != 3000 else '{"n":' for i in range(4000)]
+    (tmp_path / "one.jsonl").write_text("\n".join(lines))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "4096")
+        valid, bad = readers.valid_prefix(spark, str(tmp_path / "one.jsonl"))
+        spark.conf.set(key, "16384")
+        assert (valid.count(), bad.count()) == (3000, 1000)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_valid_prefix_of_a_missing_path(spark, tmp_path):
     valid, bad = readers.valid_prefix(spark, str(tmp_path / "none.jsonl"))
     assert (valid.count(), bad.count()) == (0, 0)

@@ -41,8 +41,18 @@ def test_keyed_index_is_stable_and_in_range(spark):
 
 
 def test_log_forms(apply):
-    assert apply(t.log_text, ["a\nb", "x" * 10001]) == ["a\\nb", "x" * 10000]
-    assert apply(t.log_excerpt, ["a\nb", "y" * 201]) == ["a b...", "y" * 200 + "..."]
+    assert apply(t.log_text, ["a\nb", "x" * 10001]) == ["a\\nb", "x" * 10001]
+    assert apply(lambda c: t.log_text(c, 3), ["a\nb", "wxyz"]) == ["a\\n", "wxy"]
+    assert apply(lambda c: t.log_excerpt(c, 200), ["a\nb", "y" * 201]) == ["a b...", "y" * 200 + "..."]
+
+
+CLOSERS = ['{"a":1}]', '{"a":1}],[', "1],[2", '{"a":1},"end":1', '1,"end":1}', '{"a":1}}', '{"a":1},', ',{"a":1}', ""]
+
+
+def test_json_that_closes_its_wrapper(apply):
+    assert apply(t.is_json, CLOSERS) == [False] * len(CLOSERS)
+    whole = ['{"a":1,"a":2}', "[]", "1", '"x]"', "null", '{"end":{"value":1}}', " [1] "]
+    assert apply(t.is_json, whole) == [True] * len(whole)
 
 
 def test_model_name(apply):

@@ -98,3 +98,9 @@ def test_candidates(apply):
         ["abc {topic}", "quoted line", "zzzzzz"], ["['single quoted list']"], [],
         [], ['["one", "two"] and more text'], [],
     ]
+
+
+def test_replies_that_close_their_wrapper_keep_nothing(apply):
+    broken = ['{"keep": true}],[{"b": 1}', 'x {"keep": true}]} y', '{"keep": true}, "end": 1}', '{"keep": true}}']
+    got = apply(lambda c: v.parse_verdict_json(c), broken)
+    assert [(r.keep, r.ok) for r in got] == [(False, False)] * len(broken)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from examloom.functions.text import ws_tokens
 from examloom.operators import chat, records
 from examloom.schemas import CHAT_MESSAGES, STAGES
-from workloads.registry import query, sql_lines, sql_strip, sql_tokens, table, texts
+from workloads.registry import query, sql_lines, sql_strip, sql_tokens, table
 
 BUDGET = 120
 
@@ -132,25 +132,25 @@ def flag_over_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ws_tokens", f"SELECT doc_id, {sql_tokens('text')}::INTEGER AS n_tokens FROM documents")
 def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", ws_tokens(F.col("text")).alias("n_tokens")
     )
 
 
 def stage_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns 0 to 4 of a conversation as the five stages; one slot each, no gathering.
+    """Every five turns of a conversation as the five stages; one slot each, no gathering.
 
-    A conversation with fewer turns stands for a failed chain.
+    Five turns that are not complete stand for a failed chain.
     """
 
-    def slot(i: int) -> F.Column:
-        return F.max(F.when(F.col("turn") == i, F.col("text")))
+    def slot(i: int, column: str = "text") -> F.Column:
+        return F.max(F.when(F.col("turn") % 5 == i, F.col(column)))
 
     wide = (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id")
+        .groupBy("conv_id", F.expr("turn div 5").alias("chain"))
         .agg(
-            F.max(F.when(F.col("turn") == 0, F.col("role"))).alias("topic"),
+            slot(0, "role").alias("topic"),
             *[slot(i).alias(f"{s}_text") for i, s in enumerate(STAGES)],
         )
     )
@@ -167,11 +167,11 @@ def stage_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SLOTS = ", ".join(
-    f"max(CASE WHEN turn = {i} THEN text END) AS {s}_text" for i, s in enumerate(STAGES)
+    f"max(CASE WHEN turn % 5 = {i} THEN text END) AS {s}_text" for i, s in enumerate(STAGES)
 )
 STAGES_SQL = f"""wide AS (
-  SELECT conv_id, max(CASE WHEN turn = 0 THEN role END) AS topic, {_SLOTS}
-  FROM conversations GROUP BY conv_id),
+  SELECT conv_id, max(CASE WHEN turn % 5 = 0 THEN role END) AS topic, {_SLOTS}
+  FROM conversations GROUP BY conv_id, turn // 5),
 stages AS (SELECT *, CASE WHEN review_text IS NULL THEN 'short' END AS _error,
   length(review_text) % 2 = 0 AS keep FROM wide)"""
 
@@ -263,7 +263,7 @@ def flat_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("reason"),
         F.col("text").alias("final_question"),
     )
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.expr("lang || ' - ' || source").alias("topic"),
         F.col("text").alias("original"),

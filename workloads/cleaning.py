@@ -17,7 +17,6 @@ from workloads.registry import (
     sql_lines,
     sql_strip,
     table,
-    texts,
 )
 
 SEED = 7
@@ -32,7 +31,7 @@ EXAM_SPARK = EXAM_SQL.replace("\\pmod", "\\\\pmod")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir).withColumn("exam", F.expr(EXAM_SPARK))
+    return table(spark, sf_dir, "documents").withColumn("exam", F.expr(EXAM_SPARK))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +263,7 @@ verdicts AS (SELECT *, s <> '' AND json_valid(s) AS ok,
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        texts(spark, sf_dir)
+        table(spark, sf_dir, "documents")
         .join(table(spark, sf_dir, "labels"), "doc_id", "left")
         .select("doc_id", F.expr(REPLY_SQL.replace("''", "\\'")).alias("reply"))
     )
@@ -298,14 +297,14 @@ def verdict_truthy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "judge_gate",
-    f"""WITH {REPLIES_SQL} SELECT p.page_id AS doc_id, coalesce({_KEEP_SQL}, false) AS ok,
+    f"""WITH {REPLIES_SQL} SELECT p.doc_id, coalesce({_KEEP_SQL}, false) AS ok,
     CASE WHEN coalesce(ok, false) THEN coalesce(json_extract_string(j, '$.reason'), '')
          ELSE '審查模型錯誤' END AS gate_reason
-    FROM pages p LEFT JOIN verdicts v ON p.page_id = v.doc_id""",
+    FROM documents p LEFT JOIN verdicts v ON p.doc_id = v.doc_id""",
 )
 def judge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "html")
-    return cleaning.judge_gate(pages, replies(spark, sf_dir), "doc_id").select(
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return cleaning.judge_gate(rows, replies(spark, sf_dir), "doc_id").select(
         "doc_id", "ok", "gate_reason"
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from examloom import schemas
 from examloom.operators.records import assemble_record, review_log
+from examloom.plans import tasks
 from examloom.session import fresh_path
 from examloom.sources import readers, writers
 from examloom.streaming.board import progress, stream_best_of_n, stream_board
@@ -58,22 +59,19 @@ def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "valid_prefix",
-    """SELECT (SELECT count(*) FROM documents) AS n_lines,
-    (SELECT count(*) FROM labels WHERE toxic = 1) AS n_cut_quarantined, 0::BIGINT AS n_cut_valid""",
+    """SELECT doc_id, coalesce(max(toxic) OVER (PARTITION BY doc_id // 100 ORDER BY doc_id
+      ROWS UNBOUNDED PRECEDING), 0) = 0 AS valid FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def valid_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side of every line, in one file for each hundred documents."""
     path = fresh_path(spark, "damaged")
-    lines = _damaged_lines(spark, sf_dir).repartitionByRange("doc_id")
-    lines.sortWithinPartitions("doc_id").select("value").write.text(path)
+    lines = _damaged_lines(spark, sf_dir).withColumn("shard", F.expr("doc_id div 100"))
+    ordered = lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    ordered.select("shard", "value").write.partitionBy("shard").text(path)
     valid, quarantined = readers.valid_prefix(spark, path)
-    cut = ~F.col("line").endswith('"}')
-    both = valid.select(cut.alias("cut"), F.lit(True).alias("valid")).unionByName(
-        quarantined.select(cut.alias("cut"), F.lit(False).alias("valid"))
-    )
-    return both.agg(
-        F.count("*").alias("n_lines"),
-        F.count_if(F.col("cut") & ~F.col("valid")).alias("n_cut_quarantined"),
-        F.count_if(F.col("cut") & F.col("valid")).alias("n_cut_valid"),
+    number = F.regexp_extract("line", r'^\{"doc_id":(\d+)', 1).cast("bigint").alias("doc_id")
+    return valid.select(number, F.lit(True).alias("valid")).unionByName(
+        quarantined.select(number, F.lit(False).alias("valid"))
     )
 
 
@@ -102,15 +100,31 @@ def responses_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "saved_templates",
-    f"WITH {plan.MERGED_SQL} SELECT ordinal::INTEGER AS template_id, template, origin FROM merged",
+    f"WITH {plan.MERGED_SQL} SELECT template_id::INTEGER AS template_id, template, origin FROM merged",
 )
 def saved_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "templates")
-    merged = plan.merge_templates(spark, sf_dir).withColumnRenamed("ordinal", "template_id")
-    writers.save_templates(merged, path)
+    writers.save_templates(plan.merge_templates(spark, sf_dir), path)
     return writers.read_saved_templates(spark, path)
 
 
+@query(
+    "plan_from_merged",
+    f"""WITH {plan.MERGED_SQL} SELECT task_id, template_id::INTEGER AS template_id,
+    replace(template, '{{topic}}', topic) AS prompt
+    FROM (SELECT o_orderkey AS task_id, {plan.drawn_sql('part', 'topic_id')} AS topic_id,
+      {plan.drawn_sql('merged', 'template_id')} AS drawn FROM orders)
+    LEFT JOIN (SELECT p_partkey AS topic_id, p_type || ' - ' || p_name AS topic FROM part) USING (topic_id)
+    LEFT JOIN merged ON template_id = drawn""",
+)
+def plan_from_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks over templates that were merged, saved and loaded: one row for each task."""
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"))
+    templates = saved_templates(spark, sf_dir)
+    planned = tasks.plan_tasks(ids, plan.topics(spark, sf_dir), templates, plan.SEED)
+    return planned.select("task_id", "template_id", "prompt")
+
+
 def _streamed_split(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Records as JSONL files, cleaned by the stream; returns its two output folders."""
     incoming, clean, removed, state = (

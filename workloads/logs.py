@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from examloom.functions.verdicts import parse_multi_scores
 from examloom.operators import blinding, boards, logs
 from workloads import judging as j
-from workloads.registry import query, table, texts
+from workloads.registry import query, table
 
 
 def _rounds(spark: SparkSession, sf_dir: str, reply: str) -> DataFrame:
-    rounds = texts(spark, sf_dir).select(
+    rounds = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("task_id"),
         F.col("source").alias("topic"),
         F.col("text").alias("text_x"),
@@ -24,7 +24,7 @@ def _rounds(spark: SparkSession, sf_dir: str, reply: str) -> DataFrame:
 
 _SIDES = """d.source AS topic, CASE WHEN a_is_x THEN d.text ELSE d.lang END AS "question_A",
     CASE WHEN a_is_x THEN d.lang ELSE d.text END AS "question_B\""""
-_LOG = "substr(replace(judge_raw, chr(10), '\\n'), 1, 10000)"
+_LOG = "replace(judge_raw, chr(10), '\\n')"
 
 
 @query(
@@ -52,10 +52,10 @@ def choice_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "pairwise_log",
     f"""WITH {j.JUDGED_PAIRS_SQL} SELECT task_id, topic, model_A AS "model_A", model_B AS "model_B", winner,
-    substr(replace(judge_raw, chr(10), ' '), 1, 200) || '...' AS reason FROM judged""",
+    substr(replace(judge_raw, chr(10), ' '), 1, 200) || '...' AS reason, judge_raw FROM judged""",
 )
 def pairwise_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.pairwise_log(j.judged_pairs(spark, sf_dir))
+    return logs.pairwise_log(j.judged_pairs(spark, sf_dir), 200)
 
 
 _RESP = ", ".join(f"max(CASE WHEN model = '{m}' THEN text END) AS resp_{m}" for m in j.MODELS)

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from examloom.functions.prompts import parse_candidates
 from examloom.plans import tasks
-from workloads.registry import query, sql_index, sql_lines, sql_strip, table, texts
+from workloads.registry import query, sql_index, sql_lines, sql_strip, table
 
 SEED = 11
-TARGET = 500
 
 
-def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("topic_id"), F.expr("p_type || ' - ' || p_name").alias("topic")
     )
@@ -26,36 +25,39 @@ def _templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drawn_sql(catalogue: str, key: str) -> str:
+    return sql_index(f"SELECT count(*) FROM {catalogue}", SEED, key, "task_id")
+
+
 def _plan_sql(ids: str) -> str:
-    topic = sql_index("SELECT count(*) FROM part", SEED, "topic_id", "task_id")
-    template = sql_index("SELECT count(*) FROM nation", SEED, "template_id", "task_id")
+    topic, template = drawn_sql("part", "topic_id"), drawn_sql("nation", "template_id")
     return f"""SELECT task_id, topic, template_id, replace(template, '{{topic}}', topic) AS prompt
     FROM (SELECT task_id, {topic} AS topic_id, {template} AS drawn FROM ({ids}))
-    JOIN (SELECT p_partkey AS topic_id, p_type || ' - ' || p_name AS topic FROM part) USING (topic_id)
-    JOIN (SELECT n_nationkey AS template_id, n_name || ' asks about {{topic}}, only {{topic}}' AS template
+    LEFT JOIN (SELECT p_partkey AS topic_id, p_type || ' - ' || p_name AS topic FROM part) USING (topic_id)
+    LEFT JOIN (SELECT n_nationkey AS template_id, n_name || ' asks about {{topic}}, only {{topic}}' AS template
           FROM nation) ON template_id = drawn"""
 
 
 @query("plan_tasks", _plan_sql("SELECT o_orderkey AS task_id FROM orders"))
 def plan_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"))
-    return tasks.plan_tasks(ids, _topics(spark, sf_dir), _templates(spark, sf_dir), SEED)
+    return tasks.plan_tasks(ids, topics(spark, sf_dir), _templates(spark, sf_dir), SEED)
 
 
 @query(
     "plan_top_up",
     _plan_sql(
-        "SELECT unnest(range((SELECT count(*) FROM labels) + 1, (SELECT count(*) FROM orders) + 1))"
-        " AS task_id"
+        "SELECT (SELECT max(doc_id) FROM documents) + unnest(range(1, (SELECT count(*) FROM orders)"
+        " - (SELECT count(*) FROM labels) + 1)) AS task_id"
     ),
 )
 def plan_top_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.plan_top_up(
         spark,
         table(spark, sf_dir, "orders").count(),
-        table(spark, sf_dir, "labels"),
-        table(spark, sf_dir, "documents"),
-        _topics(spark, sf_dir),
+        table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "task_id"),
+        table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "task_id"),
+        topics(spark, sf_dir),
         _templates(spark, sf_dir),
         SEED,
     )
@@ -84,7 +86,9 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ordinal"), F.expr(CANDIDATE_SQL).alias("template")
     )
-    return tasks.merge_templates(seeds, candidates, TARGET)
+    # the target grows with the input: half as many templates as there are candidates
+    target = table(spark, sf_dir, "documents").count() // 2
+    return tasks.merge_templates(seeds, candidates, target)
 
 
 MERGED_SQL = f"""seeds AS (SELECT item_id AS ordinal, text || ' {{topic}}' AS template FROM benchmark),
@@ -92,8 +96,9 @@ candidates AS (SELECT min(doc_id) AS ordinal, {CANDIDATE_SQL} AS template FROM d
   GROUP BY 2),
 fresh AS (SELECT * FROM candidates WHERE contains(template, '{{topic}}')
   AND template NOT IN (SELECT template FROM seeds) ORDER BY ordinal
-  LIMIT (SELECT greatest({TARGET} - count(*), 0) FROM seeds)),
-merged AS (SELECT 'seed' AS origin, * FROM seeds UNION ALL SELECT 'augmented', * FROM fresh)"""
+  LIMIT (SELECT greatest((SELECT count(*) // 2 FROM documents) - count(*), 0) FROM seeds)),
+merged AS (SELECT origin, row_number() OVER (ORDER BY origin DESC, ordinal) - 1 AS template_id, template
+  FROM (SELECT 'seed' AS origin, * FROM seeds UNION ALL SELECT 'augmented', * FROM fresh))"""
 
 
 @query("merge_templates", f"WITH {MERGED_SQL} SELECT * FROM merged")
@@ -132,7 +137,7 @@ _BARE = (
     FROM (SELECT *, unnest(range(len(c))) AS i FROM parsed)""",
 )
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = texts(spark, sf_dir).select(
+    replies = table(spark, sf_dir, "documents").select(
         "doc_id", F.expr(CANDIDATES_SQL).alias("reply")
     )
     return replies.select(

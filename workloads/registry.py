@@ -34,17 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table whose rows cost much more to work on than to read.
-
-    A file of one row group is read by one task whatever the cluster; only then
-    are its rows spread over the cores first. Larger tables are left as read.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def sql_strip(expr: str) -> str:
     return f"trim({expr}, '{WHITESPACE}')"
 

@@ -9,7 +9,7 @@ from examloom.operators import stages
 from examloom.plans import flows
 from examloom.session import fresh_path, ship_packages
 from workloads import judging
-from workloads.registry import query, sql_strip, sql_tokens, table, texts
+from workloads.registry import query, sql_strip, sql_tokens, table
 
 
 class RefusedPrompt(Exception):
@@ -34,7 +34,7 @@ def _ship(spark: SparkSession) -> None:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    return texts(spark, sf_dir).select("doc_id", "source", "text")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
 
 
 _STAGE_SQL = f"""SELECT doc_id, source, p, failed,
@@ -119,7 +119,7 @@ RULES = {f"{s}_rules": f"rules of {s}" for s in CLIENTS}
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("task_id"), F.col("source").alias("topic"), F.col("text").alias("prompt")
     )
 
@@ -213,7 +213,7 @@ r AS (SELECT *, length('rules of review' || chr(10) || original) AS n FROM o)"""
 )
 def generate_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    tasks = texts(spark, sf_dir).select(
+    tasks = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("task_id"), F.expr("lang || '」' || source").alias("topic")
     )
     done = flows.generate_flat(
@@ -331,15 +331,12 @@ def scores_by_size():
 
 @query(
     "two_arm_comparison",
-    """SELECT count(*) AS rounds, sum(length(text) % 10 + 1)::BIGINT AS total_x,
-    sum(length(html) % 10 + 1)::BIGINT AS total_y FROM documents JOIN pages ON page_id = doc_id""",
+    f"""WITH {judging.ARMS_SQL} SELECT count(*) AS rounds, sum(length(text_x) % 10 + 1)::BIGINT AS total_x,
+    sum(length(text_y) % 10 + 1)::BIGINT AS total_y FROM arms""",
 )
 def two_arm_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ship(spark)
-    x = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("task_id"), "text")
-    y = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("task_id"), F.col("html").alias("text")
-    )
+    x, y = judging.arm_texts(spark, sf_dir)
     _, totals = flows.two_arm_comparison(
         x, y, scores_by_size, "{responses}", judging.SEED, fresh_path(spark, "two-arm")
     )
