@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom.functions.prompts import fill
@@ -93,6 +93,9 @@ FLAT_CHAIN = (
 )
 
 
+NO_PROMPT = "no prompt"
+
+
 def call_once(client: Client, prompt: str, stage: Stage) -> dict[str, object]:
     """One reply with retries; an error is returned as text unless it must be raised."""
     started = time.perf_counter()
@@ -133,7 +136,7 @@ def _reply_udf(stage: Stage, factory: Callable[[str], Client], warm_up: bool) ->
             rows = []
             for name, prompt in zip(names, prompts):
                 if prompt is None:
-                    rows.append(dict.fromkeys(columns))
+                    rows.append(dict.fromkeys(columns) | {"error": NO_PROMPT})
                     continue
                 if client is None or name != model:
                     client, model = None, name
@@ -180,6 +183,9 @@ def _shape_reply(
     called: DataFrame, stage: Stage, values: dict[str, Column], timed: bool
 ) -> DataFrame:
     text = F.col("_reply.text")
+    if "_error" in called.columns:  # rows that failed before were not asked
+        fresh = F.when(F.col("_error").isNull(), F.col("_reply.error"))
+        called = called.withColumn("_reply", F.col("_reply").withField("error", fresh))
     failed = F.col("_reply.error").isNotNull()
     if stage.on_error == "passthrough":
         text = F.when(failed, F.col(stage.passthrough)).otherwise(text)
@@ -225,21 +231,53 @@ def replay_stage(df: DataFrame, stage: Stage, replies: DataFrame, key: str) -> D
     return _shape_reply(joined.drop("_stored"), stage, values, timed=False)
 
 
+def _store(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if there is none yet; any other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def stored_once(
-    todo: DataFrame, key: str | list[str], path: str, step: Callable[[DataFrame], DataFrame]
+    todo: DataFrame,
+    key: str | list[str],
+    path: str,
+    step: Callable[[DataFrame], DataFrame],
+    failed: Column | None = None,
+    slices: int = 4,
 ) -> DataFrame:
-    """Run ``step`` for the rows of ``todo`` that ``path`` does not hold yet.
+    """``todo`` with the columns that ``step`` adds, made once for each key and stored.
 
-    The result table is read back, so later steps never call a client again.
+    The store at ``path`` holds the key and the added columns only. Keys are worked
+    on in ``slices`` by hash, each committed alone, so an interrupted run loses one
+    slice at most. A later call runs ``step`` for keys without a stored row and for
+    those whose row is ``failed``; of several rows of a key the one that did not
+    fail counts, else the newest. Rows of other keys stay in the store.
     """
     spark = todo.sparkSession
-    try:
-        done = spark.read.parquet(path).select(key)
-    except AnalysisException:
-        done = None
-    pending = todo if done is None else todo.join(done, key, "left_anti")
-    step(pending).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    keys = [key] if isinstance(key, str) else list(key)
+    before = _store(spark, path)
+    attempt, pending = 0, todo
+    if before is not None:
+        attempt = (before.agg(F.max("_attempt")).first()[0] or 0) + 1
+        settled = before if failed is None else before.where(~failed)
+        pending = todo.join(settled.select(*keys), keys, "left_anti")
+    part = F.pmod(F.xxhash64(*keys), F.lit(slices))
+    for k in range(slices):
+        made = step(pending.where(part == k))
+        added = [c for c in made.columns if c not in todo.columns or c == "_error"]
+        own = made.select(*keys, *added, F.lit(attempt).alias("_attempt"))
+        own.write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    if failed is not None:
+        good = stored.where(~failed)
+        again = stored.where(failed & (F.col("_attempt") == attempt))
+        stored = good.unionByName(again)
+    kept = [c for c in todo.columns if c not in stored.columns or c in keys]
+    return todo.select(*kept).join(stored.drop("_attempt"), keys)
 
 
 def run_stages(
@@ -265,7 +303,10 @@ def run_stages(
                 return out
             return _flat_review(out) if flat else _rich_review(out)
 
-        current = stored_once(current, key, f"{path}/{i}-{stage.name}", step)
+        failed = F.col(f"{stage.name}_error").isNotNull()
+        if stage.on_error == "error_row" or "_error" in current.columns:
+            failed = failed | F.col("_error").isNotNull()  # also rows that were not sent
+        current = stored_once(current, key, f"{path}/{i}-{stage.name}", step, failed)
     return current
 
 
@@ -327,4 +368,7 @@ def generate_responses(
 
     if path is None:
         return generate(grid)
-    return stored_once(grid, ["task_id", "model"], path, generate)
+    made = stored_once(grid, ["task_id", "model"], path, generate, F.col("status") == "error")
+    return made.select(
+        "task_id", "model", "text", "status", "in_tokens", "out_tokens", "latency_s"
+    )

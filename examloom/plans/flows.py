@@ -78,14 +78,13 @@ def augment_templates(
 
 def _judge(prompts: DataFrame, client_factory: Callable[[], Client], path: str, key: str) -> DataFrame:
     """Judge replies stored once as ``judge_raw``; null where the call failed."""
-    return stored_once(
-        prompts,
-        key,
-        path,
-        lambda rows: apply_stage(rows, JUDGE, client_factory)
-        .withColumnRenamed("judge_text", "judge_raw")
-        .drop("judge_in", "judge_out", "judge_prompt"),
-    )
+
+    def ask(rows: DataFrame) -> DataFrame:
+        asked = apply_stage(rows, JUDGE, client_factory)
+        return asked.withColumnRenamed("judge_text", "judge_raw").drop("judge_in", "judge_out")
+
+    judged = stored_once(prompts, key, path, ask, F.col("judge_error").isNotNull())
+    return judged.drop("judge_prompt")
 
 
 def pairwise_tournament(

@@ -69,8 +69,14 @@ def test_rich_chain_calls_every_client_once_and_resumes(spark, tasks, tmp_path):
     assert per_stage == {"generator": 31, "comment": 29, "refine": 29, "beautify": 29, "review": 29}
     more = stages.run_stages(tasks, quick, clients, RULES, "task_id", path)
     assert more.count() == 40
+    more = spark.createDataFrame(more.collect(), more.schema)
     per_stage = collections.Counter(k.split("|")[0] for k in calls_of(log).elements())
-    assert per_stage["generator"] == 41 and per_stage["review"] == 39
+    # ten new tasks, and both tries of the failed one again
+    assert per_stage["generator"] == 43 and per_stage["review"] == 39
+
+    clients["generator"] = logging(log, "generator", lambda p: stages.Reply("late text", 7, 9))
+    healed = stages.run_stages(tasks, quick, clients, RULES, "task_id", path).where("task_id = 7").first()
+    assert (healed.generator_text, healed.review_text is None, healed._error) == ("late text", False, None)
 
     records = assemble_record(more)
     failed = records.where("task_id = 7").first()
@@ -305,3 +311,48 @@ def test_two_arm_comparison(spark, responses, tmp_path):
         x, y, chooser, "{responses}", 2, str(tmp_path / "choice"), scored=False
     )
     assert tuple(totals.first()) == (40, 40, 0)
+
+
+def test_an_interrupted_run_keeps_its_slices(spark, tmp_path):
+    from examloom.operators.stages import stored_once
+
+    path = str(tmp_path / "store")
+    todo = spark.range(40).select(F.col("id").alias("task_id"), F.lit("long text").alias("text"))
+    asked = []
+
+    def step(rows):
+        if len(asked) == 2:
+            raise RuntimeError("stopped")
+        asked.append(rows.count())
+        return rows.withColumns({"reply": F.lit("r"), "error": F.lit(None).cast("string")})
+
+    with pytest.raises(RuntimeError):
+        stored_once(todo, "task_id", path, step, F.col("error").isNotNull())
+    before = list(asked)
+    asked[:] = [0, 0, 0]
+    done = stored_once(todo, "task_id", path, step, F.col("error").isNotNull())
+    assert done.count() == 40 and sum(asked) == 40 - sum(before)
+    assert "text" not in spark.read.parquet(path).columns
+
+
+def test_failed_rows_are_asked_again_and_other_rows_stay_out(spark, tmp_path):
+    from examloom.operators.stages import stored_once
+
+    path = str(tmp_path / "store")
+    todo = spark.range(10).select(F.col("id").alias("task_id"))
+    bad = F.when(F.col("task_id") % 2 == 0, F.lit("no"))
+    run = lambda rows, error: stored_once(
+        rows, "task_id", path, lambda x: x.withColumns({"reply": F.lit("r"), "error": error.cast("string")}), F.col("error").isNotNull()
+    )
+    assert run(todo, bad).where("error is not null").count() == 5
+    assert run(todo, bad).count() == 10
+    again = run(todo.where("task_id < 4"), F.lit(None))
+    assert sorted((r.task_id, r.error) for r in again.collect()) == [(i, None) for i in range(4)]
+    assert spark.read.parquet(path).where("task_id = 0").count() == 3
+
+
+def test_a_missing_prompt_is_an_error(spark):
+    df = spark.createDataFrame([(1, None), (2, "p")], "task_id LONG, q STRING")
+    rows = df.withColumn("model", F.lit("m")).withColumnRenamed("q", "prompt")
+    got = {r.task_id: r for r in stages.generate_responses(rows, lambda m: lambda p: p).collect()}
+    assert (got[1].status, got[1].text) == ("error", None) and got[2].status == "ok"
