@@ -45,14 +45,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text and its edited form, whose last third is the head of the next document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sized = docs.withColumn("n_chars", F.length("text").cast("long"))
-    nexts = next_ids(docs.select("doc_id"), "doc_id")
-    ahead = sized.select("doc_id", "n_chars").join(nexts, "doc_id")
-    heads = ahead.join(docs.select(F.col("doc_id").alias("next_key"), F.col("text").alias("head")), "next_key").select(
-        "doc_id", "next_key", F.expr("substring(head, 1, cast(n_chars div 3 as int))").alias("head")
+    sizes = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"))
+    ahead = sizes.join(next_ids(docs.select("doc_id"), "doc_id"), "doc_id")
+    # Both joins read one shuffle of the texts: that side is the same, and sorted at every size.
+    heads = ahead.alias("a").join(docs.alias("n").hint("merge"), F.expr("a.next_key = n.doc_id")).select(
+        "a.doc_id", "next_key", "n_chars", F.expr("substring(n.text, 1, cast(n_chars div 3 as int))").alias("head")
     )
     both = (
-        sized.join(heads, "doc_id")
+        docs.alias("d")
+        .hint("merge")
+        .join(heads.alias("h"), F.expr("d.doc_id = h.doc_id"))
+        .select("d.doc_id", "next_key", "n_chars", "text", "head")
         .withColumn("kept", F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"))
         .select(
             "doc_id", "next_key", "n_chars",
