@@ -90,7 +90,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_warc")
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = "regexp_extract_all(" + _LOW + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+WARC_SQL = """SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+    CASE WHEN revisits THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN revisits THEN first_id END AS refers_to
+    FROM (SELECT *, first_id <> page_id AND strlen(coalesce(html, '')) >= 1000 AS revisits
+      FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages))"""
+
+CONTAMINATION_SQL = f"""WITH item_words AS (SELECT item_id::VARCHAR AS item, {_BENCH_WORDS.format('text')} AS w FROM benchmark),
+    windows AS (SELECT DISTINCT item, least(len(w), 10) AS width, w[i:i + least(len(w), 10) - 1] AS win
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+    docs AS (SELECT doc_id, coalesce({_BENCH_WORDS.format('text')}, []) AS w FROM documents),
+    places AS (SELECT doc_id, width, i, w[i:i + width - 1] AS win
+      FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+        FROM docs, (SELECT DISTINCT width FROM windows))),
+    hits AS (SELECT doc_id, i, p.width, item FROM places p JOIN windows USING (win)),
+    words AS (SELECT doc_id, count(DISTINCT place) AS n FROM
+      (SELECT doc_id, unnest(range(i, i + width)) AS place FROM hits) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+      FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+      sha256(coalesce(names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query("op3_warc", WARC_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page into archives and back; ids travel as record ids."""
     pages = table(spark, sf_dir, "pages").select(
@@ -134,7 +159,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
-@query("op8_benchmark_decontamination")
+@query("op8_benchmark_decontamination", CONTAMINATION_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
