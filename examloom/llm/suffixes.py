@@ -5,7 +5,7 @@ are sorted by pairs of ranks of neighbouring pieces, equal pairs get one new ran
 for a longer piece, and positions with a rank of their own drop out. Run on every
 byte it would shuffle many times the input, so two things keep it small.
 
-First, each 100-byte string is represented by one of its 20-byte grams, the one
+First, each 100-byte string is represented by one of its 32-byte grams, the one
 with the least hash; equal strings have equal representatives at equal offsets. A
 gram stands for the strings around it (its context). Contexts seen before are
 repeats as a whole, grams with a single context are settled, and only contexts of
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from examloom.llm import arrays as A
 from examloom.session import written
 
-GRAM = 20
+GRAM = 32
 PART_BITS = 48  # bits of a hash that travel; the part holds the others
 LEAST = -(2**63)  # the id of documents without one
 
@@ -238,48 +238,58 @@ def _contexts(length: int):
     return run
 
 
-def _split(rows: DataFrame, step: int) -> DataFrame:
-    """Families of starts whose offset to the anchor lies in one block of ``step`` offsets."""
+def _families(contexts: DataFrame, step: int, length: int) -> DataFrame:
+    """Families of starts whose offset to the anchor lies in one block of ``step`` offsets.
+
+    Each has digests of its core and of its whole stretch; the bytes stay behind.
+    """
     least, most = F.expr("anchor - hi"), F.expr("anchor - lo")
     block = F.explode(F.sequence(F.floor(least / step), F.floor(most / step))).alias("block")
-    cut = rows.select("*", block).withColumns({"first": F.col("block") * step, "last": F.col("block") * step + step - 1})
+    cut = contexts.select("*", block)
+    first, last = F.col("block") * step, F.col("block") * step + step - 1
+    cut = cut.withColumns(
+        {
+            "from": F.greatest(F.col("lo"), F.col("anchor") - last).cast("int"),
+            "to": F.least(F.col("hi"), F.col("anchor") - first).cast("int"),
+        }
+    )
+    core = _piece(F.col("anchor") - first, F.col("anchor") - last + length)
+    whole = _piece(F.col("from"), F.col("to") + length)
     return cut.select(
-        "did", "key", "anchor", "start", "context", F.col("block").cast("int").alias("block"), "first", "last",
-        F.greatest(F.col("lo"), F.col("anchor") - F.col("last")).cast("int").alias("lo"),
-        F.least(F.col("hi"), F.col("anchor") - F.col("first")).cast("int").alias("hi"),
+        "class", "did", "key", F.col("block").cast("int").alias("block"), "from", "to",
+        F.expr("anchor - from").alias("offset"),
+        F.xxhash64(core).alias("c1"), F.hash(core).alias("c2"), F.xxhash64(whole).alias("w1"), F.hash(whole).alias("w2"),
     )
 
 
 def _piece(begin: Column, end: Column) -> Column:
-    """A 96-bit digest of the bytes begin .. end of the document, taken from the context."""
-    own = F.substring(F.col("context"), (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
-    return F.struct(F.xxhash64(own).alias("x"), F.hash(own).alias("y"))
-
-
-def _round(rows: DataFrame, step: int, length: int) -> tuple[DataFrame, DataFrame]:
-    """(whole repeats, families still in doubt) after one round at families of ``step`` starts."""
-    rows = _split(rows, step)
-    core = _piece(F.col("anchor") - F.col("first"), F.col("anchor") - F.col("last") + length)
-    whole = _piece(F.col("lo"), F.col("hi") + length)
-    rows = rows.withColumns(
-        {"core": core, "whole": whole, "from": F.expr("anchor - lo"), "to": F.expr("anchor - hi"), "place": F.struct("did", "key", "lo")}
-    )
-    ranks = (
-        rows.groupBy("block", "core")
-        .agg(F.count("*").alias("n"), F.min("place").alias("least_place"), F.max("place").alias("most_place"))
-        .where("n > 1 and least_place <> most_place")
-        .select("block", "core", "least_place")
-    )
-    alive = written(rows.join(ranks, ["block", "core"]), "families")
-    if step == 1:
-        return alive.where("place <> least_place").select("did", "key", "lo", "hi"), alive.limit(0)
-    keys = ["block", "from", "to", "whole"]
-    firsts = alive.groupBy(*keys).agg(F.min("place").alias("first_place"), F.count("*").alias("n")).where("n > 1")
+    """The bytes begin .. end of the document, taken from the context."""
+    return F.substring(F.col("context"), (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
+
+
+def _round(contexts: DataFrame, step: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """(whole repeats, families still in doubt) after one round at families of ``step`` starts.
+
+    Families whose core has no second place are gone from both. A family is a
+    repeat if an earlier one covers the same offsets with the same bytes.
+    """
+    rows = _families(contexts, step, length)
+    place = F.struct("did", "key", "from")
+    ranks = rows.groupBy("block", "c1", "c2").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+    ranks = ranks.where("least <> most").select("block", "c1", "c2")
+    wholes = ["block", "offset", "to_from", "w1", "w2"]
+    sized = rows.withColumn("to_from", F.expr("to - from"))
+    firsts = sized.groupBy(*wholes).agg(F.min(place).alias("first"), F.max(place).alias("most"))
+    firsts = firsts.where("first <> most").drop("most")
+    told = sized.join(ranks, ["block", "c1", "c2"], "left_semi").join(firsts, wholes, "left")
     told = written(
-        alive.join(firsts.drop("n"), keys, "left").withColumn("again", F.col("place") > F.col("first_place")), "told"
+        told.select(
+            "class", "did", "key", "from", "to",
+            F.coalesce(place > F.col("first"), F.lit(False)).alias("again"),
+        ),
+        "families",
     )
-    repeats = told.where("again").select("did", "key", "lo", "hi")
-    return repeats, told.where("again is null or not again").select("did", "key", "anchor", "start", "context", "lo", "hi")
+    return told.where("again"), told.where("not again")
 
 
 def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
@@ -291,10 +301,15 @@ def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
     doubt = found.where("not repeat").groupBy("did", "key")
     doubt = doubt.agg(F.collect_list(F.struct("lo", "hi", "anchor")).alias("spans"))
     texts = docs.join(doubt.hint("merge"), ["did", "key"]).select("did", "key", "text", "spans")
-    rows = written(texts.mapInArrow(_contexts(length), CONTEXTS).withColumn("start", F.col("lo")), "contexts")
+    rows = texts.mapInArrow(_contexts(length), CONTEXTS)
+    numbered = rows.withColumns({"start": F.col("lo"), "class": F.monotonically_increasing_id()})
+    contexts = rows = written(numbered, "contexts")
     for step in STEPS:
-        more, rows = _round(rows, step, length)
-        repeats = repeats.unionByName(more)
+        again, doubt = _round(rows, step, length)
+        repeats = repeats.unionByName(again.select("did", "key", F.col("from").alias("lo"), F.col("to").alias("hi")))
+        # the bytes of a class meet its families again for the next round
+        left = doubt.select("class", F.col("from").alias("lo"), F.col("to").alias("hi"))
+        rows = contexts.drop("lo", "hi").join(left, "class")
     return repeats.groupBy("did", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
