@@ -23,6 +23,12 @@ from examloom.llm import arrays as A
 from examloom.session import written
 
 
+# Marks that are a token of their own after letters, and the last letter
+# of the range in which letters and their composed forms are the same everywhere.
+MARKS = (".", ",")
+LAST_PLAIN = "\u00ff"
+
+
 @dataclass(frozen=True)
 class Slots:
     """Where the pieces of each length go.
@@ -166,27 +172,63 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.machine, self.room = Tokenizer.from_file(path), room
+        vocabulary = self.machine.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.mark_ids = {m: self.machine.encode(m, add_special_tokens=False).ids[0] for m in MARKS}
         self._clear()
 
     def _clear(self):
         self.number: dict[str, int] = {}
+        self.codes = 0
         self.ids, self.at, self.used = np.zeros(1 << 20, "<u4"), np.zeros(1 << 18, np.int64), 0
 
-    def _learn(self, words: list[str]) -> None:
-        got = self.machine.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        places = np.array([start for start, _ in got.offsets], np.int64)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        counts = np.bincount(np.searchsorted(ends, places, "right"), minlength=len(words))
-        n = len(self.number)
+    def _store(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        n = self.codes
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) >= len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
         self.ids[self.used : self.used + len(ids)] = ids
-        self.at[n + 1 : n + 1 + len(words)] = self.used + np.cumsum(counts)
+        self.at[n + 1 : n + 1 + len(words)] = self.used + ends
         self.used += len(ids)
         self.number.update(zip(words, range(n, n + len(words))))
+        self.codes += len(words)
+
+    def _learn(self, words: list[str], plain: bool) -> None:
+        """Encode words together. ``plain`` ones are letters only: each ends with its first end mark."""
+        got = self.machine.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(got.ids, "<u4")
+        if plain:
+            ends = np.flatnonzero(self.closes[ids]) + 1
+        else:
+            places = np.array([start for start, _ in got.offsets], np.int64)
+            owner = np.searchsorted(np.cumsum([len(w) + 1 for w in words]), places, "right")
+            ends = np.cumsum(np.bincount(owner, minlength=len(words)))
+        self._store(words, ids, ends)
+
+    def _learn_all(self, new: list[str]) -> None:
+        """Learn stems first: case and one closing mark add nothing new to a word of letters."""
+        odd, same, marked = [], [], []
+        for word in new:
+            core = word[:-1] if word[-1:] in MARKS else word
+            if not core.isalpha() or not (core.isascii() or max(core) <= LAST_PLAIN):
+                odd.append(word)
+                continue
+            stem = core.lower() if core.isascii() else core
+            (same if core is word else marked).append((word, stem))
+        stems = dict.fromkeys(stem for _, stem in (*same, *marked) if stem not in self.number)
+        for words, plain in ((list(stems), True), (odd, False)):
+            for k in range(0, len(words), 1000):
+                self._learn(words[k : k + 1000], plain)
+        self.number.update((word, self.number[stem]) for word, stem in same)
+        if marked:
+            codes = np.array([self.number[stem] for _, stem in marked])
+            begin, sizes = self.at[codes], self.at[codes + 1] - self.at[codes]
+            ends = np.cumsum(sizes)
+            ids = self.ids[np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)]
+            ids = np.insert(ids, ends, [self.mark_ids[word[-1]] for word, _ in marked])
+            self._store([word for word, _ in marked], ids, ends + np.arange(1, len(ends) + 1))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and the borders of each text's ids."""
@@ -196,9 +238,7 @@ class WordIds:
         if len(self.number) + len(new) > self.room:
             self._clear()
             new = dict.fromkeys(flat)
-        new = list(new)
-        for k in range(0, len(new), 1000):
-            self._learn(new[k : k + 1000])
+        self._learn_all(list(new))
         codes = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
         begin = self.at[codes]
         sizes = self.at[codes + 1] - begin
