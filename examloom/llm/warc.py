@@ -26,6 +26,8 @@ VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nContent-Length: {n}\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
+RECORD_START = re.compile(rb"WARC/1\.[01]\r\n")
+PIECE = 1 << 14  # bytes of a damaged member unpacked at once
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 # A gzip member without content: it ends each line that Spark's text writer writes.
 NOTHING = bytes.fromhex("1f8b080000000000000303000000000000000000")
@@ -145,19 +147,80 @@ def _parse(raw: bytes, at: int) -> tuple[dict, bytes, int]:
     return fields, block, stop + 4
 
 
+def _inside(raw: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
+    """(begin, end, problem, fields, block) of plain records and, with a problem, of gaps."""
+    at, gap, why = 0, None, ""
+    while at < len(raw):
+        try:
+            fields, block, end = _parse(raw, at)
+        except ValueError as error:
+            if gap is None:
+                gap, why = at, str(error)
+            nxt = RECORD_START.search(raw, at + 1)
+            at = nxt.start() if nxt else len(raw)
+            continue
+        if gap is not None:
+            yield gap, at, why, {}, b""
+            gap = None
+        yield at, end, None, fields, block
+        at = end
+    if gap is not None:
+        yield gap, len(raw), why, {}, b""
+
+
 def _one(data: bytes, at: int) -> tuple[list, int]:
-    """The records of the member, or the one plain record, at ``at`` and its end."""
+    """(length, problem, fields, block) of the member, or the one plain record, at ``at``, and its end.
+
+    A gap inside a member has its place in the content in its problem. Raises if no
+    record is whole.
+    """
     if data[at : at + 3] != MEMBER:
         fields, block, end = _parse(data, at)
-        return [(fields, block)], end
+        return [(end - at, None, fields, block)], end
     raw, end = _unpack(data, at)
-    found, inner = [], 0
-    while inner < len(raw):
-        fields, block, inner = _parse(raw, inner)
-        found.append((fields, block))
+    parts = list(_inside(raw))
+    if parts and all(why for _, _, why, _, _ in parts):
+        raise ValueError(parts[0][2])
+    found = []
+    for a, b, why, fields, block in parts:
+        found.append((b - a, f"{why}, at {a} of the member's content", {}, b"") if why else (end - at, None, fields, block))
     return found, end
 
 
+def _rest(data: bytes, at: int) -> bytes:
+    """The content of the damaged member at ``at`` as far as it unpacks."""
+    unpacker, out = zlib.decompressobj(31), []
+    for begin in range(at, len(data), PIECE):
+        before = unpacker.copy()
+        try:
+            out.append(unpacker.decompress(data[begin : begin + PIECE]))
+        except zlib.error:
+            try:
+                for k in range(begin, begin + PIECE):
+                    out.append(before.decompress(data[k : k + 1]))
+            except zlib.error:
+                break
+        if unpacker.eof:
+            break
+    return b"".join(out)
+
+
+def _damaged(data: bytes, at: int, why: str) -> Iterator[tuple[int, int, str, dict, bytes]]:
+    """Records of the damaged member at ``at`` whose block digest agrees, with a problem.
+
+    The member's checksum cannot vouch for them. Content that was stored as it is
+    shows its version lines in the file, where the search finds them.
+    """
+    if data[at : at + 3] != MEMBER:
+        return
+    raw = _rest(data, at)
+    stored = RECORD_START.search(data, at) is not None
+    for a, b, problem, fields, block in _inside(raw):
+        checked = fields.get("warc-block-digest", "").startswith("sha1:")
+        if not problem and checked and not (stored and data.find(raw[a:b], at) >= 0):
+            yield at, 0, f"in a damaged member ({why}), at {a} of its content", fields, block
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
     """(place, length, problem, fields, block) of records and, with a problem, of gaps."""
     at, gap, why = 0, None, ""
@@ -167,14 +230,15 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
         except (ValueError, zlib.error) as error:
             if gap is None:
                 gap, why = at, str(error)
+            yield from _damaged(data, at, str(error))
             nxt = START.search(data, at + 1)
             at = nxt.start() if nxt else len(data)
             continue
         if gap is not None:
             yield gap, at - gap, why, {}, b""
             gap = None
-        for fields, block in found:
-            yield at, end - at, None, fields, block
+        for length, problem, fields, block in found:
+            yield at, length, problem, fields, block
         at = end
     if gap is not None:
         yield gap, len(data) - gap, why, {}, b""
@@ -205,9 +269,9 @@ def _read(batches):
             file, out, room = file.as_py(), [], 0
             for place, length, problem, fields, block in salvage(data.as_py()):
                 kind = fields.get("warc-type")
-                payload = None if problem or kind == "revisit" else _payload(fields, block)
+                payload = None if not fields or kind == "revisit" else _payload(fields, block)
                 digest = _hex(fields.get("warc-payload-digest"))
-                if payload is not None and digest and digest != hashlib.sha1(payload).hexdigest():
+                if payload is not None and not problem and digest and digest != hashlib.sha1(payload).hexdigest():
                     problem = "payload digest differs"
                 out.append(
                     (file, place, length, problem, _plain(fields.get("warc-record-id")), kind,
@@ -231,8 +295,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """All records under ``path`` and, with ``problem`` set, what could not be read.
 
     A row with a problem and no record_type is a gap: ``length`` bytes from
-    ``place`` of ``file`` are quarantined. A record whose payload digest differs is
-    returned with that problem. Compressed and plain records may be mixed. A file
+    ``place`` of ``file`` are quarantined; for a gap inside a whole member the
+    length counts bytes of its content and the problem tells where they are. A
+    record whose payload digest differs is returned with that problem, and so are
+    records of a damaged member whose block digest agrees, with length 0, as the
+    gap covers their bytes. Compressed and plain records may be mixed. A file
     is read whole by one task, so files must fit an executor's memory.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")

@@ -49,6 +49,33 @@ def test_salvage_of_damaged_archives(form):
     assert seen(b"") == ([], []) and seen(NOTHING) == ([], [])
 
 
+def test_salvage_inside_a_member():
+    records = [plain(k, b"%d" % k * 3000) for k in range(5)]
+    raw = bytearray(b"".join(records))
+    bad = sum(map(len, records[:2])) + len(records[2]) - 100
+    raw[bad] ^= 0xFF
+    out = list(salvage(packed(bytes(raw))))
+    assert [f["warc-record-id"][7:-1] for _, _, why, f, _ in out if not why] == list("0134")
+    begin = sum(map(len, records[:2]))
+    assert [(p, n, why) for p, n, why, _, _ in out if why] == [
+        (0, len(records[2]), f"block digest differs, at {begin} of the member's content")
+    ]
+
+
+def test_records_of_a_member_cut_short():
+    rng = random.Random(1)
+    records = [plain(k, bytes(rng.randrange(256) for _ in range(3000))) for k in range(5)]
+    member = packed(b"".join(records))
+    broken = bytearray(member)
+    broken[len(member) - 4000] ^= 0xFF
+    for data in (member[:-4000], bytes(broken)):
+        out = list(salvage(data + packed(plain("next"))))
+        told = [f["warc-record-id"][7:-1] for _, _, why, f, _ in out if why and f]
+        assert told[:3] == list("012") and set(told) <= set("01234") and len(told) < 5
+        assert [f["warc-record-id"][7:-1] for _, _, why, f, _ in out if not why] == ["next"]
+        assert [(p, n) for p, n, why, f, _ in out if not f] == [(0, len(data))]
+
+
 def test_salvage_of_noise():
     rng = random.Random(5)
     for _ in range(30):
