@@ -12,6 +12,7 @@ those that cannot be similar, and whole sets decide.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,21 +25,57 @@ from examloom.llm.components import components
 from examloom.session import written
 
 
+MISS = 1e-8  # greatest chance that a pair at exactly the threshold is not proposed, or not checked
+MOST_BANDS = 64
+
+
 @dataclass(frozen=True)
 class NearDup:
-    """Parameters: shingle words, similarity in percent, bands and rows of a band.
-
-    With 32 bands of 6, a pair at similarity 0.85 shares no band once in 3e6. A
-    pair is checked on its sets when the share of equal coordinates is at most
-    ``slack`` below the similarity; by the Chernoff bound a pair at 0.85 fails that
-    with a probability below 1e-7. ``bands * rows`` must be a multiple of 8.
+    """Parameters: shingle words and similarity in percent; the others follow from it.
+
+    A band has 5 rows, or as many fewer as keep the bands within ``MOST_BANDS``, and
+    there are as few bands as let a pair at the similarity share none with a chance
+    of at most ``MISS``: 32 bands of 5 at 85 (7e-9), 48 of 5 at 80 (5e-9). A pair is
+    checked on its sets when the share of equal coordinates is at most ``slack``
+    below the similarity; by the Chernoff bound a pair at the similarity fails that
+    with a chance of at most ``MISS`` too.
     """
 
     shingle: int = 5
     percent: int = 85
-    bands: int = 32
-    rows: int = 6
-    slack: float = 0.17
+
+    def missed(self, bands: int, rows: int) -> float:
+        """The chance that a pair at the similarity shares none of the bands."""
+        return (1 - (self.percent / 100) ** rows) ** bands
+
+    def failed(self, slack: float) -> float:
+        """Bound of the chance that so many coordinates of such a pair differ."""
+        p, q = self.percent / 100, self.percent / 100 - slack
+        if q <= 0:
+            return 0.0
+        rest = (1 - q) * math.log((1 - q) / (1 - p)) if p < 1 else math.inf
+        return math.exp(-self.size * (q * math.log(q / p) + rest))
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        for rows in (5, 4, 3, 2, 1):
+            # whole longs of coordinates: a multiple of 8
+            for bands in range(8, MOST_BANDS + 1, 8):
+                if self.missed(bands, rows) <= MISS:
+                    return bands, rows
+        raise ValueError(f"no {MOST_BANDS} bands find pairs at {self.percent} percent")
+
+    @property
+    def bands(self) -> int:
+        return self.shape[0]
+
+    @property
+    def rows(self) -> int:
+        return self.shape[1]
+
+    @property
+    def slack(self) -> float:
+        return next(k / 100 for k in range(1, 101) if self.failed(k / 100) <= MISS)
 
     @property
     def size(self) -> int:

@@ -66,6 +66,13 @@ def test_near_duplicates_of_no_rows_and_null_ids(spark):
     assert got == [(-1, -1, True), (3, 3, True), (3, 3, True)]
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85, 95, 100])
+def test_pairs_at_the_threshold_share_a_band(percent):
+    p = NearDup(percent=percent)
+    assert (1 - (percent / 100) ** p.rows) ** p.bands <= 1e-8
+    assert p.size % 8 == 0 and 16 + 2 * p.size <= len(A.SEEDS) and 300 + p.bands <= len(A.SEEDS)
+
+
 def test_sketch_fills_and_concentrates():
     rng = np.random.default_rng(3)
     common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (1000, 125, 125))
