@@ -1,9 +1,6 @@
 """Byte-level duplicate removal: every byte of a string that already occurred.
 
-A prefix doubling over text positions gives equal strings equal ranks: positions
-are sorted by pairs of ranks of neighbouring pieces, equal pairs get one new rank
-for a longer piece, and positions with a rank of their own drop out. Run on every
-byte it would shuffle many times the input, so two things keep it small.
+This replaces a prefix doubling: there are no ranks, rank pairs or doubled offsets.
 
 First, each 100-byte string is represented by one of its 32-byte grams, the one
 with the least hash; equal strings have equal representatives at equal offsets. A
@@ -11,11 +8,11 @@ gram stands for the strings around it (its context). Contexts seen before are
 repeats as a whole, grams with a single context are settled, and only contexts of
 grams that have several go on.
 
-Second, these go through the doubling as families: neighbouring string starts with
-the piece that all of them share (the core). Spark sorts the ranks of cores and
-their families; a family whose core is unique drops out, one whose whole stretch
-occurred before is a repeat, and the others are split, which makes their cores
-longer, until cores are as long as the strings themselves.
+Second, these go through three fixed rounds as families: neighbouring string
+starts with the piece that all of them share (the core). Spark groups digests of
+cores and of whole stretches; a family whose core is unique drops out, one whose
+whole stretch occurred before is a repeat, and the others are split, which makes
+their cores longer, until cores are as long as the strings themselves.
 """
 
 from __future__ import annotations
