@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 from examloom.llm.blocks import without_repeated_passages
 from examloom.llm.decontaminate import contamination
 from examloom.llm.fingerprints import as_text, fingerprints, likeness, next_ids
+from examloom.llm.language import fit_languages, predicted_languages
 from examloom.llm.lines import without_similar_lines
 from examloom.llm.minhash import near_duplicates
 from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, scored
+from examloom.llm.resample import resampled
+from examloom.llm.sql import RESAMPLING_SQL, vector_codes_sql
 from examloom.llm.suffixes import without_repeated_strings
 from examloom.llm.toxicity import fit_severity, severities
+from examloom.llm.vectorcodes import vector_codes
 from examloom.llm.warc import read_archives, resolved, with_revisits, write_archives
 from examloom.session import fresh_path, written
 
@@ -184,3 +188,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return scored(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op11_importance_resampling", RESAMPLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predicted_languages(docs, fit_languages(docs))
+
+
+@query("op13_vector_codes", vector_codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
