@@ -115,26 +115,28 @@ def fit_quality(
     return QualityModel(bits, ratio, w, bias, slope, shift)
 
 
-def _score(shared, keep: list[str]):
+def _score(shared, keep: list[str], name: str = "quality_score"):
     def run(batches):
         model: QualityModel = shared.value
         for rows, data, borders in A.runs(batches):
             owner, index = quality_features(data, borders, model.bits)
             score = pa.array(model.scores(owner, index, rows.num_rows))
             kept = [rows.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, score], names=[*keep, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*kept, score], names=[*keep, name])
 
     return run
 
 
-def with_score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """All columns of ``docs`` and quality_score, in one narrow pass over whole texts.
+def with_score(docs: DataFrame, model: QualityModel, name: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` and the score as ``name``, in one narrow pass over whole texts.
 
-    Null and empty texts have no n-grams and score as the bias alone.
+    Null and empty texts have no n-grams and score as the bias alone. A column of
+    ``docs`` that is called ``name`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())])
-    return docs.mapInArrow(_score(shared, docs.columns), schema)
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != name.lower()])
+    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())])
+    return kept.mapInArrow(_score(shared, kept.columns, name), schema)
 
 
 def scored(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:

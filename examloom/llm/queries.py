@@ -15,6 +15,7 @@ from examloom.llm.minhash import near_duplicates
 from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, scored
 from examloom.llm.resample import resampled
+from examloom.llm.rows import with_row_key
 from examloom.llm.sql import RESAMPLING_SQL, vector_codes_sql
 from examloom.llm.suffixes import without_repeated_strings
 from examloom.llm.toxicity import fit_severity, severities
@@ -47,22 +48,32 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_document_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each text and its edited form, whose last third is the head of the next document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sizes = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"))
-    ahead = sizes.join(next_ids(docs.select("doc_id"), "doc_id"), "doc_id")
+    """Each text and its edited form, whose last third is the head of the next document.
+
+    One row per row of the table. Rows without a doc_id count as those of the greatest
+    one, and rows that share one follow each other by a hash of their text.
+    """
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def edited_fingerprints(documents: DataFrame) -> DataFrame:
+    named = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    keyed = with_row_key(named, "key")
+    docs = keyed.select("doc_id", "key", "text")
+    sizes = docs.select("key", F.length("text").cast("long").alias("n_chars"))
+    ahead = sizes.join(next_ids(docs.select("key"), "key"), "key")
     # Both joins read one shuffle of the texts: that side is the same, and sorted at every size.
-    heads = ahead.alias("a").join(docs.alias("n").hint("merge"), F.expr("a.next_key = n.doc_id")).select(
-        "a.doc_id", "next_key", "n_chars", F.expr("substring(n.text, 1, cast(n_chars div 3 as int))").alias("head")
+    heads = ahead.alias("a").join(docs.alias("n").hint("merge"), F.expr("a.next_key = n.key")).select(
+        "a.key", "next_key", "n_chars", F.expr("substring(n.text, 1, cast(n_chars div 3 as int))").alias("head")
     )
     both = (
         docs.alias("d")
         .hint("merge")
-        .join(heads.alias("h"), F.expr("d.doc_id = h.doc_id"))
-        .select("d.doc_id", "next_key", "n_chars", "text", "head")
+        .join(heads.alias("h"), F.expr("d.key = h.key"))
+        .select("d.doc_id", "d.key", "next_key", "n_chars", "text", "head")
         .withColumn("kept", F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"))
         .select(
-            "doc_id", "next_key", "n_chars",
+            "doc_id", "key", "next_key", "n_chars",
             F.explode(
                 F.array(
                     F.struct(F.lit(False).alias("edited"), "text", F.lit(None).cast("string").alias("digest")),
@@ -73,18 +84,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                 )
             ).alias("v"),
         )
-        .select("doc_id", "next_key", "n_chars", "v.*")
+        .select("doc_id", "key", "next_key", "n_chars", "v.*")
     )
-    found = fingerprints(both, ["doc_id", "next_key", "n_chars", "edited", "digest"])
+    found = fingerprints(both, ["doc_id", "key", "next_key", "n_chars", "edited", "digest"])
     print_ = F.struct("identity", "content", "n_pairs")
     whole = written(
-        found.groupBy("doc_id").agg(
-            F.max("next_key").alias("next_key"), F.max("n_chars").alias("n_chars"), F.max("digest").alias("edited_sha256"),
+        found.groupBy("key").agg(
+            F.max("doc_id").alias("doc_id"), F.max("next_key").alias("next_key"), F.max("n_chars").alias("n_chars"), F.max("digest").alias("edited_sha256"),
             F.max(F.when(~F.col("edited"), print_)).alias("own"), F.max(F.when(F.col("edited"), print_)).alias("other"),
         ),
         "fingerprints",
     )
-    ahead = whole.select(F.col("doc_id").alias("next_key"), F.col("own").alias("ahead"))
+    ahead = whole.select(F.col("key").alias("next_key"), F.col("own").alias("ahead"))
     return whole.join(ahead, "next_key").select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("own.identity"), F.col("own.content")).alias("fingerprint"),
@@ -121,18 +132,21 @@ CONTAMINATION_SQL = f"""WITH item_words AS (SELECT item_id::VARCHAR AS item, {_B
 
 @query("op3_warc", WARC_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page into archives and back; ids travel as record ids."""
+    """Every page into archives and back; ids travel as record ids.
+
+    A null page_id comes back as null, and rows that repeat a page_id as rows of their own.
+    """
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), F.col("url").alias("uri"), F.encode("html", "UTF-8").alias("payload")
     )
     records = with_revisits(pages).select(
-        F.concat(F.lit("urn:page:"), "id").alias("record_id"), "uri", "payload",
+        F.concat(F.lit("urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("none"))).alias("record_id"), "uri", "payload",
         F.concat(F.lit("urn:page:"), "refers_to").alias("refers_to"),
     )
     path = fresh_path(spark, "archives")
     write_archives(records, path)
     back = resolved(read_archives(spark, path))
-    number = lambda c: F.substring_index(c, ":", -1).cast("long")
+    number = lambda c: F.substring_index(c, ":", -1).try_cast("long")
     return back.select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         number("refers_to").alias("refers_to"),

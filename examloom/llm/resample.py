@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.llm import arrays as A
+from examloom.llm.rows import ranked
 from examloom.session import written
 
 # Fixed value: what stands between words, the ASCII range without digits and small letters.
@@ -160,25 +161,6 @@ def gumbel(doc_id: Column, seed: str) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
-def ranked(rows: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
-    """``rows`` with their place, from 1, in a total order.
-
-    Spark sorts by ranges and the sorted table is written with each row's partition
-    and place inside it; the driver sees one count a partition.
-    """
-    numbered = written(rows.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "sorted")
-    part = F.shiftright(F.col(name), 33)
-    sizes = dict(numbered.groupBy(part.alias("part")).count().collect())
-    before, pairs = 0, []
-    for k in sorted(sizes):
-        pairs += [F.lit(k), F.lit(before)]
-        before += sizes[k]
-    if not pairs:
-        return numbered
-    start = F.create_map(*pairs)[part]
-    return numbered.withColumn(name, start + F.col(name).bitwiseAND(F.lit((1 << 33) - 1)) + 1)
-
-
 def resampled(docs: DataFrame, target: DataFrame, p: Resampling = Resampling()) -> DataFrame:
     """Every document's doc_id, n_words, n_features, weight, score and rank.
 

@@ -27,7 +27,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nContent-Length: {n}\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
 RECORD_START = re.compile(rb"WARC/1\.[01]\r\n")
-PIECE = 1 << 14  # bytes of a damaged member unpacked at once
+PIECE = 1 << 12  # bytes of a member unpacked at once
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 # A gzip member without content: it ends each line that Spark's text writer writes.
 NOTHING = bytes.fromhex("1f8b080000000000000303000000000000000000")
@@ -114,11 +114,14 @@ def write_archives(
 
 def _unpack(data: bytes, at: int) -> tuple[bytes, int]:
     """The content of the gzip member at ``at`` and where it ends; raises if damaged."""
-    unpacker = zlib.decompressobj(31)
-    content = unpacker.decompress(memoryview(data)[at:])
+    unpacker, content, end = zlib.decompressobj(31), [], at
+    # Fed in pieces: what is left over behind the member is copied, and must not be the rest of the file.
+    while end < len(data) and not unpacker.eof:
+        content.append(unpacker.decompress(data[end : end + PIECE]))
+        end = min(end + PIECE, len(data))
     if not unpacker.eof:
         raise ValueError("member is cut short")
-    return content, len(data) - len(unpacker.unused_data)
+    return b"".join(content), end - len(unpacker.unused_data)
 
 
 def _parse(raw: bytes, at: int) -> tuple[dict, bytes, int]:
@@ -311,36 +314,45 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     Of rows with equal payloads of at least ``least`` bytes, the one with the
     largest id is the response and the others refer to it; equal largest ids are
-    all responses, and a null id never is one's largest. Digests are grouped with
+    all responses, and a null id never is one's largest. Other columns pass through,
+    whatever their names; one called refers_to is replaced. Digests are grouped with
     partial aggregates and only those that repeat are joined back.
     """
     size = F.coalesce(F.octet_length("payload"), F.lit(0))
-    keyed = pages.withColumn("digest", F.when(size >= least, F.sha1(F.coalesce("payload", F.lit("").cast("binary")))))
+    keyed = pages.select(
+        F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "refers_to"]).alias("row"),
+        F.when(size >= least, F.sha1("payload")).alias("digest"),
+    )
     repeated = (
         keyed.where("digest is not null")
         .groupBy("digest")
-        .agg(F.max("id").alias("first_id"), F.count("*").alias("c"))
+        .agg(F.max("row.id").alias("first_id"), F.count("*").alias("c"))
         .where("c > 1 and first_id is not null")
         .select("digest", "first_id")
     )
-    return (
-        keyed.join(repeated, "digest", "left")
-        .withColumn("refers_to", F.when(~F.col("first_id").eqNullSafe(F.col("id")), F.col("first_id")))
-        .drop("digest", "first_id")
-    )
+    first = F.when(~F.col("first_id").eqNullSafe(F.col("row.id")), F.col("first_id"))
+    return keyed.join(repeated, "digest", "left").select("row.*", first.alias("refers_to"))
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Records with payload_bytes: a revisit has those of the response it refers to."""
+    """Records with payload_bytes: a revisit has those of the response it refers to.
+
+    That response has the id and the payload digest of the revisit, so records that
+    repeat an id with other payloads do not mix. A digest that the reader checked is
+    taken as it is; a payload with a problem, or without a digest, is hashed here.
+    """
+    checked = F.when(F.col("problem").isNull(), F.col("payload_digest"))
     plain = records.select(
         "record_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("own_bytes"),
-        F.coalesce(F.sha1("payload"), F.col("payload_digest")).alias("payload_digest"),
+        F.coalesce(checked, F.sha1("payload"), F.col("payload_digest")).alias("payload_digest"),
     )
     plain = written(plain, "records")
     sizes = (
-        plain.where("record_type = 'response'").groupBy("record_id").agg(F.max("own_bytes").alias("seen_bytes"))
+        plain.where("record_type = 'response'")
+        .groupBy(F.col("record_id").alias("refers_to"), "payload_digest")
+        .agg(F.max("own_bytes").alias("seen_bytes"))
     )
-    return plain.join(sizes.withColumnRenamed("record_id", "refers_to"), "refers_to", "left").select(
+    return plain.join(sizes, ["refers_to", "payload_digest"], "left").select(
         "record_id", "record_type", "refers_to", "payload_digest",
         F.coalesce("own_bytes", "seen_bytes").alias("payload_bytes"),
     )

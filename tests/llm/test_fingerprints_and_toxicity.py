@@ -50,6 +50,17 @@ def test_next_ids(spark):
     assert P.next_ids(spark.createDataFrame([], "k long"), "k").count() == 0
 
 
+def test_rows_without_an_id_of_their_own(spark, tmp_path):
+    rows = [(3, "abc def"), (2, "abcdef g"), (2, "xyz uvw"), (2, "xyz uvw"), (None, "first one"), (None, None), (1, "")]
+    spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, key string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_document_fingerprints"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.n_chars) for r in got) == sorted((d or 0, len(t or "")) for d, t in rows)
+    assert len({r.fingerprint for r in got if (r.doc_id, r.n_chars) == (2, 7)}) == 1
+    three = next(r for r in got if r.doc_id == 3)
+    ends = {hashlib.sha256(f"abc d{t[:2]}".encode()).hexdigest() for d, t in rows if d == 2}
+    assert three.edited_sha256 in ends
+
+
 def test_query_on_the_table(spark):
     docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()), reverse=True)
     got = {r.doc_id: r for r in QUERIES["op2_document_fingerprints"](spark, SF).collect()}

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from examloom.llm.queries import QUERIES
-from examloom.llm.resample import Resampling, hashed_runs, numbered_words, ranked, resampled
+from examloom.llm.resample import Resampling, hashed_runs, numbered_words, resampled
+from examloom.llm.rows import ranked
 from tests.llm.brute import bench_words
 
 SF = "/root/testdata/sf0.001"

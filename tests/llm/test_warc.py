@@ -111,6 +111,54 @@ def test_revisits_of_ties_and_nulls(spark):
     assert got == [(0, 3), (1, 3), (2, 3), (3, 0), (5, 0), (6, 0), (7, 0), (8, 0), (9, 0), (9, 0)]
 
 
+def test_reading_is_linear_in_the_file():
+    """Bytes handed to the unpacker a record, at two sizes of one file."""
+    fed = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def decompress(self, piece):
+            fed.append(len(piece))
+            return self.inner.decompress(piece)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    made = zlib.decompressobj
+    one = packed(plain("x", bytes(range(256)) * 10))
+    shares = []
+    for n in (100, 1600):
+        fed.clear()
+        zlib.decompressobj = lambda bits: Counting(made(bits))
+        try:
+            assert sum(1 for _ in salvage(one * n)) == n
+        finally:
+            zlib.decompressobj = made
+        shares.append(sum(fed) / n)
+    assert abs(shares[0] - shares[1]) < 0.05 * shares[0] and shares[1] < 3 * 4096
+
+
+def test_null_and_repeated_page_ids(spark, tmp_path):
+    big, other = "a" * 1500, "b" * 1200
+    rows = [(1, big), (2, big), (2, other), (2, "s"), (None, big), (None, "t"), (None, None), (3, other)]
+    df = spark.createDataFrame([(i, "u", h, "x", "y") for i, h in rows], "page_id long, url string, html string, digest string, first_id string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    got = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in QUERIES["op3_warc"](spark, str(tmp_path)).collect()]
+    want = [
+        (1, 1500, "revisit", 2), (2, 1500, "response", None), (2, 1200, "revisit", 3), (2, 1, "response", None),
+        (None, 1500, "revisit", 2), (None, 1, "response", None), (None, 0, "response", None), (3, 1200, "response", None),
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_revisits_keep_other_columns(spark):
+    df = spark.createDataFrame([(1, b"z" * 1000, "d", "f", 5), (2, b"z" * 1000, "e", "g", 6)], "id long, payload binary, digest string, first_id string, c int")
+    got = sorted((r.id, r.refers_to, r.digest, r.first_id, r.c) for r in with_revisits(df).collect())
+    assert got == [(1, 2, "d", "f", 5), (2, None, "e", "g", 6)]
+
+
 def test_pages_on_the_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     groups = {}
