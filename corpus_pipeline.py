@@ -15,6 +15,7 @@ from examloom.llm.lines import without_similar_lines
 from examloom.llm.minhash import NearDup, near_duplicates
 from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, with_score
+from examloom.llm.rows import free_name, with_row_key
 from examloom.session import written
 
 KEEP_FROM = 0.3  # least quality score of a kept document
@@ -26,30 +27,45 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score at least ``KEEP_FROM``; the rest go."""
+    """Documents that score at least ``KEEP_FROM``; the rest go. Columns keep their names and values."""
     model = fit_quality(docs, _table(spark, sf_dir, "labels"))
-    return with_score(docs, model).where(F.col("quality_score") >= KEEP_FROM).drop("quality_score")
+    score = free_name(docs, "quality_score")
+    return with_score(docs, model, score).where(F.col(score) >= KEEP_FROM).drop(score)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that resemble an earlier one; n_chars follows the text.
 
     A document that had words and has none left repeats others line by line and goes.
+    Further columns pass through, also those called n_lines or n_removed.
     """
-    cleaned = without_similar_lines(docs).where("n_removed = 0 or rlike(text, '[^ \\\\t-\\\\r]')")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    held = docs.select("doc_id", "text", F.struct(F.lit(0), *[F.col(f"`{c}`") for c in rest]).alias("held"))
+    cleaned = without_similar_lines(held).where("n_removed = 0 or rlike(text, '[^ \\\\t-\\\\r]')")
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cleaned.select(*[new.get(c, F.col(f"held.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates."""
-    classes = near_duplicates(docs, NearDup(percent=PERCENT))
-    return docs.join(classes.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    """One document, the one with the smallest id, of each group of near duplicates.
+
+    Rows that share a doc_id are documents of their own; rows without one stay.
+    """
+    key = free_name(docs, "row_key")
+    keyed = with_row_key(docs, key)
+    named = keyed.where("doc_id is not null").select(F.col(key).alias("doc_id"), "text")
+    classes = near_duplicates(named, NearDup(percent=PERCENT))
+    gone = classes.where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
-    hits = contamination(docs, _table(spark, sf_dir, "benchmark")).where("n_hit > 0")
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Documents without benchmark passages; rows that share a doc_id are judged one by one."""
+    key = free_name(docs, "row_key")
+    keyed = with_row_key(docs, key)
+    hits = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
+    gone = hits.where("n_hit > 0").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
