@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -42,17 +43,22 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, as executors share no local disk.
+    A session of one process without that setting gets a temporary folder, one per
+    application; on a cluster a missing setting is an error, as executors share no
+    local disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="examloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="examloom-")
+    return _own_dirs[context.applicationId]
+
+
+_own_dirs: dict[str, str] = {}
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
