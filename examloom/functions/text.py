@@ -91,6 +91,32 @@ def is_field(col: Column) -> Column:
     return F.from_json(wrapped, "value STRING, end INT", STRICT)["end"].eqNullSafe(1)
 
 
+def checked_object(col: Column, schema: str) -> Column:
+    """STRUCT<value, whole, fits>: a text read as one strict JSON object of ``schema``.
+
+    ``whole`` tells whether the text is exactly one object, ``fits`` whether every
+    field has the type the schema names; both are never null. The text is read in
+    two wrappers, as ``is_json`` does, and the first gives the value as well.
+    """
+    wrapped = F.concat(F.lit('{"value":'), col, F.lit(',"end":1}'))
+    found = F.from_json(
+        wrapped,
+        f"value STRUCT<{schema}>, end INT, _text STRING",
+        STRICT | {"columnNameOfCorruptRecord": "_text"},
+    )
+    values = F.from_json(F.concat(F.lit("["), col, F.lit("]")), "ARRAY<STRING>", STRICT)
+
+    def shape(p: Column) -> Column:
+        whole = p["value"].isNotNull() & p["end"].eqNullSafe(1) & F.size(values).eqNullSafe(1)
+        return F.struct(
+            p["value"].alias("value"),
+            F.coalesce(whole, F.lit(False)).alias("whole"),
+            p["_text"].isNull().alias("fits"),
+        )
+
+    return let(found, shape)
+
+
 def json_string(col: Column) -> Column:
     """A text as a quoted JSON string, non-ASCII kept; null becomes ``null``."""
     wrapped = F.to_json(F.struct(col.alias("v")))

@@ -20,6 +20,8 @@ ACCEPT = "accept"
 CALL_ERROR = "error"
 JSON_ERROR = "JSON parse error"
 SUBJECT_SLOT = "{subject}"
+# Where a record goes.
+CLEAN, REMOVED, QUARANTINED = "clean", "removed", "quarantined"
 
 
 def resolve_content(df: DataFrame, out: str = "full") -> DataFrame:
@@ -83,6 +85,31 @@ def split_keep_removed(
     return clean, removed
 
 
+def split_rows(records: DataFrame, mode: str = "strict", strict_mcq: bool = False) -> DataFrame:
+    """One row for each record: side, question, LLMans, reason and content.
+
+    ``side`` is clean, removed or quarantined. Clean rows hold the prompt and the
+    extracted question, the others the reason and the record as text. Records read
+    with ``checked_lines`` have the line itself as content, and those with a
+    ``_problem`` are quarantined; others are written out as JSON. Narrow: one scan
+    gives all sides.
+    """
+    lined = "_line" in records.columns
+    own = [c for c in records.columns if c not in ("_line", "_problem")]
+    content = F.col("_line") if lined else F.to_json(F.struct(*own), {"ignoreNullFields": "true"})
+    problem = F.col("_problem") if lined else F.lit(None).cast("string")
+    done = classify(records.withColumns({"_content": content, "_odd": problem}), mode)
+    clean = F.col("_odd").isNull() & F.col("drop_reason").isNull()
+    extracted = mcq.extract_mcq(mcq.scrub_mcq(F.col("full"), strict_mcq), strict_mcq)
+    return done.select(
+        F.when(clean, CLEAN).when(F.col("_odd").isNull(), REMOVED).otherwise(QUARANTINED).alias("side"),
+        F.when(clean, F.coalesce("question", F.lit(""))).alias("question"),
+        F.when(clean, extracted).alias("LLMans"),
+        F.when(~clean, F.coalesce("_odd", "drop_reason")).alias("reason"),
+        F.when(~clean, F.col("_content")).alias("content"),
+    )
+
+
 def gate_counts(classified: DataFrame) -> DataFrame:
     """Rows per outcome and reason."""
     return classified.groupBy(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom import schemas
-from examloom.functions.text import is_blank, is_json, model_name, strip
+from examloom.functions.text import checked_object, is_blank, is_json, model_name, strip
 from examloom.operators.grid import NO_OUTPUT
 from examloom.session import written
 
@@ -45,6 +45,9 @@ SUBJECT_TEMPLATES = (
     "可以出{subject}相關的考題嗎？四選一即可",
     "請給我一題{subject}領域的選擇題（四選一）",
 )
+# Why a line is no record.
+NO_OBJECT = "line is no JSON object"
+OTHER_TYPE = "field of another type"
 RESPONSE_FILE = r"round(\d+)_model_(.*)\.txt$"
 ADAPTER_CONFIG = "adapter_config.json"
 
@@ -54,6 +57,24 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = schemas.GEN_RECORD)
     return spark.read.schema(schema).json(path)
 
 
+def checked_lines(lines: DataFrame, schema: str = schemas.GEN_RECORD) -> DataFrame:
+    """Records of JSON ``lines(value)`` with ``_line``, the line, and ``_problem``.
+
+    ``_problem`` is null for a line that is one strict JSON object whose fields have
+    the types of ``schema``; else it says why not, and the fields that could not be
+    read are null. Blank lines are skipped. Narrow, for batches and streams alike.
+    """
+    some = lines.where(~is_blank(F.col("value")))
+    found = some.select("value", checked_object(F.col("value"), schema).alias("_r"))
+    problem = F.when(~F.col("_r.whole"), F.lit(NO_OBJECT)).when(~F.col("_r.fits"), F.lit(OTHER_TYPE))
+    return found.select("_r.value.*", F.col("value").alias("_line"), problem.alias("_problem"))
+
+
+def read_jsonl_lines(spark: SparkSession, path: str, schema: str = schemas.GEN_RECORD) -> DataFrame:
+    """``read_jsonl`` that keeps every line: adds ``_line`` and ``_problem``."""
+    return checked_lines(spark.read.text(path), schema)
+
+
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their file and a number that rises with the position in the file."""
     return (

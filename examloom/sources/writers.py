@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from examloom import schemas
+from examloom.operators.cleaning import CLEAN
+
 CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "emptyValue": ""}
 # A text no cell holds, so that an empty cell is read as empty text.
 NO_NULL = "\x00"
@@ -40,6 +45,20 @@ def write_split(
     write_jsonl(removed, removed_path, mode)
 
 
+def write_sides(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Rows of ``split_rows`` as JSONL, one folder a side, all by one scan and one write."""
+    rows.write.mode(mode).partitionBy("side").json(path)
+
+
+def read_side(spark: SparkSession, path: str, side: str) -> DataFrame:
+    """The rows of one side that ``write_sides`` or the cleaning stream wrote."""
+    clean = side == CLEAN
+    schema = schemas.CLEAN_RECORD if clean else schemas.REMOVED_RECORD
+    columns = ("question", "LLMans") if clean else ("reason", "content")
+    found = spark.read.schema(f"{schema}, side STRING").json(path)
+    return found.where(F.col("side") == side).select(*columns)
+
+
 def save_templates(templates: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One template per line with its place, so that any number can be written at once."""
     templates.select("template_id", "template", "origin").write.mode(mode).json(path)

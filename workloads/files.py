@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom import schemas
+from examloom.functions.text import json_string
+from examloom.operators.cleaning import CLEAN, QUARANTINED, REMOVED, split_rows
 from examloom.operators.records import assemble_record, review_log
 from examloom.plans import tasks
 from examloom.session import fresh_path
@@ -125,21 +127,20 @@ def plan_from_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("task_id", "template_id", "prompt")
 
 
-def _streamed_split(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Records as JSONL files, cleaned by the stream; returns its two output folders."""
-    incoming, clean, removed, state = (
-        fresh_path(spark, label) for label in ("incoming", "clean", "removed", "state")
-    )
+_RECORD = f"doc_id BIGINT, {schemas.GEN_RECORD}"
+
+
+def _streamed_split(spark: SparkSession, sf_dir: str) -> str:
+    """Records as JSONL files, cleaned by the stream; returns its output folder."""
+    incoming, out, state = (fresh_path(spark, label) for label in ("incoming", "sides", "state"))
     writers.write_jsonl(cleaning.records(spark, sf_dir), incoming)
-    schema = f"doc_id BIGINT, {schemas.GEN_RECORD}"
-    stream_clean(spark, incoming, clean, removed, state, schema).awaitTermination()
-    return clean, removed
+    stream_clean(spark, incoming, out, state, _RECORD).awaitTermination()
+    return out
 
 
 @query("stream_clean", ORACLES["split_clean"])
 def streamed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, _ = _streamed_split(spark, sf_dir)
-    rows = readers.read_jsonl(spark, f"{clean}/*", schemas.CLEAN_RECORD)
+    rows = writers.read_side(spark, _streamed_split(spark, sf_dir), CLEAN)
     return rows.select(
         "question",
         F.col("LLMans.stem").alias("stem"),
@@ -149,12 +150,69 @@ def streamed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_removed", ORACLES["split_removed"])
 def streamed_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, removed = _streamed_split(spark, sf_dir)
-    rows = readers.read_jsonl(spark, f"{removed}/*", schemas.REMOVED_RECORD)
+    rows = writers.read_side(spark, _streamed_split(spark, sf_dir), REMOVED)
     whole = F.from_json("content", "doc_id BIGINT, topic STRING, question STRING")
     return rows.select("reason", whole.alias("r")).select("reason", "r.*")
 
 
+# Lines of a dataset as other programs leave them: most are records, some are cut
+# short, quoted otherwise, of another type, or two records in one line.
+LINE_SQL = """CASE
+    WHEN toxic = 1 THEN '{"question": "Q' || doc_id || '", "content": ' || j
+    WHEN doc_id % 13 = 5 THEN '{''question'': "Q' || doc_id || '", "content": ' || j || '}'
+    WHEN doc_id % 13 = 6 THEN '{"question": "Q' || doc_id || '", "keep": "yes", "content": ' || j || '}'
+    WHEN doc_id % 13 = 7 THEN '{"question": "Q' || doc_id || '", "keep": true, "content": ' || j || '} {"question": "next"}'
+    WHEN doc_id % 13 = 8 THEN '[' || j || ']'
+    WHEN doc_id % 13 = 9 THEN ' {"content": ' || j || ', "keep": true, "question": "Q' || doc_id || '"} '
+    ELSE '{"question": "Q' || doc_id || '", "keep": ' || CASE WHEN quality = 1 THEN 'true' ELSE 'false' END
+      || ', "reason": "low", "content": ' || j || '}' END"""
+LINE_SIDES_SQL = f"""WITH {cleaning.DOCS_SQL}, lines AS (SELECT *, {LINE_SQL} AS line
+    FROM (SELECT *, to_json(exam)::VARCHAR AS j FROM docs LEFT JOIN labels USING (doc_id))),
+  sided AS (SELECT *, CASE WHEN toxic = 1 OR doc_id % 13 IN (5, 6, 7, 8) THEN 'quarantined'
+    WHEN doc_id % 13 = 9 OR quality = 1 THEN 'clean' ELSE 'removed' END AS side FROM lines)
+  SELECT side, CASE WHEN side = 'clean' THEN 'Q' || doc_id END AS question,
+    CASE WHEN toxic = 1 THEN 'line is no JSON object' WHEN doc_id % 13 = 6 THEN 'field of another type'
+      WHEN side = 'quarantined' THEN 'line is no JSON object' WHEN side = 'removed' THEN 'low' END AS reason,
+    CASE WHEN side <> 'clean' THEN line END AS content FROM sided"""
+
+
+def _loose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = cleaning.documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.withColumn("j", json_string(F.col("exam"))).select(
+        F.expr(LINE_SQL.replace("''", "\\'")).alias("value")
+    )
+
+
+def _all_sides(spark: SparkSession, path: str) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    clean = writers.read_side(spark, path, CLEAN).select(
+        F.lit(CLEAN).alias("side"), "question", nothing.alias("reason"), nothing.alias("content")
+    )
+    for side in (REMOVED, QUARANTINED):
+        rows = writers.read_side(spark, path, side)
+        clean = clean.unionByName(
+            rows.select(F.lit(side).alias("side"), nothing.alias("question"), "reason", "content")
+        )
+    return clean
+
+
+@query("split_damaged_lines", LINE_SIDES_SQL)
+def split_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSONL file with broken lines, cleaned in one pass: every line is on one side."""
+    lines, out = fresh_path(spark, "loose"), fresh_path(spark, "sides")
+    _loose_lines(spark, sf_dir).write.text(lines)
+    writers.write_sides(split_rows(readers.read_jsonl_lines(spark, lines)), out)
+    return _all_sides(spark, out)
+
+
+@query("stream_damaged_lines", LINE_SIDES_SQL)
+def stream_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, out, state = (fresh_path(spark, label) for label in ("loose", "sides", "state"))
+    _loose_lines(spark, sf_dir).repartition(4).write.text(lines)
+    stream_clean(spark, lines, out, state, max_files_per_trigger=1).awaitTermination()
+    return _all_sides(spark, out)
+
+
 @query(
     "stream_board",
     f"WITH {judging.JUDGED_PAIRS_SQL} SELECT model, wins, ties, matches FROM board",
