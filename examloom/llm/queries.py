@@ -59,18 +59,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
     named = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     keyed = with_row_key(named, "key")
-    docs = keyed.select("doc_id", "key", "text")
-    sizes = docs.select("key", F.length("text").cast("long").alias("n_chars"))
+    docs = keyed.select("key", "text")
+    sizes = keyed.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))
     ahead = sizes.join(next_ids(docs.select("key"), "key"), "key")
     # Both joins read one shuffle of the texts: that side is the same, and sorted at every size.
     heads = ahead.alias("a").join(docs.alias("n").hint("merge"), F.expr("a.next_key = n.key")).select(
-        "a.key", "next_key", "n_chars", F.expr("substring(n.text, 1, cast(n_chars div 3 as int))").alias("head")
+        "a.key", "a.doc_id", "next_key", "n_chars", F.expr("substring(n.text, 1, cast(n_chars div 3 as int))").alias("head")
     )
     both = (
         docs.alias("d")
         .hint("merge")
         .join(heads.alias("h"), F.expr("d.key = h.key"))
-        .select("d.doc_id", "d.key", "next_key", "n_chars", "text", "head")
+        .select("h.doc_id", "d.key", "next_key", "n_chars", "text", "head")
         .withColumn("kept", F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"))
         .select(
             "doc_id", "key", "next_key", "n_chars",
