@@ -55,8 +55,33 @@ def shuffled_models(models: list[str], seed: int, task: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: s.m)
 
 
+def shuffled_cells(cells: DataFrame, seed: int) -> DataFrame:
+    """The cells of each task in blind order: label ``i`` is element ``i``.
+
+    The same order as ``shuffled_models``, from one digest for each cell of the task.
+    """
+
+    def keyed(cell: Column) -> Column:
+        h = keyed_hash(seed, "shuffle", F.col("task_id"), cell["model"])
+        return F.struct(h.alias("h"), cell["model"].alias("m"), cell.alias("cell"))
+
+    ordered = F.array_sort(
+        F.transform("cells", keyed),
+        lambda a, b: F.when(a["h"] < b["h"], -1).when(a["h"] > b["h"], 1)
+        .when(a["m"] < b["m"], -1).when(a["m"] > b["m"], 1).otherwise(0),
+    )
+    return cells.withColumn("cells", F.transform(ordered, lambda s: s["cell"]))
+
+
 def blind_n(grid: DataFrame, models: list[str], seed: int) -> DataFrame:
-    """Add ``label`` 1..N, a random permutation of the models per task. No shuffle."""
+    """Add ``label`` 1..N, a random permutation of the models per task. No shuffle.
+
+    From cells the permutation is made once per task; a long grid makes it per row.
+    """
+    if "cells" in grid.columns:
+        rest = [c for c in grid.columns if c != "cells"]
+        spread = shuffled_cells(grid, seed).select(*rest, F.posexplode("cells").alias("_i", "_cell"))
+        return spread.select(*rest, "_cell.*", (F.col("_i") + 1).alias("label"))
     order = shuffled_models(models, seed, F.col("task_id"))
     return grid.withColumn("label", F.array_position(order, F.col("model")).cast("int"))
 
@@ -100,6 +125,27 @@ def unblind_scores(
     )
 
 
+def judge_prompts_cells(cells: DataFrame, seed: int, rubric: str) -> DataFrame:
+    """``judge_prompts_n`` of cells: the prompt is made inside the row of the task.
+
+    ``rubric`` holds ``{responses}``, ``{n}`` and any column of the task by name.
+    """
+    blocks = F.transform(
+        "cells",
+        lambda c, i: F.concat(
+            F.lit("=== Model "), (i + 1).cast("string"), F.lit(" ===\n"), c["text"], F.lit("\n\n")
+        ),
+    )
+    blocked = shuffled_cells(cells, seed).select(
+        *[c for c in cells.columns if c != "cells"],
+        F.size("cells").alias("_n"),
+        F.array_join(blocks, "").alias("_responses"),
+    )
+    values = {c: F.col(c) for c in blocked.columns if not c.startswith("_")}
+    values |= {"responses": F.col("_responses"), "n": F.col("_n").cast("string")}
+    return blocked.withColumn("judge_prompt", fill(rubric, values)).drop("_responses", "_n")
+
+
 def judge_prompts_n(
     blinded: DataFrame, n_models: int, rubric: str, carry: tuple[str, ...] = ("topic",)
 ) -> DataFrame:

@@ -61,8 +61,12 @@ def pairwise_log(judged: DataFrame, reason_chars: int) -> DataFrame:
 
 
 def best_of_n_log(judged: DataFrame, cells: DataFrame, models: list[str], seed: int) -> DataFrame:
-    """Best-of-N tasks with the blind mapping and every model's response."""
-    answers = pivot_models(cells, models, "text", "resp_")
+    """Best-of-N tasks with the blind mapping and every model's response, from cells or a long grid."""
+    if "cells" in cells.columns:
+        texts = [F.get("cells.text", F.lit(i)).alias(f"resp_{m}") for i, m in enumerate(models)]
+        answers = cells.select("task_id", *texts)
+    else:
+        answers = pivot_models(cells, models, "text", "resp_")
     return (
         blind_mapping(judged, models, seed)
         .select(

@@ -9,7 +9,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import groupby
+from operator import and_
 from typing import NamedTuple
 
 import pandas as pd
@@ -21,6 +25,7 @@ from examloom.functions.prompts import fill
 from examloom.functions.text import is_blank
 from examloom.operators.cleaning import resolve_review
 from examloom.functions.verdicts import parse_verdict_json
+from examloom.session import fresh_path
 
 # Stage names and how the prompt of each stage is put together.
 GENERATE_PROMPT = "{prompt}\n\n格式要求：\n{generator_rules}\n請根據主題「{topic}」出一題。"
@@ -34,7 +39,11 @@ FLAT_GENERATE_PROMPT = "{generate_rules}\n請根據主題「{topic}」出一題
 EMPTY_QUESTION = "題目（回傳空白）請出與 {topic} 有關的題目。"
 
 ON_ERROR = ("raise", "error_row", "blank", "passthrough")
-REPLY = "text STRING, out_tokens INT, in_tokens INT, latency_s DOUBLE, error STRING"
+REPLY = "text STRING, out_tokens INT, in_tokens INT, latency_s DOUBLE, error STRING, again BOOLEAN"
+
+
+class TryAgain(Exception):
+    """A client's error that a later call may not meet: an overloaded or restarting server."""
 
 
 class Reply(NamedTuple):
@@ -45,6 +54,8 @@ class Reply(NamedTuple):
     in_tokens: int | None = None
 
 
+#: A client answers one prompt, or has ``ask_many`` for a list of them, in whose result
+#: an exception stands for a row that failed.
 Client = Callable[[str], "Reply | str | None"]
 
 
@@ -54,7 +65,10 @@ class Stage:
 
     ``prompt`` is a text with column names in braces. ``passthrough`` names the
     column used when ``on_error`` is ``passthrough``; ``if_empty`` is a text
-    with column names used when the reply is empty.
+    with column names used when the reply is empty. Errors of the kinds ``retry_on``
+    are asked again, ``tries`` times in all with ``wait_s`` between rounds; any other
+    error costs one call. ``batch`` prompts go into one call of a client that has
+    ``ask_many``, and a task has at most ``in_flight`` calls open.
     """
 
     name: str
@@ -62,10 +76,16 @@ class Stage:
     on_error: str = "error_row"
     tries: int = 1
     wait_s: float = 0.0
-    retry_on: tuple[type[BaseException], ...] = (Exception,)
+    retry_on: tuple[type[BaseException], ...] = ()
     passthrough: str | None = None
     if_empty: str | None = None
     strip_reply: bool = True
+    batch: int = 64
+    in_flight: int = 1
+
+    def __post_init__(self):
+        if not self.retry_on:
+            object.__setattr__(self, "retry_on", (TryAgain, ConnectionError, TimeoutError))
 
 
 RICH_CHAIN = (
@@ -79,7 +99,7 @@ RICH_CHAIN = (
 FLAT_CHAIN = (
     Stage(
         "generate", FLAT_GENERATE_PROMPT, on_error="blank", tries=5, wait_s=1.0,
-        if_empty=EMPTY_QUESTION, strip_reply=False,
+        if_empty=EMPTY_QUESTION, strip_reply=False, retry_on=(Exception,),
     ),
     Stage(
         "beautify", "{beautify_rules}\n{generate_text}", on_error="passthrough",
@@ -94,24 +114,55 @@ FLAT_CHAIN = (
 
 
 NO_PROMPT = "no prompt"
+DIGEST = "_digest"  # of the prompt that a stored reply answers
+SLICE_ROWS = 20_000  # rows whose replies are committed together
+FILES_PER_SLICE = 64
 
 
-def call_once(client: Client, prompt: str, stage: Stage) -> dict[str, object]:
-    """One reply with retries; an error is returned as text unless it must be raised."""
+Answer = tuple["Reply | str | None", "Exception | None", float]
+
+
+def _one(client: Client, prompt: str) -> Answer:
     started = time.perf_counter()
-    answer, error = None, None
-    for attempt in range(1, stage.tries + 1):
-        try:
-            answer, error = client(prompt), None
-            break
-        except Exception as exc:
-            error = exc
-            if attempt == stage.tries or not isinstance(exc, stage.retry_on):
-                break
-            time.sleep(stage.wait_s)
-    if error is not None and stage.on_error == "raise":
-        raise error
-    reply = answer if isinstance(answer, Reply) else Reply(answer)
+    try:
+        answer, error = client(prompt), None
+    except Exception as exc:
+        answer, error = None, exc
+    return answer, error, time.perf_counter() - started
+
+
+def _many(client, prompts: list[str]) -> list[Answer]:
+    """One call for all prompts; an exception in a place of the result is that row's error."""
+    started = time.perf_counter()
+    try:
+        found = list(client.ask_many(prompts))
+        if len(found) != len(prompts):
+            raise ValueError(f"{len(found)} replies to {len(prompts)} prompts")
+    except Exception as exc:
+        found = [exc] * len(prompts)
+    spent = time.perf_counter() - started
+    return [(None, x, spent) if isinstance(x, Exception) else (x, None, spent) for x in found]
+
+
+def _answers(client, prompts: list[str], stage: Stage) -> list[Answer]:
+    """An answer for each prompt, in their order, with at most ``stage.in_flight`` calls at a time."""
+    if hasattr(client, "ask_many"):
+        size = max(stage.batch, 1)
+        calls = [prompts[k : k + size] for k in range(0, len(prompts), size)]
+        ask = lambda part: _many(client, part)
+    else:
+        calls, ask = prompts, lambda prompt: [_one(client, prompt)]
+    if stage.in_flight > 1 and len(calls) > 1:
+        with ThreadPoolExecutor(stage.in_flight) as pool:
+            found = list(pool.map(ask, calls))
+    else:
+        found = map(ask, calls)
+    return [answer for part in found for answer in part]
+
+
+def _reply_row(prompt: str, answer: Answer, stage: Stage) -> dict[str, object]:
+    given, error, spent = answer
+    reply = given if isinstance(given, Reply) else Reply(given)
     text = (reply.text or "") if error is None else None
     if text is not None and stage.strip_reply:
         text = text.strip()
@@ -120,30 +171,61 @@ def call_once(client: Client, prompt: str, stage: Stage) -> dict[str, object]:
         "text": text,
         "out_tokens": counted if reply.out_tokens is None else int(reply.out_tokens),
         "in_tokens": len(prompt.split()) if reply.in_tokens is None else int(reply.in_tokens),
-        "latency_s": time.perf_counter() - started,
+        "latency_s": spent,
         "error": None if error is None else str(error),
+        "again": isinstance(error, stage.retry_on),
     }
 
 
+def ask_all(client, prompts: list[str], stage: Stage) -> list[dict[str, object]]:
+    """Replies in the order of the prompts; errors are text unless they must be raised.
+
+    Rows whose error is one of ``stage.retry_on`` are asked again together, after one
+    wait a round, up to ``stage.tries`` times; other errors are final at once.
+    """
+    rows: list = [None] * len(prompts)
+    open_rows = list(range(len(prompts)))
+    for attempt in range(1, stage.tries + 1):
+        answers = _answers(client, [prompts[k] for k in open_rows], stage)
+        for k, answer in zip(open_rows, answers):
+            spent = rows[k]["latency_s"] if rows[k] else 0.0
+            rows[k] = _reply_row(prompts[k], answer, stage)
+            rows[k]["latency_s"] += spent
+            if answer[1] is not None and stage.on_error == "raise":
+                if attempt == stage.tries or not rows[k]["again"]:
+                    raise answer[1]
+        open_rows = [k for k in open_rows if rows[k]["again"]]
+        if not open_rows or attempt == stage.tries:
+            break
+        time.sleep(stage.wait_s)
+    return rows
+
+
+def call_once(client, prompt: str, stage: Stage) -> dict[str, object]:
+    """``ask_all`` for one prompt."""
+    return ask_all(client, [prompt], stage)[0]
+
+
 def _reply_udf(stage: Stage, factory: Callable[[str], Client], warm_up: bool) -> Callable:
     """Pandas UDF (model, prompt) -> reply; keeps the client of the current model only."""
 
     @F.pandas_udf(REPLY)
     def replies(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model, client = None, None
-        columns = ["text", "out_tokens", "in_tokens", "latency_s", "error"]
+        columns = ["text", "out_tokens", "in_tokens", "latency_s", "error", "again"]
         for names, prompts in batches:
-            rows = []
-            for name, prompt in zip(names, prompts):
-                if prompt is None:
-                    rows.append(dict.fromkeys(columns) | {"error": NO_PROMPT})
-                    continue
+            rows = [dict.fromkeys(columns) | {"error": NO_PROMPT, "again": False} for _ in prompts]
+            asked = [k for k, prompt in enumerate(prompts) if prompt is not None]
+            for name, group in groupby(asked, key=lambda k: names.iat[k]):
+                places = list(group)
                 if client is None or name != model:
                     client, model = None, name
                     client = factory(name)
+                texts = [prompts.iat[k] for k in places]
                 if warm_up:
-                    call_once(client, prompt, stage)
-                rows.append(call_once(client, prompt, stage))
+                    ask_all(client, texts, stage)
+                for k, row in zip(places, ask_all(client, texts, stage)):
+                    rows[k] = row
             out = pd.DataFrame(rows, columns=columns)
             for c in ("out_tokens", "in_tokens"):
                 out[c] = out[c].astype("Int32")
@@ -152,6 +234,17 @@ def _reply_udf(stage: Stage, factory: Callable[[str], Client], warm_up: bool) ->
     return replies.asNondeterministic()
 
 
+def stage_prompt(df: DataFrame, stage: Stage, rules: dict[str, str] | None = None) -> Column:
+    """The prompt of each row; null for rows that failed in an earlier stage."""
+    prompt = fill(stage.prompt, _named_values(df, rules))
+    return F.when(F.col("_error").isNull(), prompt) if "_error" in df.columns else prompt
+
+
+def _named_values(df: DataFrame, rules: dict[str, str] | None) -> dict[str, Column]:
+    values = {c: F.col(c) for c in df.columns if not c.startswith("_")}
+    return values | {k: F.lit(text) for k, text in (rules or {}).items()}
+
+
 def apply_stage(
     df: DataFrame,
     stage: Stage,
@@ -159,24 +252,22 @@ def apply_stage(
     rules: dict[str, str] | None = None,
     timed: bool = False,
     warm_up: bool = False,
+    kinds: bool = False,
 ) -> DataFrame:
     """Add ``<name>_text``, ``_in``, ``_out`` and ``_error`` (``_latency_s`` if timed).
 
     Rows that carry an ``_error`` from an earlier stage are not sent. ``rules``
     gives fixed texts for names in the prompt. ``warm_up`` asks every prompt
-    once untimed before the timed call. The result is lazy; write it before
-    using it twice.
+    once untimed before the timed call. ``kinds`` adds ``<name>_again``: is the
+    error one to try again? The result is lazy; write it before using it twice.
     """
     if stage.on_error not in ON_ERROR:
         raise ValueError(f"unknown on_error {stage.on_error!r}")
-    values = {c: F.col(c) for c in df.columns if not c.startswith("_")}
-    values |= {k: F.lit(text) for k, text in (rules or {}).items()}
-    prompt = fill(stage.prompt, values)
-    if "_error" in df.columns:
-        prompt = F.when(F.col("_error").isNull(), prompt)
     ask = _reply_udf(stage, lambda _name: client_factory(), warm_up)
-    called = df.withColumn("_reply", ask(F.lit(""), prompt))
-    return _shape_reply(called, stage, values, timed)
+    called = df.withColumn("_reply", ask(F.lit(""), stage_prompt(df, stage, rules)))
+    if kinds:
+        called = called.withColumn(f"{stage.name}_again", F.col("_reply.again"))
+    return _shape_reply(called, stage, _named_values(df, rules), timed)
 
 
 def _shape_reply(
@@ -241,43 +332,99 @@ def _store(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _held(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """``rows`` written once, in files of which about ``FILES_PER_SLICE`` make a slice."""
+    path = fresh_path(rows.sparkSession, "calls")
+    per_file = max(slice_rows // FILES_PER_SLICE, 1)
+    rows.write.option("maxRecordsPerFile", per_file).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _slices(held: DataFrame, slice_rows: int) -> Iterator[DataFrame]:
+    """The rows of ``_held`` in parts of at most ``slice_rows``, by their files.
+
+    The driver sees one count for each file.
+    """
+    name = F.col("_metadata.file_path")
+    sizes = sorted(tuple(r) for r in held.groupBy(name.alias("file")).count().collect())
+    group, n = [], 0
+    for file, count in [*sizes, (None, slice_rows + 1)]:
+        if group and n + count > slice_rows:
+            yield held.sparkSession.read.schema(held.schema).parquet(*group)
+            group, n = [], 0
+        group.append(file)
+        n += count
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    return reduce(and_, [a[k].eqNullSafe(b[k]) for k in keys])
+
+
 def stored_once(
     todo: DataFrame,
     key: str | list[str],
     path: str,
     step: Callable[[DataFrame], DataFrame],
     failed: Column | None = None,
-    slices: int = 4,
+    prompt: Column | None = None,
+    again: Column | None = None,
+    rounds: int = 1,
+    wait_s: float = 0.0,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``todo`` with the columns that ``step`` adds, made once for each key and stored.
-
-    The store at ``path`` holds the key and the added columns only. Keys are worked
-    on in ``slices`` by hash, each committed alone, so an interrupted run loses one
-    slice at most. A later call runs ``step`` for keys without a stored row and for
-    those whose row is ``failed``; of several rows of a key the one that did not
-    fail counts, else the newest. Rows of other keys stay in the store.
+    """``todo`` with the columns that ``step`` adds, made once for each key and prompt and stored.
+
+    The store at ``path`` holds the key, a digest of the ``prompt`` and the added columns
+    only. ``todo`` is computed and written once; its rows are worked on in slices of at
+    most ``slice_rows``, each committed alone, so an interrupted run loses the calls of
+    one slice at most, however long the job. A later call runs ``step`` for rows whose
+    key and prompt have no stored row, and for those whose row is ``failed``: a changed
+    prompt is asked anew, its old reply stays in the store and is not used. Rows that are
+    failed and ``again`` are asked in up to ``rounds - 1`` further rounds of this call,
+    each after ``wait_s`` seconds, in which no task waits. Of several stored rows of a key
+    and prompt the one that did not fail counts, else the newest; rows of ``todo`` that
+    repeat a key and prompt are asked each and get the same one. ``step`` must pass the
+    column ``_digest`` on.
     """
     spark = todo.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
+    marks = [*keys, DIGEST]
+    digest = F.lit("") if prompt is None else F.coalesce(F.sha2(prompt, 256), F.lit(""))
+    held = _held(todo.withColumn(DIGEST, digest), slice_rows)
     before = _store(spark, path)
-    attempt, pending = 0, todo
+    attempt, pending = 0, held
     if before is not None:
         attempt = (before.agg(F.max("_attempt")).first()[0] or 0) + 1
-        settled = before if failed is None else before.where(~failed)
-        pending = todo.join(settled.select(*keys), keys, "left_anti")
-    part = F.pmod(F.xxhash64(*keys), F.lit(slices))
-    for k in range(slices):
-        made = step(pending.where(part == k))
-        added = [c for c in made.columns if c not in todo.columns or c == "_error"]
-        own = made.select(*keys, *added, F.lit(attempt).alias("_attempt"))
-        own.write.mode("append").parquet(path)
-    stored = spark.read.parquet(path)
-    if failed is not None:
-        good = stored.where(~failed)
-        again = stored.where(failed & (F.col("_attempt") == attempt))
-        stored = good.unionByName(again)
-    kept = [c for c in todo.columns if c not in stored.columns or c in keys]
-    return todo.select(*kept).join(stored.drop("_attempt"), keys)
+        settled = (before if failed is None else before.where(~failed)).select(*marks)
+        pending = _held(held.join(settled, _same(held, settled, marks), "left_anti"), slice_rows)
+    for left in range(rounds, 0, -1):
+        for rows in _slices(pending, slice_rows):
+            made = step(rows)
+            added = [c for c in made.columns if c not in todo.columns or c == "_error"]
+            stored = [*keys, *[c for c in added if c != DIGEST]]
+            own = made.select(*stored, DIGEST, F.lit(attempt).alias("_attempt"))
+            own.write.mode("append").parquet(path)
+        if left == 1 or again is None or failed is None:
+            break
+        found = _store(spark, path)
+        open_rows = None if found is None else found.where((F.col("_attempt") == attempt) & failed & again)
+        if open_rows is None or open_rows.isEmpty():
+            break
+        open_rows = open_rows.select(*marks).distinct()
+        pending = _held(held.join(open_rows, _same(held, open_rows, marks), "left_semi"), slice_rows)
+        attempt += 1
+        time.sleep(wait_s)
+    stored = _store(spark, path)
+    if stored is None:  # nothing to do, ever
+        empty = step(held.limit(0))
+        return empty.drop(DIGEST)
+    names = [c for c in stored.columns if c not in (*marks, "_attempt")]
+    whole = F.lit(True) if failed is None else ~failed
+    best = stored.groupBy(*marks).agg(
+        F.max_by(F.struct(*names), F.struct(whole, "_attempt")).alias("_made")
+    )
+    kept = [held[c] for c in todo.columns if c not in names]
+    return held.join(best, _same(held, best, marks)).select(*kept, "_made.*")
 
 
 def run_stages(
@@ -297,8 +444,10 @@ def run_stages(
     current = tasks
     for i, stage in enumerate(chain, start=1):
 
-        def step(rows: DataFrame, stage: Stage = stage) -> DataFrame:
-            out = apply_stage(rows, stage, clients[stage.name], rules)
+        once = replace(stage, tries=1)  # later tries are rounds over the stored failures
+
+        def step(rows: DataFrame, stage: Stage = once) -> DataFrame:
+            out = apply_stage(rows, stage, clients[stage.name], rules, kinds=True)
             if stage.name != "review":
                 return out
             return _flat_review(out) if flat else _rich_review(out)
@@ -306,7 +455,10 @@ def run_stages(
         failed = F.col(f"{stage.name}_error").isNotNull()
         if stage.on_error == "error_row" or "_error" in current.columns:
             failed = failed | F.col("_error").isNotNull()  # also rows that were not sent
-        current = stored_once(current, key, f"{path}/{i}-{stage.name}", step, failed)
+        current = stored_once(
+            current, key, f"{path}/{i}-{stage.name}", step, failed, stage_prompt(current, stage, rules),
+            F.col(f"{stage.name}_again"), stage.tries, stage.wait_s,
+        ).drop(f"{stage.name}_again")
     return current
 
 
@@ -344,21 +496,25 @@ def generate_responses(
     Rows are ranged by model and task into even partitions: a model with many
     rows fills several, small ones share one, and every partition loads its few
     models one at a time. With a ``path`` the responses are stored there, and a
-    rerun asks only for the missing ones; without it the result is lazy.
+    rerun asks only for the missing ones and for those whose prompt has changed;
+    without it the result is lazy.
     """
     n = partitions or int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ask = _reply_udf(stage, client_factory, warm_up)
+    ask = _reply_udf(stage if path is None else replace(stage, tries=1), client_factory, warm_up)
     status = F.when(F.col("_reply.error").isNull(), F.lit("ok")).otherwise(F.lit("error"))
     latency = F.col("_reply.latency_s") if timed else F.lit(None).cast("double")
 
+    spread = grid.repartitionByRange(n, "model", F.xxhash64("task_id"))
+
     def generate(cells: DataFrame) -> DataFrame:
-        spread = cells.repartitionByRange(n, "model", F.xxhash64("task_id"))
-        called = spread.sortWithinPartitions("model").withColumn(
+        called = cells.sortWithinPartitions("model").withColumn(
             "_reply", ask(F.col("model"), F.col(prompt_col))
         )
         return called.select(
             "task_id",
             "model",
+            *[c for c in cells.columns if c == DIGEST],
+            F.col("_reply.again").alias("again"),
             F.col("_reply.text").alias("text"),
             status.alias("status"),
             F.col("_reply.in_tokens").alias("in_tokens"),
@@ -367,8 +523,11 @@ def generate_responses(
         )
 
     if path is None:
-        return generate(grid)
-    made = stored_once(grid, ["task_id", "model"], path, generate, F.col("status") == "error")
+        return generate(spread).drop("again")
+    made = stored_once(
+        spread, ["task_id", "model"], path, generate, F.col("status") == "error", F.col(prompt_col),
+        F.col("again"), stage.tries, stage.wait_s,
+    )
     return made.select(
         "task_id", "model", "text", "status", "in_tokens", "out_tokens", "latency_s"
     )

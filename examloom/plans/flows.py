@@ -83,7 +83,8 @@ def _judge(prompts: DataFrame, client_factory: Callable[[], Client], path: str,
         asked = apply_stage(rows, JUDGE, client_factory)
         return asked.withColumnRenamed("judge_text", "judge_raw").drop("judge_in", "judge_out")
 
-    judged = stored_once(prompts, key, path, ask, F.col("judge_error").isNotNull())
+    failed = F.col("judge_error").isNotNull()
+    judged = stored_once(prompts, key, path, ask, failed, F.col("judge_prompt"))
     return judged.drop("judge_prompt")
 
 
@@ -97,7 +98,7 @@ def pairwise_tournament(
     path: str,
 ) -> tuple[DataFrame, DataFrame]:
     """(judged pairs, board) of a round robin over all model pairs."""
-    cells = grid.fill_blank_response(grid.response_grid(tasks, models, responses))
+    cells = grid.fill_blank_response(grid.response_cells(tasks, models, responses))
     pairs = blinding.blind_pairs(grid.pair_grid(cells, models, ("topic", "prompt")), seed)
     keyed = blinding.judge_prompts_ab(pairs, rubric).withColumn(
         "match_id", F.concat_ws("-", "task_id", "pair_id")
@@ -121,12 +122,10 @@ def best_of_n_tournament(
     All responses of ``failed_models`` count as errors, also those they gave.
     """
     given = grid.fill_blank_response(
-        grid.response_grid(tasks, models, responses), missing_marker=grid.ERROR
+        grid.response_cells(tasks, models, responses), missing_marker=grid.ERROR
     )
     cells = grid.fail_whole_models(given, list(failed_models))
-    prompts = blinding.judge_prompts_n(
-        blinding.blind_n(cells, models, seed), len(models), rubric, ("topic", "prompt")
-    )
+    prompts = blinding.judge_prompts_cells(cells.select("task_id", "topic", "prompt", "cells"), seed, rubric)
     judged = boards.best_of_n_verdicts(
         _judge(prompts, client_factory, path, "task_id"), models, seed
     )
@@ -144,14 +143,12 @@ def multi_judge(
 ) -> DataFrame:
     """Score of every model on every task, -1 where the judge gave none."""
     cells = grid.fill_blank_response(
-        grid.response_grid(tasks, models, responses),
+        grid.response_cells(tasks, models, responses),
         grid.EMPTY_RESPONSE_SERIAL,
         grid.NO_OUTPUT,
         whitespace_is_blank=False,
     )
-    prompts = blinding.judge_prompts_n(
-        blinding.blind_n(cells, models, seed), len(models), rubric, ("topic", "prompt")
-    )
+    prompts = blinding.judge_prompts_cells(cells.select("task_id", "topic", "prompt", "cells"), seed, rubric)
     judged = _judge(prompts, client_factory, path, "task_id").withColumn(
         "scores", parse_multi_scores(F.col("judge_raw"), len(models))
     )
