@@ -124,6 +124,37 @@ def json_string(col: Column) -> Column:
     return F.when(col.isNull(), F.lit("null")).otherwise(quoted)
 
 
+# Fixed value: the tokens of JSON text: strings, marks, and everything between them.
+JSON_TOKEN = r'"(?:[^"\\]|\\.)*+"|[{}\[\],:]|[^\s{}\[\],:"]+'
+
+
+def json_indented(col: Column, spaces: int = 2) -> Column:
+    """JSON text with one member or element a line, indented by its depth.
+
+    The tokens are kept as they stand and only the space between them is made anew;
+    objects and lists without members stay ``{}`` and ``[]``. One fold over the tokens
+    that carries the text so far, the depth and whether something was just opened.
+    """
+    tokens = F.regexp_extract_all(col, F.lit(JSON_TOKEN), F.lit(0))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("depth"), F.lit(False).alias("fresh"))
+
+    def line(depth: Column) -> Column:
+        return F.concat(F.lit("\n"), F.repeat(F.lit(" " * spaces), depth))
+
+    def add(s: Column, token: Column) -> Column:
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        depth = s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        before = F.when(closes, F.when(s["fresh"], F.lit("")).otherwise(line(depth))).when(
+            s["fresh"], line(s["depth"])
+        ).otherwise(F.lit(""))
+        after = F.when(token == ",", line(depth)).when(token == ":", F.lit(" ")).otherwise(F.lit(""))
+        return F.struct(
+            F.concat(s["out"], before, token, after).alias("out"), depth.alias("depth"), opens.alias("fresh")
+        )
+
+    return F.aggregate(tokens, start, add, lambda s: s["out"])
+
+
 def log_text(col: Column, max_chars: int | None = None) -> Column:
     r"""One-line log form: newline written as ``\n``; cut only at a named ``max_chars``."""
     line = F.replace(col, F.lit("\n"), F.lit("\\n"))

@@ -80,7 +80,7 @@ def blind_n(grid: DataFrame, models: list[str], seed: int) -> DataFrame:
     """
     if "cells" in grid.columns:
         rest = [c for c in grid.columns if c != "cells"]
-        spread = shuffled_cells(grid, seed).select(*rest, F.posexplode("cells").alias("_i", "_cell"))
+        spread = shuffled_cells(grid, seed).select(*rest, F.posexplode_outer("cells").alias("_i", "_cell"))
         return spread.select(*rest, "_cell.*", (F.col("_i") + 1).alias("label"))
     order = shuffled_models(models, seed, F.col("task_id"))
     return grid.withColumn("label", F.array_position(order, F.col("model")).cast("int"))

@@ -163,6 +163,36 @@ def multi_totals(scores: DataFrame) -> DataFrame:
     )
 
 
+def rounds_with_total(scores: DataFrame, rounds: DataFrame, models: list[str]) -> DataFrame:
+    """One row for each round, a score column per model, and a last row with the totals.
+
+    ``scores(task_id, model, score)`` are read once: one aggregate by grouping sets gives
+    the rounds' scores and the totals. ``rounds`` has task_id, which becomes ``round``,
+    topic and further texts, which are empty in the last row. A model without a score
+    has -1 in a round, and rounds without any score are left out.
+    """
+    own = [F.col("model") == m for m in check_models(models)]
+    names = [f"score_{m}" for m in models]
+    score = F.col("score")
+    seen = [F.coalesce(F.max(F.when(x, score)), F.lit(-1)) for x in own]
+    sums = [F.coalesce(F.sum(F.when(x & (score > 0), score)), F.lit(0)) for x in own]
+    total = F.grouping("task_id") == 1
+    wide = scores.groupingSets([["task_id"], []], "task_id").agg(
+        total.alias("_total"),
+        *[F.when(total, t).otherwise(s).cast("bigint").alias(c) for s, t, c in zip(seen, sums, names)],
+    )
+    rest = [c for c in rounds.columns if c != "task_id"]
+    fixed = {"topic": TOTAL_TOPIC}
+    told = rounds.withColumn("_known", F.lit(True))
+    key = told["task_id"].eqNullSafe(wide["task_id"]) & ~wide["_total"]
+    joined = wide.join(told, key, "left").where("_total or _known")
+    return joined.select(
+        F.when(F.col("_total"), TOTAL_ROUND).otherwise(wide["task_id"].cast("string")).alias("round"),
+        *[F.when(F.col("_total"), fixed.get(c, "")).otherwise(F.col(c).cast("string")).alias(c) for c in rest],
+        *[F.col(f"`{c}`") for c in names],
+    )
+
+
 def with_total_row(pivoted: DataFrame, prefix: str = "score_") -> DataFrame:
     """The rounds and a last ``TOTAL`` row with the positive score sums."""
     names = [c for c in pivoted.columns if c.startswith(prefix)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.functions.mcq import mcq_json
-from examloom.functions.text import let, ws_tokens
+from examloom.functions.text import json_indented, let, ws_tokens
 from examloom.schemas import CHAT_MESSAGES
 
 # Chat markers, the default system turn and the token budget.
@@ -28,6 +28,30 @@ def completion_text(df: DataFrame, column: str = "LLMans") -> Column:
     return F.col(column).cast("string")
 
 
+def line_completion(line: Column, field: str = "LLMans") -> Column:
+    """The answer in a JSON line as text, whatever its type there.
+
+    An object becomes indented JSON with its members in their order, a text is taken as
+    it is, other values as their JSON text; absent and null ones are empty.
+    """
+    value = F.get_json_object(line, f"$.{field}")
+    is_object = F.from_json(line, f"`{field}` MAP<STRING, STRING>")[field].isNotNull()
+    return F.coalesce(F.when(is_object, json_indented(value)).otherwise(value), F.lit(""))
+
+
+def messages_of_lines(lines: DataFrame, keep_cols: tuple[str, ...] = ()) -> DataFrame:
+    """``messages`` of every example in JSON ``lines(value)``; answers may be objects or texts.
+
+    A list of at least two messages passes through; otherwise the two turns are built
+    from ``question`` and ``LLMans``. Narrow, and each line by itself, so one file may
+    mix all forms.
+    """
+    line = F.col("value")
+    found = F.from_json(line, f"messages {CHAT_MESSAGES}, question STRING")
+    read = lines.select(*keep_cols, found.alias("_r"), line_completion(line).alias("LLMans"))
+    return to_messages(read.select(*keep_cols, "_r.*", "LLMans"), keep_cols)
+
+
 def to_messages(df: DataFrame, keep_cols: tuple[str, ...] = ()) -> DataFrame:
     """``messages`` of every example, all other columns dropped.
 

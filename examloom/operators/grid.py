@@ -77,7 +77,7 @@ def response_grid(
 ) -> DataFrame:
     """The cells of ``response_cells``, one row for each task and model."""
     found = response_cells(tasks, models, responses, order)
-    return found.select(*tasks.columns, F.inline("cells"))
+    return found.select(*tasks.columns, F.inline_outer("cells"))  # "outer" spares a filter that makes the cells twice
 
 
 def rejected_responses(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from examloom.functions.text import log_excerpt, log_text
 from examloom.operators.blinding import blind_mapping
-from examloom.operators.boards import with_total_row
+from examloom.operators.boards import rounds_with_total
 from examloom.operators.grid import pivot_models
 
 
@@ -83,12 +83,18 @@ def best_of_n_log(judged: DataFrame, cells: DataFrame, models: list[str], seed:
 
 def ratings_log(judged: DataFrame, scores: DataFrame, models: list[str]) -> DataFrame:
     """N-model rounds, one score column per model, and a last row with the totals."""
-    wide = pivot_models(scores, models, "score", "score_", default=-1)
-    rounds = judged.join(wide, "task_id").select(
+    rounds = judged.select("task_id", "topic", "prompt", F.col("judge_raw").alias("judge_raw_response"))
+    done = rounds_with_total(scores.select("task_id", "model", "score"), rounds, models)
+    return done.select(
+        "round", "topic", "prompt", *[F.col(f"`score_{m}`") for m in models], "judge_raw_response"
+    )
+
+
+def latency_log(rounds: DataFrame, x: str, y: str) -> DataFrame:
+    """Timed two-arm rounds with the arms named ``x`` and ``y``: both questions, both times."""
+    return rounds.select(
         F.col("task_id").alias("round"),
         "topic",
-        "prompt",
-        *[F.col(f"`score_{m}`") for m in models],
-        F.col("judge_raw").alias("judge_raw_response"),
+        *[F.col(f"{arm}_text").alias(f"question_{arm}") for arm in (x, y)],
+        *[F.col(f"{arm}_latency_s").alias(f"time_{arm}") for arm in (x, y)],
     )
-    return with_total_row(rounds)

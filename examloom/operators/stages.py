@@ -270,6 +270,42 @@ def apply_stage(
     return _shape_reply(called, stage, _named_values(df, rules), timed)
 
 
+def timed_arms(
+    tasks: DataFrame, arms: dict[str, Callable[[], Client]], prompt_col: str = "prompt",
+    stage: Stage = Stage("timed", ""),
+) -> DataFrame:
+    """Every prompt answered by each arm in turn: adds ``<arm>_text``, ``_latency_s`` and ``_error``.
+
+    A task opens each client once and sends it its first prompt untimed; then each row is
+    asked of all arms, one after the other in the same task, so that both times of a
+    round come from the same machine and moment. A failed call has no text and no time.
+    """
+    fields = ", ".join(f"`{a}_text` STRING, `{a}_latency_s` DOUBLE, `{a}_error` STRING" for a in arms)
+
+    @F.pandas_udf(fields)
+    def timed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        clients: dict = {}
+        for prompts in batches:
+            out = {f"{a}_{c}": [] for a in arms for c in ("text", "latency_s", "error")}
+            for prompt in prompts:
+                for arm, factory in arms.items():
+                    row = {"text": None, "latency_s": None, "error": NO_PROMPT}
+                    if prompt is not None:
+                        if arm not in clients:
+                            clients[arm] = factory()
+                            call_once(clients[arm], prompt, stage)
+                        row = call_once(clients[arm], prompt, stage)
+                    if row["error"] is not None:
+                        row["latency_s"] = None
+                    for c in ("text", "latency_s", "error"):
+                        out[f"{arm}_{c}"].append(row[c])
+            yield pd.DataFrame(out).astype({f"{a}_latency_s": "float64" for a in arms})
+
+    return tasks.withColumn("_timed", timed.asNondeterministic()(F.col(prompt_col))).select(
+        *tasks.columns, "_timed.*"
+    )
+
+
 def _shape_reply(
     called: DataFrame, stage: Stage, values: dict[str, Column], timed: bool
 ) -> DataFrame:

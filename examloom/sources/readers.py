@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examloom import schemas
@@ -50,6 +50,7 @@ NO_OBJECT = "line is no JSON object"
 OTHER_TYPE = "field of another type"
 RESPONSE_FILE = r"round(\d+)_model_(.*)\.txt$"
 ADAPTER_CONFIG = "adapter_config.json"
+CHECKPOINT_FOLDER = r"/checkpoint[-=](\d+)$"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = schemas.GEN_RECORD) -> DataFrame:
@@ -187,43 +188,70 @@ def _plain_path(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def read_response_files(spark: SparkSession, path: str) -> DataFrame:
+def read_response_files(spark: SparkSession, path: str, pattern: str = RESPONSE_FILE) -> DataFrame:
     """Responses (task_id, model, text) from files named by round and model.
 
-    Spark does not list empty files, so an empty file is like an absent one;
-    blank replies are written as a marker, never as an empty file.
+    ``pattern`` finds the round and the model in the path of a file. Spark's scans
+    leave out files without content, but its listing holds them: they are responses
+    with an empty text. The listing is the one Spark makes on the driver for any scan.
     """
-    name = _plain_path(F.col("_metadata.file_name"))
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(name.alias("name"), F.col("value").alias("text"))
-        .where(F.col("name").rlike(RESPONSE_FILE))
-        .select(
-            F.regexp_extract("name", RESPONSE_FILE, 1).cast("bigint").alias("task_id"),
-            F.regexp_extract("name", RESPONSE_FILE, 2).alias("model"),
-            "text",
-        )
+    whole = spark.read.text(path, wholetext=True)
+
+    def named(name: Column, text: Column) -> list[Column]:
+        found = [F.regexp_extract(name, pattern, k) for k in (1, 2)]
+        return [found[0].cast("bigint").alias("task_id"), found[1].alias("model"), text.alias("text")]
+
+    # input_file_name() spells a path as the listing does, the metadata column does not.
+    read = whole.select(_plain_path(F.input_file_name()).alias("name"), F.col("value").alias("text"))
+    read = read.where(F.col("name").rlike(pattern))
+    listed = spark.createDataFrame([(f,) for f in whole.inputFiles()], "file STRING")
+    listed = listed.select(_plain_path(F.col("file")).alias("name")).where(F.col("name").rlike(pattern))
+    empty = listed.join(read.select("name"), "name", "left_anti")
+    return read.select(*named(F.col("name"), F.col("text"))).unionByName(
+        empty.select(*named(F.col("name"), F.lit("")))
     )
 
 
 def with_missing_files(grid: DataFrame) -> DataFrame:
-    """A grid's absent response files read as ``No Output``."""
+    """A grid's absent response files read as ``No Output``; empty ones stay empty."""
     return grid.withColumn(
         "text", F.when(F.col("present"), F.col("text")).otherwise(F.lit(NO_OUTPUT))
     )
 
 
-def read_train_log(spark: SparkSession, path: str) -> DataFrame:
-    """Training log entries of trainer-state documents, ``run_id`` from the folder."""
-    folder = F.regexp_extract(_plain_path(F.col("_metadata.file_path")), "([^/]+)/[^/]+$", 1)
+def train_states(spark: SparkSession, path: str) -> DataFrame:
+    """All log entries of trainer-state documents, with their run and checkpoint.
+
+    ``run_id`` is the folder of the run, ``checkpoint`` the number of the checkpoint
+    folder inside it, null for a state that lies in the run's folder itself. Runs whose
+    checkpoints have equal names stay apart.
+    """
+    folder = F.regexp_replace(_plain_path(F.col("_metadata.file_path")), "/[^/]+$", "")
     return (
         spark.read.schema(schemas.TRAINER_STATE)
         .option("multiLine", True)
         .json(path)
-        .select(folder.alias("run_id"), F.inline("log_history"))
+        .select(
+            F.regexp_replace(folder, CHECKPOINT_FOLDER, "").alias("run_id"),
+            F.regexp_extract(folder, CHECKPOINT_FOLDER, 1).try_cast("bigint").alias("checkpoint"),
+            F.inline("log_history"),
+        )
     )
 
 
+def read_train_log(spark: SparkSession, path: str) -> DataFrame:
+    """Training log entries, each once: checkpoints of a run repeat what came before them.
+
+    Of the entries of a step those of the greatest checkpoint count; a state in the
+    run's folder itself is the last of all. Entries are compared per run and step, so
+    no run is gathered.
+    """
+    rank = F.coalesce("checkpoint", F.lit(2**62))
+    step = Window.partitionBy("run_id", "step")
+    newest = train_states(spark, path).withColumn("_rank", rank).withColumn("_top", F.max("_rank").over(step))
+    return newest.where("_rank = _top").drop("checkpoint", "_rank", "_top")
+
+
 def read_run_configs(spark: SparkSession, path: str) -> DataFrame:
     """Run configurations with the base model, the run's own folder if none is named."""
     file_path = _plain_path(F.col("_metadata.file_path"))

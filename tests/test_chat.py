@@ -1,8 +1,10 @@
 import json
+import random
 
 import pandas as pd
 from pyspark.sql import functions as F
 
+from examloom.functions.text import json_indented
 from examloom.operators import chat
 from examloom.schemas import CHAT_MESSAGES, MCQ
 
@@ -87,3 +89,46 @@ def test_budget_with_own_counter(spark):
         return s.str.len()
 
     assert [r.n_tokens for r in chat.flag_over_budget(df, 2, chars).collect()] == [5, 1]
+
+
+def random_json(rng, depth=0):
+    kind = rng.randrange(8 if depth < 3 else 5)
+    if kind == 0:
+        return rng.choice([None, True, False])
+    if kind == 1:
+        return rng.choice([0, -5, 12345678901, 1.5])
+    if kind < 5:
+        return "".join(rng.choice('ab"\\{}[],: \n\t題é') for _ in range(rng.randrange(9)))
+    if kind == 5:
+        return [random_json(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {f"k{i} {rng.choice('x,}\"')}": random_json(rng, depth + 1) for i in range(rng.randrange(4))}
+
+
+def test_indented_json_is_what_a_json_writer_gives(spark):
+    rng = random.Random(3)
+    values = [{}, [], {"a": {}}, {"a": [[], {}, [1]]}, *({"v": random_json(rng)} for _ in range(300))]
+    rows = [(i, json.dumps(v, ensure_ascii=False)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i INT, j STRING").withColumn("out", json_indented(F.col("j")))
+    got = {r.i: r.out for r in df.collect()}
+    assert got == {i: json.dumps(v, ensure_ascii=False, indent=2) for i, v in enumerate(values)}
+
+
+def test_one_file_with_objects_texts_and_messages(spark):
+    rng = random.Random(4)
+    answers = [{"stem": "é", "options": {"B": "1", "A": []}}, '{"a": 1}', "plain\n題", {}, None, 5, True, [1, "x"]]
+    answers += [random_json(rng) for _ in range(60)]
+    lines = [json.dumps({"question": f"q{i}", "LLMans": a}, ensure_ascii=False) for i, a in enumerate(answers)]
+    lines += ['{"question": "only"}', '{"LLMans": "x"}', '{"messages": [{"role": "a", "content": "b"}], "LLMans": {"z": 1}}']
+    lines += [json.dumps({"messages": [{"role": "r", "content": c} for c in "ab"], "LLMans": "x"})]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i INT, value STRING")
+    got = {r.i: [m.content for m in r.messages] for r in chat.messages_of_lines(df, ("i",)).collect()}
+
+    def text(a):
+        if isinstance(a, dict):
+            return json.dumps(a, ensure_ascii=False, indent=2)
+        return "" if a is None else a if isinstance(a, str) else json.dumps(a, ensure_ascii=False, separators=(",", ":"))
+
+    for i, a in enumerate(answers):
+        assert got[i] == [f"q{i}", text(a)]
+    n = len(answers)
+    assert [got[n + k] for k in range(4)] == [["only", ""], ["", "x"], ["", '{\n  "z": 1\n}'], ["a", "b"]]

@@ -34,6 +34,47 @@ def test_grid_is_complete_and_unique(full):
     assert missing == [(2, "m-a")]
 
 
+def test_the_last_response_counts_and_the_rest_is_told(spark, tasks):
+    rows = [
+        (1, "m-a", "z first", 1), (1, "m-a", "a last", 2), (1, "m-b", "x", 5), (1, "m-b", "y", 5), (1, "m-b", "y", 5),
+        (2, "m-c", None, 3), (2, "m-c", "t", 1), (99, "m-a", "no task", 1), (1, "other", "no model", 1), (None, "m-a", "q", 1), (1, None, "r", 1),
+    ]
+    responses = spark.createDataFrame(rows, "task_id LONG, model STRING, text STRING, at INT").repartition(5)
+    cells = {(r.task_id, r.model): (r.text, r.at) for r in grid.response_grid(tasks, MODELS, responses, "at").where("present").collect()}
+    assert cells == {(1, "m-a"): ("a last", 2), (1, "m-b"): ("y", 5), (2, "m-c"): (None, 3)}
+    out = [(r.task_id, r.model, r.text, r.reason) for r in grid.rejected_responses(tasks, MODELS, responses, "at").collect()]
+    assert sorted(out, key=str) == sorted([
+        (1, "m-a", "z first", grid.SUPERSEDED), (1, "m-b", "x", grid.SUPERSEDED), (2, "m-c", "t", grid.SUPERSEDED),
+        (99, "m-a", "no task", grid.UNPLANNED_TASK), (1, "other", "no model", grid.UNLISTED_MODEL),
+        (None, "m-a", "q", grid.UNPLANNED_TASK), (1, None, "r", grid.UNLISTED_MODEL),
+    ], key=str)
+
+
+def test_cells_and_the_long_grid_agree(spark, tasks):
+    rows = [(t, m, f"{m} on {t}" if t % 4 else " ") for t in range(1, 31) for m in MODELS if (t + len(m)) % 5]
+    responses = spark.createDataFrame(rows, "task_id LONG, model STRING, text STRING")
+    long = grid.fail_whole_models(grid.fill_blank_response(grid.response_grid(tasks, MODELS, responses)), ["m-c"])
+    cells = grid.fail_whole_models(grid.fill_blank_response(grid.response_cells(tasks, MODELS, responses)), ["m-c"])
+    same = lambda a, b: sorted(map(tuple, a.select(sorted(b.columns)).collect())) == sorted(map(tuple, b.select(sorted(b.columns)).collect()))
+    assert same(cells.select("task_id", "topic", "prompt", F.inline("cells")), long)
+    assert same(grid.pair_grid(cells, MODELS, ("topic",)), grid.pair_grid(long, MODELS, ("topic",)))
+    assert same(blinding.blind_n(cells, MODELS, 9), blinding.blind_n(long, MODELS, 9))
+    rubric = "{topic}|{n}|{responses}end {x}"
+    prompts = blinding.judge_prompts_n(blinding.blind_n(long, MODELS, 9), 4, rubric)
+    assert same(blinding.judge_prompts_cells(cells, 9, rubric), prompts)
+
+
+def test_texts_are_aggregated_once_and_digests_made_once_a_cell(spark, tasks):
+    responses = spark.createDataFrame([(1, "m-a", "x")], "task_id LONG, model STRING, text STRING")
+    cells = grid.fill_blank_response(grid.response_cells(tasks, MODELS, responses))
+    for df in (
+        grid.pair_grid(cells, MODELS, ("topic",)), blinding.blind_n(cells, MODELS, 9), blinding.judge_prompts_cells(cells, 9, "{responses}"),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate [") == 1
+        assert plan.count("md5(") <= 1
+
+
 def test_fill_blank(full):
     texts = {(r.task_id, r.model): r.text for r in grid.fill_blank_response(full).collect()}
     assert texts[2, "m-a"] == "[ERROR_GENERATING]" and texts[3, "m-c"] == "[EMPTY_RESPONSE]"
@@ -174,6 +215,14 @@ def test_multi_scores_round(spark):
     assert long.count() == 8 and long.where("score = -1").count() == 5
     assert sum(r.total for r in boards.multi_totals(long).collect()) == 11
     wide = grid.pivot_models(long, MODELS, "score", "score_", default=-1)
+    rounds = wide.select("task_id").withColumn("topic", F.lit("t"))
+    total = boards.rounds_with_total(long, rounds, MODELS)
+    plan = total._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand [") == 1
+    got = {r["round"]: tuple(r)[1:] for r in total.collect()}
+    want = {str(r.task_id): ("t", *[r[f"score_{m}"] for m in MODELS]) for r in wide.collect()}
+    sums = tuple(sum(max(w[k + 1], 0) for w in want.values()) for k in range(len(MODELS)))
+    assert got == want | {"TOTAL": ("SUM", *sums)}
     done = boards.with_total_row(
         wide.select(F.col("task_id").alias("round"), F.lit("x").alias("topic"), *[f"`score_{m}`" for m in MODELS])
     )

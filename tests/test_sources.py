@@ -94,12 +94,12 @@ def test_response_files(spark, tmp_path):
         (tmp_path / name).write_text(text, encoding="utf-8")
     found = readers.read_response_files(spark, str(tmp_path))
     assert sorted((r.task_id, r.model, r.text) for r in found.collect()) == [
-        (1, "qwen a+b", "line 1\nline 2"), (2, "模型_x", "m"),
+        (1, "qwen a+b", "line 1\nline 2"), (1, "模型_x", ""), (2, "模型_x", "m"),
     ]
     tasks = spark.createDataFrame([(1,), (2,)], "task_id LONG")
     grid = readers.with_missing_files(response_grid(tasks, ["qwen a+b", "模型_x"], found))
     assert sorted((r.task_id, r.model, r.text) for r in grid.collect()) == [
-        (1, "qwen a+b", "line 1\nline 2"), (1, "模型_x", "No Output"),
+        (1, "qwen a+b", "line 1\nline 2"), (1, "模型_x", ""),
         (2, "qwen a+b", "No Output"), (2, "模型_x", "m"),
     ]
 
@@ -112,7 +112,7 @@ def test_train_log_and_run_config(spark, tmp_path):
         ' "step": 10},\n {"epoch": 0.2, "step": 20, "eval_loss": 1.0}\n]}'
     )
     rows = readers.read_train_log(spark, str(tmp_path / "*" / "trainer_state.json")).orderBy("step").collect()
-    assert [(r.run_id, r.step, r.loss) for r in rows] == [("checkpoint-100", 10, 12.2), ("checkpoint-100", 20, None)]
+    assert [(r.run_id.endswith(tmp_path.name), r.step, r.loss) for r in rows] == [(True, 10, 12.2), (True, 20, None)]
     assert rows[0].grad_norm != rows[0].grad_norm
     (run / readers.ADAPTER_CONFIG).write_text(json.dumps(
         {"base_model_name_or_path": "base/x", "r": 8, "lora_alpha": 16, "target_modules": ["q"], "extra": {}}, indent=1
@@ -125,6 +125,27 @@ def test_train_log_and_run_config(spark, tmp_path):
     assert got["plain"].base_model.endswith("/plain")
 
 
+def test_runs_with_overlapping_checkpoints(spark, tmp_path):
+    def state(folder, entries):
+        folder.mkdir(parents=True)
+        log = [{"step": s, "loss": x, "epoch": s / 10} if x is not None else {"step": s, "eval_loss": 1.0} for s, x in entries]
+        (folder / "trainer_state.json").write_text(json.dumps({"log_history": log}, indent=1))
+
+    for run, add in (("a b", 0.0), ("b", 100.0)):
+        state(tmp_path / run / "checkpoint-90", [(10, 1.0 + add), (20, 2.0 + add), (20, None)])
+        state(tmp_path / run / "checkpoint-100", [(10, 1.5 + add), (20, 2.5 + add), (20, None), (30, 3.5 + add)])
+    state(tmp_path / "c", [(10, 7.0)])
+    state(tmp_path / "c" / "checkpoint-5", [(10, 6.0), (5, 5.0)])
+    path = str(tmp_path / "{*,*/checkpoint-*}" / "trainer_state.json")
+    rows = sorted((r.run_id.rsplit("/", 1)[1], r.step, r.loss or 0.0) for r in readers.read_train_log(spark, path).collect())
+    assert rows == [
+        ("a b", 10, 1.5), ("a b", 20, 0.0), ("a b", 20, 2.5), ("a b", 30, 3.5),
+        ("b", 10, 101.5), ("b", 20, 0.0), ("b", 20, 102.5), ("b", 30, 103.5), ("c", 5, 5.0), ("c", 10, 7.0),
+    ]
+    every = readers.train_states(spark, path)
+    assert every.count() == 17 and {r.checkpoint for r in every.collect()} == {90, 100, 5, None}
+
+
 def test_jsonl_round_trip(spark, tmp_path):
     row = ("題", "q", [{"role": "user", "content": "多\n行"}], None, None)
     schema = f"topic STRING, question STRING, messages {schemas.CHAT_MESSAGES}, keep BOOLEAN, reason STRING"

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from examloom.operators import stages
+from examloom.operators.logs import latency_log
 from examloom.operators.records import assemble_record, flat_dataset, review_log, token_usage
 from examloom.plans import flows
 from examloom.plans.tasks import task_ids
@@ -485,3 +486,18 @@ def test_a_missing_prompt_is_an_error(spark):
     rows = df.withColumn("model", F.lit("m")).withColumnRenamed("q", "prompt")
     got = {r.task_id: r for r in stages.generate_responses(rows, lambda m: lambda p: p).collect()}
     assert (got[1].status, got[1].text) == ("error", None) and got[2].status == "ok"
+
+
+def test_both_arms_of_a_round_are_timed_in_one_task(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    df = spark.createDataFrame([(i, f"t{i}", f"p{i}" if i else None) for i in range(12)], "task_id LONG, topic STRING, prompt STRING").repartition(3)
+    arms = {"x": logging(log, "x", lambda p: p + "x"), "y": logging(log, "y", lambda p: p + "y", fail="p5")}
+    done = stages.timed_arms(df, arms)
+    rows = {r.round: r for r in latency_log(done, "x", "y").collect()}
+    assert list(rows[1].asDict()) == ["round", "topic", "question_x", "question_y", "time_x", "time_y"]
+    assert (rows[7].question_x, rows[7].question_y) == ("p7x", "p7y") and min(rows[7].time_x, rows[7].time_y) >= 0
+    assert (rows[5].question_x, rows[5].question_y, rows[5].time_y) == ("p5x", None, None)
+    assert tuple(rows[0])[2:] == (None, None, None, None)
+    calls = calls_of(log)
+    assert sum(calls.values()) == 2 * 11 + 2 * len({f.name for f in log.glob("*.log")}) // 2

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examloom.functions.text import ws_tokens
+from examloom.functions.text import json_string, ws_tokens
 from examloom.operators import chat, records
 from examloom.schemas import CHAT_MESSAGES, STAGES
+from examloom.session import fresh_path
 from workloads.registry import query, sql_lines, sql_strip, sql_tokens, table
 
 BUDGET = 120
@@ -97,6 +98,39 @@ def to_messages_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Examples of one file: answers as objects, as texts that look like objects, and messages.
+EXAMPLE_LINE_SQL = """CASE doc_id % 4
+    WHEN 0 THEN '{"question": "Q' || doc_id || '", "LLMans": {"stem":' || j || ', "options" : {"B": "' || lang
+      || '", "A": []},"n": ' || n_chars || ', "empty": {}, "ok": [true, null, {"x": "a\\"b,:"}]}}'
+    WHEN 1 THEN '{"LLMans": ' || j || ', "question": "Q' || doc_id || '"}'
+    WHEN 2 THEN '{"LLMans": "{\\"stem\\": 1}", "question": "' || source || '"}'
+    ELSE '{"messages": [{"role": "user", "content": "' || lang || '"}, {"role": "assistant", "content": ' || j
+      || '}], "LLMans": {"a": 1}}' END"""
+_MIXED_SQL = """CASE doc_id % 4 WHEN 0 THEN '{' || chr(10) || '  "stem": ' || j || ',' || chr(10) || '  "options": {' || chr(10)
+      || '    "B": "' || lang || '",' || chr(10) || '    "A": []' || chr(10) || '  },' || chr(10) || '  "n": ' || n_chars || ','
+      || chr(10) || '  "empty": {},' || chr(10) || '  "ok": [' || chr(10) || '    true,' || chr(10) || '    null,' || chr(10)
+      || '    {' || chr(10) || '      "x": "a\\"b,:"' || chr(10) || '    }' || chr(10) || '  ]' || chr(10) || '}'
+    WHEN 2 THEN '{"stem": 1}' ELSE text END"""
+
+
+@query(
+    "mixed_completions",
+    f"""WITH docs AS (SELECT *, to_json(text)::VARCHAR AS j FROM documents),
+    lines AS (SELECT *, {EXAMPLE_LINE_SQL} AS line, {_MIXED_SQL} AS content_2 FROM docs)
+    SELECT line, CASE doc_id % 4 WHEN 2 THEN source WHEN 3 THEN lang ELSE 'Q' || doc_id END AS content_1, content_2
+    FROM lines""",
+)
+def mixed_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages from one file with all kinds of answers, next to the line they come from."""
+    path = fresh_path(spark, "examples")
+    docs = table(spark, sf_dir, "documents").withColumn("j", json_string(F.col("text")))
+    docs.select(F.expr(EXAMPLE_LINE_SQL.replace("\\", "\\\\")).alias("value")).write.text(path)
+    lines = spark.read.text(path).withColumn("line", F.col("value"))
+    return chat.messages_of_lines(lines, ("line",)).select(
+        "line", *[F.col("messages")[i].content.alias(f"content_{i + 1}") for i in (0, 1)]
+    )
+
+
 @query("render_chat", f"WITH {RENDERED_SQL} SELECT * FROM rendered")
 def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rendered(spark, sf_dir).select("conv_id", "turn", "text")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from examloom import schemas
 from examloom.functions.text import json_string
+from examloom.operators import grid
 from examloom.operators.cleaning import CLEAN, QUARANTINED, REMOVED, split_rows
 from examloom.operators.records import assemble_record, review_log
 from examloom.plans import tasks
@@ -243,3 +244,96 @@ def streamed_best_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def progress_of_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = table(spark, sf_dir, "documents").count()
     return progress(table(spark, sf_dir, "labels"), total)
+
+
+# Catalogues, run configurations and response files, as other programs write them.
+@query(
+    "topics_from_files",
+    """SELECT (row_number() OVER (PARTITION BY p_partkey // 100 ORDER BY p_partkey) - 1)::INTEGER AS topic_id, topic,
+    CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type END AS field, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name || ' - x' END AS detail
+    FROM (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type || ' -  ' || p_name || ' - x' END AS topic FROM part)""",
+)
+def topics_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of catalogue files, each a JSON list of up to a hundred."""
+    topic = F.expr("CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type || ' -  ' || p_name || ' - x' END")
+    path = _json_lists(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), topic.alias("v")), 100)
+    return readers.topics(spark, path)
+
+
+@query(
+    "templates_from_files",
+    """SELECT (row_number() OVER (PARTITION BY s_suppkey // 50 ORDER BY s_suppkey) - 1)::INTEGER AS template_id,
+    s_name || ' asks 「{topic}」' AS template, 'file' AS origin FROM supplier""",
+)
+def templates_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("k"), F.concat("s_name", F.lit(" asks 「{topic}」")).alias("v")
+    )
+    return readers.load_templates(spark, _json_lists(rows, 50), fallback=None)
+
+
+def _json_lists(rows: DataFrame, size: int) -> str:
+    """Files with one JSON list each, of the values whose keys share a range of ``size``."""
+    path = fresh_path(rows.sparkSession, "lists")
+    own = F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda s: s["v"])
+    lists = rows.groupBy(F.expr(f"k div {size}").alias("list")).agg(F.to_json(own).alias("value"))
+    lists.write.partitionBy("list").text(path)
+    return f"{path}/*"
+
+
+@query(
+    "run_configs",
+    """SELECT 'run=' || s_suppkey AS run_id, CASE WHEN s_suppkey % 4 = 1 THEN 'own folder' ELSE 'base/' || s_name END AS base_model,
+    CASE WHEN s_suppkey % 5 <> 2 THEN s_nationkey END::INTEGER AS r, s_name || ',q_proj' AS target_modules FROM supplier""",
+)
+def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "adapters")
+    config = F.struct(
+        F.expr("CASE WHEN s_suppkey % 4 <> 1 THEN 'base/' || s_name END").alias("base_model_name_or_path"),
+        F.expr("CASE WHEN s_suppkey % 5 <> 2 THEN s_nationkey END").alias("r"),
+        F.array("s_name", F.lit("q_proj")).alias("target_modules"),
+        F.struct(F.lit(1).alias("unknown")).alias("extra"),
+    )
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("run"), F.to_json(config).alias("value"))
+    rows.write.partitionBy("run").text(path)
+    found = readers.read_run_configs(spark, f"{path}/*")
+    base = F.when(F.col("base_model") == F.col("path"), "own folder").otherwise(F.col("base_model"))
+    return found.select("run_id", base.alias("base_model"), "r", F.array_join("target_modules", ",").alias("target_modules"))
+
+
+@query("valid_count", """SELECT count(*) AS n_valid FROM (SELECT coalesce(max(toxic) OVER (PARTITION BY doc_id // 100
+    ORDER BY doc_id ROWS UNBOUNDED PRECEDING), 0) = 0 AS valid FROM documents LEFT JOIN labels USING (doc_id)) WHERE valid""")
+def valid_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "damaged")
+    lines = _damaged_lines(spark, sf_dir).withColumn("shard", F.expr("doc_id div 100"))
+    ordered = lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    ordered.select("shard", "value").write.partitionBy("shard").text(path)
+    return readers.valid_count(readers.valid_prefix(spark, path)[0])
+
+
+RESPONSE_FOLDER = r"round=?(\d+)[/_]model[=_]([^/]*?)(?:\.txt|/[^/]+)$"
+
+
+@query(
+    "response_files",
+    f"""WITH {judging.RAW_SQL} SELECT task_id, model, CASE WHEN task_id = 0 AND model IN ('src1', 'src2') THEN ''
+    WHEN NOT present THEN 'No Output' ELSE text || chr(10) END AS text,
+    present OR (task_id = 0 AND model IN ('src1', 'src2')) AS present FROM raw""",
+)
+def response_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file for each response of a run, two of the first round empty, others absent, against the plan."""
+    path = fresh_path(spark, "responses")
+    given = judging.responses(spark, sf_dir).where("not (task_id = 0 and model in ('src1', 'src2'))")
+    given.select(F.col("task_id").alias("round"), "model", F.col("text").alias("value")).repartition(
+        "round"
+    ).write.partitionBy("round", "model").text(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for model in ("src1", "src2"):
+        files.createNewFile(hadoop.Path(folder, f"round0_model_{model}.txt"))
+    found = readers.read_response_files(
+        spark, f"{path}/{{round=*/model=*/*,*.txt}}", RESPONSE_FOLDER
+    )
+    full = grid.response_grid(judging.tasks(spark, sf_dir), judging.MODELS, found)
+    return readers.with_missing_files(full).select("task_id", "model", "text", "present")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examloom.operators import stages
+from examloom.operators import logs, stages
 from examloom.plans import flows
 from examloom.session import fresh_path, ship_packages
 from workloads import judging
@@ -174,6 +174,33 @@ def generate_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.drop("latency_s")
 
 
+@query(
+    "latency_log",
+    """SELECT doc_id AS round, source AS topic, CASE WHEN source <> 'src3' THEN 'tuned ' || length(text) END AS question_tuned,
+    'teacher ' || length(text) AS question_teacher, source <> 'src3' AS timed_tuned, true AS timed_teacher FROM documents""",
+)
+def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both arms timed in every round; the times themselves differ from run to run."""
+    _ship(spark)
+    rounds = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("task_id"), F.col("source").alias("topic"),
+        F.when(F.col("source") == "src3", F.concat(F.lit("!"), "text")).otherwise(F.col("text")).alias("prompt"),
+    )
+
+    def tuned():
+        def ask(prompt: str) -> str:
+            if prompt.startswith("!"):
+                raise RefusedPrompt("refused")
+            return f"tuned {len(prompt)}"
+
+        return ask
+
+    arms = {"tuned": tuned, "teacher": lambda: lambda prompt: f"teacher {len(prompt.removeprefix('!'))}"}
+    log = logs.latency_log(stages.timed_arms(rounds, arms), "tuned", "teacher")
+    taken = [F.coalesce(F.col(f"time_{a}") >= 0, F.lit(False)).alias(f"timed_{a}") for a in arms]
+    return log.select("round", "topic", "question_tuned", "question_teacher", *taken)
+
+
 # The flat chain: generation falls back on empty replies, beautify fails, fix echoes.
 def _flat_clients() -> dict:
     def broken(prompt: str) -> str:

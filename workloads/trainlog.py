@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom.operators import boards, trainlog
+from examloom.session import fresh_path
+from examloom.sources import readers
 from workloads.registry import query, table
 
 # Small ranges, so that series cross many range borders at every scale.
@@ -38,6 +40,42 @@ def smooth_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smooth.withColumn("smooth_loss", F.round("smooth_loss", 6))
 
 
+ENTRIES_PER_RUN = 5000
+CHECKPOINTS_SQL = f"""points AS (SELECT event_id // {ENTRIES_PER_RUN} AS run, event_id AS step,
+  CASE WHEN event_id % 5 = 0 THEN value + 1 ELSE value END AS loss FROM events
+  WHERE event_type <> 'error' AND value IS NOT NULL)"""
+
+
+def _train_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of some thousand entries with two checkpoints each: the later one lacks every fifth step
+    and has other losses for the rest, and every step has an entry without a loss as well."""
+    events = train_log(spark, sf_dir).withColumn("run", F.expr(f"step div {ENTRIES_PER_RUN}"))
+    early = events.select("run", F.lit(10).alias("checkpoint"), "step", (F.col("loss") + 1).alias("loss"))
+    late = events.where("step % 5 <> 0").select("run", F.lit(200).alias("checkpoint"), "step", "loss")
+    entry = F.struct("step", "loss", (F.col("step") / 1000).alias("epoch"))
+    other = F.struct("step", F.lit(None).cast("double").alias("loss"), F.lit(0.5).alias("epoch"))
+    entries = early.unionByName(late).select("run", "checkpoint", F.explode(F.array(entry, other)).alias("e"))
+    state = F.to_json(F.struct(F.lit(1.0).alias("epoch"), F.collect_list("e").alias("log_history")))
+    path = fresh_path(spark, "states")
+    states = entries.groupBy("run", "checkpoint").agg(state.alias("value"))
+    states.write.partitionBy("run", "checkpoint").text(path)
+    return readers.read_train_log(spark, f"{path}/*/*")
+
+
+@query(
+    "smooth_loss_of_checkpoints",
+    f"""WITH {CHECKPOINTS_SQL}, w AS (SELECT run, step,
+      avg(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS m,
+      row_number() OVER (PARTITION BY run ORDER BY step) AS r,
+      count(*) OVER (PARTITION BY run) AS n FROM points)
+    SELECT run, step, round(m, 6) AS smooth_loss FROM w WHERE r >= 5 AND n > 5""",
+)
+def smooth_loss_of_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    smooth = trainlog.smooth_loss(_train_states(spark, sf_dir), steps_per_range=STEPS_PER_RANGE)
+    run = F.regexp_extract("run_id", r"/run=(\d+)$", 1).cast("bigint")
+    return smooth.select(run.alias("run"), "step", F.round("smooth_loss", 6).alias("smooth_loss"))
+
+
 @query(
     "annotate_every",
     f"""WITH {POINTS_SQL}, w AS (SELECT *,
