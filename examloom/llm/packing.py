@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,10 +24,12 @@ from examloom.llm import arrays as A
 from examloom.session import written
 
 
-# Marks that are a token of their own after letters, and the last letter
-# of the range in which letters and their composed forms are the same everywhere.
-MARKS = (".", ",")
-LAST_PLAIN = "\u00ff"
+# Words whose letters and composed forms are the same everywhere, and how
+# bytes are folded: capitals to small letters, line ends and tabs to blanks.
+PLAIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
+FOLD = A.LOWER.copy()
+FOLD[[0x09, 0x0A, 0x0D]] = 0x20
+TEXT_RUN = 8 << 20  # bytes of text encoded at once, or one longer text
 
 
 @dataclass(frozen=True)
@@ -164,27 +167,28 @@ def slots(packs, first: int) -> Slots:
 class WordIds:
     """Ids of texts, word by word: a word between blanks always has the same ids.
 
-    Words seen before are looked up; new ones are encoded many at a time. At most
-    ``room`` words are kept, then the store starts anew.
+    Texts are handled as one run of bytes: capitals are lowered and a closing mark
+    behind a letter is set off by a blank, which changes no id, so that case and marks
+    do not make new words. Arrow splits the run and numbers its distinct words; only
+    those are looked up, and new ones are encoded many at a time. At most ``room`` words
+    are kept, then the store starts anew.
     """
 
-    def __init__(self, path: str, room: int = 700_000):
+    def __init__(self, path: str, room: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.machine, self.room = Tokenizer.from_file(path), room
         vocabulary = self.machine.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.mark_ids = {m: self.machine.encode(m, add_special_tokens=False).ids[0] for m in MARKS}
         self._clear()
 
     def _clear(self):
         self.number: dict[str, int] = {}
-        self.codes = 0
         self.ids, self.at, self.used = np.zeros(1 << 20, "<u4"), np.zeros(1 << 18, np.int64), 0
 
     def _store(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        n = self.codes
+        n = len(self.number)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) >= len(self.at):
@@ -193,7 +197,6 @@ class WordIds:
         self.at[n + 1 : n + 1 + len(words)] = self.used + ends
         self.used += len(ids)
         self.number.update(zip(words, range(n, n + len(words))))
-        self.codes += len(words)
 
     def _learn(self, words: list[str], plain: bool) -> None:
         """Encode words together. ``plain`` ones are letters only: each ends with its first end mark."""
@@ -207,46 +210,67 @@ class WordIds:
             ends = np.cumsum(np.bincount(owner, minlength=len(words)))
         self._store(words, ids, ends)
 
-    def _learn_all(self, new: list[str]) -> None:
-        """Learn stems first: case and one closing mark add nothing new to a word of letters."""
-        odd, same, marked = [], [], []
-        for word in new:
-            core = word[:-1] if word[-1:] in MARKS else word
-            if not core.isalpha() or not (core.isascii() or max(core) <= LAST_PLAIN):
-                odd.append(word)
-                continue
-            stem = core.lower() if core.isascii() else core
-            (same if core is word else marked).append((word, stem))
-        stems = dict.fromkeys(stem for _, stem in (*same, *marked) if stem not in self.number)
-        for words, plain in ((list(stems), True), (odd, False)):
+    def _learn_all(self, new: pa.Array) -> None:
+        plain = pc.match_substring_regex(new, PLAIN)
+        for words, kind in ((new.filter(plain), True), (new.filter(pc.invert(plain)), False)):
+            words = words.to_pylist()
             for k in range(0, len(words), 1000):
-                self._learn(words[k : k + 1000], plain)
-        self.number.update((word, self.number[stem]) for word, stem in same)
-        if marked:
-            codes = np.array([self.number[stem] for _, stem in marked])
-            begin, sizes = self.at[codes], self.at[codes + 1] - self.at[codes]
-            ends = np.cumsum(sizes)
-            ids = self.ids[np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)]
-            ids = np.insert(ids, ends, [self.mark_ids[word[-1]] for word, _ in marked])
-            self._store([word for word, _ in marked], ids, ends + np.arange(1, len(ends) + 1))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts and the borders of each text's ids."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        flat = [w for words in split for w in words]
-        new = {w for w in dict.fromkeys(flat) if w not in self.number}
-        if len(self.number) + len(new) > self.room:
+                self._learn(words[k : k + 1000], kind)
+
+    def _numbers(self, distinct: pa.Array) -> np.ndarray:
+        """The number of each of these words in the store."""
+        words = distinct.to_pylist()
+        found = [self.number.get(w, -1) for w in words]
+        new = np.array([k for k, n in enumerate(found) if n < 0], np.int64)
+        if not len(new):
+            return np.array(found, np.int64)
+        if self.number and len(self.number) + len(new) > self.room:
             self._clear()
-            new = dict.fromkeys(flat)
-        self._learn_all(list(new))
-        codes = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+            new = np.arange(len(words))
+        self._learn_all(distinct.take(pa.array(new)))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def encode(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, given as bytes with borders, and the borders of each text's ids."""
+        data, borders = spaced_marks(FOLD[data], borders)
+        texts = pa.Array.from_buffers(
+            pa.large_string(), len(borders) - 1,
+            [None, pa.py_buffer(np.ascontiguousarray(borders, np.int64)), pa.py_buffer(data)],
+        )
+        parts = pc.split_pattern(texts, " ")
+        coded = pc.dictionary_encode(pc.list_flatten(parts))
+        codes = self._numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         begin = self.at[codes]
         sizes = self.at[codes + 1] - begin
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(begin - (ends - sizes), sizes)]
-        last = np.cumsum([len(words) for words in split])
-        return ids, np.concatenate([[0], ends[last - 1]]) if len(split) else np.zeros(1, np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], sizes)]
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
+        return ids, ends[words]
+
+
+def spaced_marks(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and borders with a blank between a letter and a closing mark that ends a word.
+
+    Letters are those of ``PLAIN``: before them and after the mark the tokenizer cuts
+    anyway. Other marks, and marks behind anything else, stay where they are.
+    """
+    n = len(data)
+    if not n:
+        return data, borders
+    last = np.append(data[1:] == 0x20, True)
+    ends = borders[1:-1]
+    last[ends[(ends > 0) & (ends < n)] - 1] = True
+    mark = np.flatnonzero(last & ((data == 0x2E) | (data == 0x2C)))
+    mark = mark[mark >= 2]
+    one, two = data[mark - 1], data[mark - 2]
+    letter = (one >= 0x61) & (one <= 0x7A)
+    letter |= (two == 0xC3) & (one >= 0x80) & (one <= 0xBF) & (one != 0x97) & (one != 0xB7)
+    mark = mark[letter]
+    first = borders[np.searchsorted(borders, mark, "right") - 1]
+    wide = data[mark - 1] >= 0x80
+    mark = mark[mark - first > wide]  # the letter belongs to the same text
+    moved = borders + np.searchsorted(mark, borders)
+    return np.insert(data, mark, 0x20), moved
 
 
 _encoders: dict[str, WordIds] = {}
@@ -257,8 +281,8 @@ def _tokens(path: str, end_id: int):
         if path not in _encoders:
             _encoders[path] = WordIds(path)
         encoder = _encoders[path]
-        for rows, _, _ in A.runs(batches):
-            ids, borders = encoder.encode([t or "" for t in rows.column("text").to_pylist()])
+        for rows, data, borders in A.runs(batches, limit=TEXT_RUN):
+            ids, borders = encoder.encode(data, borders)
             ids = np.insert(ids, borders[1:], end_id)
             borders = borders + np.arange(len(borders))
             yield pa.RecordBatch.from_arrays(

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -12,7 +13,7 @@ from examloom.llm.decontaminate import contamination
 from examloom.llm.features import quality_features
 from examloom.llm.labelled import fold
 from examloom.llm.minhash import NearDup, near_duplicates, shingle_sets, sketch
-from examloom.llm.packing import fill_gaps, pack_histogram, packed
+from examloom.llm.packing import WordIds, fill_gaps, pack_histogram, packed
 from examloom.llm.quality import fit_quality, scored
 from examloom.llm.queries import QUERIES
 
@@ -151,6 +152,23 @@ def check_pieces(rows, pieces, limit):
     return 1 - total / (limit * len(by_sequence))
 
 
+ALPHABET = [*"aAbzIſßKk", *"éÉèÈñØ×÷ÿªµº", "e\u0301", "\u0301", "\u0307", "İ", "ı", "日", "е", "ﬁ", "\ufeff", "\u200b", "\u00a0",
+            *".,.,;'’!#*&|-0123456789", "'s", "'t", "'re", " ", " ", " ", "\n", "\t", "\r", "\x0b", "\x0c", "\x00", "\u3000", "\u2028", "😀"]
+
+
+@pytest.mark.parametrize("room", [40, 1_000_000])
+def test_ids_by_words_are_those_of_whole_texts(room):
+    rng = random.Random(room)
+    texts = ["", ".", "a.", "é,", "a. b.", "é.", "×.", "A.,", "ab.\u0301", *("".join(rng.choice(ALPHABET) for _ in range(rng.randrange(40))) for _ in range(4000))]
+    words, machine = WordIds(BPE, room), Tokenizer.from_file(BPE)
+    for k in range(0, len(texts), 900):
+        part = texts[k : k + 900]
+        ids, borders = words.encode(*A.text_bytes(pa.array(part)))
+        assert len(borders) == len(part) + 1
+        for t, a, b in zip(part, borders, borders[1:]):
+            assert ids[a:b].tolist() == machine.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_packing_on_the_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     waste = check_pieces(rows, QUERIES["op7_packing"](spark, SF).collect(), 4096)
