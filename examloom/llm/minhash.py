@@ -27,6 +27,7 @@ from examloom.session import written
 
 MISS = 1e-8  # greatest chance that a pair at exactly the threshold is not proposed, or not checked
 MOST_BANDS = 64
+BITS = 2048  # coordinates of the bit sketch of documents that are still open
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,9 @@ class NearDup:
     of at most ``MISS``: 32 bands of 5 at 85 (7e-9), 48 of 5 at 80 (5e-9). A pair is
     checked on its sets when the share of equal coordinates is at most ``slack``
     below the similarity; by the Chernoff bound a pair at the similarity fails that
-    with a chance of at most ``MISS`` too.
+    with a chance of at most ``MISS`` too. Pairs between open documents are tested on
+    one bit of each of ``BITS`` further coordinates, which agree with a chance of
+    (1 + similarity) / 2; ``most_flips`` of them may differ, by the same bound.
     """
 
     shingle: int = 5
@@ -50,11 +53,13 @@ class NearDup:
 
     def failed(self, slack: float) -> float:
         """Bound of the chance that so many coordinates of such a pair differ."""
-        p, q = self.percent / 100, self.percent / 100 - slack
-        if q <= 0:
-            return 0.0
-        rest = (1 - q) * math.log((1 - q) / (1 - p)) if p < 1 else math.inf
-        return math.exp(-self.size * (q * math.log(q / p) + rest))
+        return _below(self.percent / 100, slack, self.size)
+
+    @property
+    def most_flips(self) -> int:
+        """The most bits in which a pair at the similarity may differ, but for that chance."""
+        p = (1 + self.percent / 100) / 2
+        return next(k for k in range(BITS + 1) if _below(p, p - 1 + k / BITS, BITS) <= MISS)
 
     @property
     def shape(self) -> tuple[int, int]:
@@ -82,6 +87,17 @@ class NearDup:
         return self.bands * self.rows
 
 
+def _below(p: float, slack: float, n: int) -> float:
+    """Chernoff bound of the chance that a share of ``n`` draws of chance ``p`` falls ``slack`` below it."""
+    q = p - slack
+    if slack <= 0:
+        return 1.0
+    if q <= 0:
+        return 0.0
+    rest = (1 - q) * math.log((1 - q) / (1 - p)) if p < 1 else math.inf
+    return math.exp(-n * (q * math.log(q / p) + rest))
+
+
 def shingle_sets(data: np.ndarray, borders: np.ndarray, length: int):
     """(owner, hash) of the distinct shingles of each text, sorted.
 
@@ -108,24 +124,24 @@ def shingle_sets(data: np.ndarray, borders: np.ndarray, length: int):
     return A.distinct_pairs(owner, value)
 
 
-def sketch(owner: np.ndarray, value: np.ndarray, n: int, size: int) -> np.ndarray:
+def sketch(owner: np.ndarray, value: np.ndarray, n: int, size: int, seed: int = 0) -> np.ndarray:
     """The (n, size) sketches of ``n`` sets; sets without elements stay void."""
     empty = np.uint64(2**64 - 1)
     bins = np.full(n * size, empty, np.uint64)
     active = np.zeros(n, bool)
     active[owner] = True
-    low = np.uint64(2**55 - 1)
+    low = np.uint64(2**51 - 1)
     for step in range(2 * size):
         keep = active[owner]
         if not keep.any():
             break
         if not keep.all():
             owner, value = owner[keep], value[keep]
-        h = A.mix(value ^ A.SEEDS[16 + step])
+        h = A.mix(value ^ A.mix(A.SEEDS[16:17] + np.uint64(step + seed)))
         own = ((h >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
         if step >= size:
             own[:] = step - size
-        key = (np.uint64(step) << np.uint64(55)) | (A.mix(h ^ A.SEEDS[2]) & low)
+        key = (np.uint64(step) << np.uint64(51)) | (A.mix(h ^ A.SEEDS[2]) & low)
         np.minimum.at(bins, owner * size + own, key)
         full = (bins.reshape(n, size) != empty).all(axis=1)
         active &= ~full
@@ -170,6 +186,32 @@ def _low_bytes(bins: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray((bins & np.uint64(255)).astype(np.uint8).reshape(-1)).view(np.int64)
 
 
+def _bit_rows(p: NearDup):
+    """(id, bits): one bit of each of ``BITS`` coordinates that ``_sketch_rows`` does not use."""
+
+    def run(batches):
+        few = (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024))  # 16 KB a document
+        for rows, data, borders in A.runs(few):
+            n = rows.num_rows
+            owner, value = shingle_sets(data, borders, p.shingle)
+            bins = sketch(owner, value, n, BITS, seed=1 << 20)
+            packed = np.packbits((bins & np.uint64(1)).astype(np.uint8), axis=1)
+            longs = np.ascontiguousarray(packed).reshape(-1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id"), A.lists(longs, np.arange(n + 1) * (BITS // 64), pa.int64())], names=["id", "bits"]
+            )
+
+    return run
+
+
+def _few_flips(a: str, b: str, p: NearDup) -> Column:
+    """Do few enough bits of two bit sketches differ?"""
+    flips = F.lit(0)
+    for k in range(BITS // 64):
+        flips = flips + F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
+    return flips <= p.most_flips
+
+
 def _alike(a: str, b: str, p: NearDup) -> Column:
     """Do enough coordinates of two sketches agree? Counts the bytes that differ."""
     differ = F.lit(0)
@@ -236,6 +278,20 @@ def _verified(docs: DataFrame, near: DataFrame, p: NearDup) -> DataFrame:
     )
 
 
+def _checked_leads(docs: DataFrame, asked: DataFrame, side: DataFrame, p: NearDup) -> DataFrame:
+    """The links among ``asked(id, lead)``, by sketches and then by whole sets."""
+    a = side.select(F.col("doc_id").alias("lead"), F.col("sketch").alias("sketch_a"))
+    b = side.select(F.col("doc_id").alias("id"), F.col("sketch").alias("sketch_b"))
+    near = asked.join(b, "id").join(a, "lead").where(_alike("sketch_a", "sketch_b", p))
+    return _verified(docs, near.select(F.col("lead").alias("a"), F.col("id").alias("b")), p)
+
+
+def reps_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents in ``ids(id)``."""
+    named = docs.select(F.col("doc_id").alias("id"), "text")
+    return named.join(ids.hint("merge"), "id", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     """Similarity classes of ``docs(doc_id, text)``: one row per document.
 
@@ -247,11 +303,13 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
 
     Documents with equal sets are one class from the start and only its smallest
     id goes on, so a group of copies costs one row however large it is. In every
-    band, members are first checked against the smallest id of the band; that is
-    linear and settles groups of near copies. Only members that are still in
-    different components are then checked pair by pair, so no proposed link
-    between different components is left out. Full sets decide; they are taken
-    from the texts of proposed documents alone, so they are never stored.
+    band the smallest id is the lead. Members are first checked against the least of
+    their leads, one pair each, then against those leads that are still in another
+    component; that is linear and settles groups of near copies. Only members that
+    are still in different components are then met pair by pair, on bit sketches made
+    for them alone, so no proposed link between different components is left out. Full
+    sets decide; they are taken from the texts of proposed documents alone, so they
+    are never stored.
     """
     p = params
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -278,32 +336,33 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
         ),
         "members",
     )
-    tried = (
-        members.where("id <> lead")
-        .where(_lengths_fit(p, "n", "lead_n"))
-        .select(F.col("lead").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
     side = reps.select("doc_id", "sketch")
-    near = (
-        tried.join(side.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        .join(side.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        .where(_alike("sketch_a", "sketch_b", p))
-        .select("a", "b")
-    )
-    links = _verified(wanted, near, p)
+    asked = members.where("id <> lead").where(_lengths_fit(p, "n", "lead_n")).select("id", "lead")
+    least = asked.groupBy("id").agg(F.min("lead").alias("lead"))
+    links = _checked_leads(wanted, least, side, p)
     found = components(links)
+    known = written(found.withColumnRenamed("component", "c"), "known")
+    own = asked.join(known, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    other = own.join(known.select(F.col("id").alias("lead"), F.col("c").alias("d")), "lead", "left")
+    apart = other.where(F.col("c") != F.coalesce("d", "lead")).select("id", "lead").distinct()
+    more = _checked_leads(wanted, apart.join(least, ["id", "lead"], "left_anti"), side, p)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        found = components(links)
     labelled = members.join(found.withColumnRenamed("component", "c"), "id", "left").select(
         "key", "id", "n", F.coalesce("c", "id").alias("c")
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
     left = labelled.join(mixed.where("lo < hi").select("key"), "key", "left_semi")
-    left = written(left.join(side.withColumnRenamed("doc_id", "id"), "id"), "mixed")
+    left = written(left, "mixed")
+    texts = reps_texts(wanted, left.select("id").distinct())
+    bits = written(texts.mapInArrow(_bit_rows(p), "id long, bits array<long>"), "bits")
+    left = written(left.join(bits, "id"), "mixed_bits")
     l, r = left.alias("l"), left.alias("r")
     # One test in the join itself, so that only pairs that may be links leave it.
     fits = F.expr("l.key = r.key and l.id < r.id and l.c <> r.c")
     others = (
-        l.join(r, fits & _lengths_fit(p, "l.n", "r.n") & _alike("l.sketch", "r.sketch", p))
+        l.join(r, fits & _lengths_fit(p, "l.n", "r.n") & _few_flips("l.bits", "r.bits", p))
         .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
         .distinct()
     )
