@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from examloom.functions.prompts import parse_candidates
+from examloom.functions.prompts import fill, parse_candidates
 from examloom.functions.verdicts import parse_multi_scores
 from examloom.operators import blinding, boards, grid
 from examloom.operators.records import assemble_flat, assemble_record
@@ -17,11 +17,10 @@ from examloom.operators.stages import (
     Client,
     Stage,
     apply_stage,
-    call_once,
     run_stages,
     stored_once,
 )
-from examloom.plans.tasks import merge_templates
+from examloom.plans.tasks import merge_templates, numbered
 
 JUDGE = Stage("judge", "{judge_prompt}", on_error="error_row", tries=1)
 
@@ -53,27 +52,44 @@ def generate_flat(
     )
 
 
+SEEDS_PER_PROMPT = 50
+
+
 def augment_templates(
-    seeds: DataFrame, client: Client, instruction: str, per_template: int, target_total: int
+    seeds: DataFrame, client_factory: Callable[[], Client], instruction: str, per_template: int,
+    target_total: int, path: str, seeds_per_prompt: int = SEEDS_PER_PROMPT,
 ) -> DataFrame:
-    """Grow the template list by one model call.
-
-    All seeds go into one prompt, so they are brought to the driver: fewer than
-    ``target_total`` of them, as a list that long already is returned unchanged.
+    """Grow the template list by an ordinary model stage.
+
+    Seeds, in the order of ``ordinal``, are told to the model in groups of at most
+    ``seeds_per_prompt``, one prompt and one stored call a group; a list of up to that
+    many is one prompt. ``instruction`` holds ``{seeds}`` and ``{per_template}``. New
+    templates follow in the order of groups and of their place in the reply. A list
+    that is long enough already is returned unchanged and asks nothing; a failed call
+    gives no candidates, and a rerun asks it again.
     """
-    spark = seeds.sparkSession
     if seeds.count() >= target_total:
         return merge_templates(seeds, seeds.limit(0), target_total)
-    ordered = seeds.select("ordinal", "template").orderBy("ordinal").collect()
-    seed_block = "\n".join(f"- {row.template}" for row in ordered)
-    prompt = instruction.replace("{seeds}", seed_block).replace(
-        "{per_template}", str(per_template)
+    placed = numbered(seeds.select("ordinal", "template"), ["ordinal", "template"], "place")
+    lines = F.transform(
+        F.array_sort(F.collect_list(F.struct("place", "template"))), lambda s: F.concat(F.lit("- "), s["template"])
     )
-    reply = call_once(client, prompt, Stage("augment", "", on_error="raise"))["text"]
-    candidates = spark.createDataFrame([(reply,)], "reply STRING").select(
-        F.posexplode(parse_candidates(F.col("reply"))).alias("ordinal", "template")
+    groups = placed.groupBy(F.expr(f"place div {seeds_per_prompt}").alias("group")).agg(
+        F.array_join(lines, "\n").alias("seeds")
     )
-    return merge_templates(seeds, candidates, target_total)
+    stage = Stage("augment", "{prompt}")
+    values = {"seeds": F.col("seeds"), "per_template": F.lit(str(per_template))}
+    prompts = groups.select("group", fill(instruction, values).alias("prompt"))
+
+    def ask(rows: DataFrame) -> DataFrame:
+        return apply_stage(rows, stage, client_factory)
+
+    replies = stored_once(prompts, "group", path, ask, F.col("augment_error").isNotNull(), F.col("prompt"))
+    said = replies.where("augment_error is null").select("group", "augment_text")
+    candidates = said.select(
+        "group", F.posexplode(parse_candidates(F.col("augment_text"))).alias("place", "template")
+    ).select((F.col("group") * (1 << 32) + F.col("place")).alias("ordinal"), "template")
+    return merge_templates(seeds.withColumn("ordinal", F.col("ordinal").cast("bigint")), candidates, target_total)
 
 
 def _judge(prompts: DataFrame, client_factory: Callable[[], Client], path: str, key: str) -> DataFrame:

@@ -228,18 +228,35 @@ def test_generate_responses_failing_rows_are_data(spark):
     assert rows == {1: ("x", "ok"), 2: (None, "error")}
 
 
-def test_augment_templates(spark):
+def test_augment_templates(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    path = str(tmp_path / "store")
     seeds = spark.createDataFrame([(0, "s {topic}")], "ordinal INT, template STRING")
-    prompts = []
-
-    def client(prompt):
-        prompts.append(prompt)
-        return '["new {topic}", "s {topic}", "no slot"]'
+    make = logging(log, "a", lambda p: '["new {topic}", "s {topic}", "no slot"]' if p == "seeds:\n- s {topic}\nwrite 4 {topic}" else "?")
+    grow = lambda df, total, make=make, **kw: flows.augment_templates(
+        df, make, "seeds:\n{seeds}\nwrite {per_template} {topic}", 4, total, path, **kw
+    )
+    assert sorted(r.template for r in grow(seeds, 10).collect()) == ["new {topic}", "s {topic}"]
+    assert sum(calls_of(log).values()) == 1
+    assert grow(seeds, 1).count() == 1 and grow(seeds, 10).count() == 2
+    assert sum(calls_of(log).values()) == 1
 
-    merged = flows.augment_templates(seeds, client, "seeds:\n{seeds}\nwrite {per_template} {topic}", 4, 10)
-    assert sorted(r.template for r in merged.collect()) == ["new {topic}", "s {topic}"]
-    assert prompts == ["seeds:\n- s {topic}\nwrite 4 {topic}"]
-    assert flows.augment_templates(seeds, client, "", 4, 1).count() == 1 and len(prompts) == 1
+    many = spark.createDataFrame([(i * 3, f"t{i} {{topic}}") for i in range(23)], "ordinal INT, template STRING").repartition(4)
+    def answer(prompt):
+        own = [x[2:] for x in prompt.splitlines() if x.startswith("- ")]
+        if "t7 {topic}" in own:
+            raise ValueError("refused")
+        return "\n".join(f"* more of {x}" for x in own)
+
+    path = str(tmp_path / "groups")
+    log2 = tmp_path / "more"
+    log2.mkdir()
+    grown = grow(many, 40, logging(log2, "b", answer), seeds_per_prompt=5)
+    texts = [r.template for r in grown.orderBy("template_id").collect()]
+    asked = [i for i in range(23) if not 5 <= i < 10]
+    assert texts == [f"t{i} {{topic}}" for i in range(23)] + [f"more of t{i} {{topic}}" for i in asked][:17]
+    assert sum(calls_of(log2).values()) == 5
 
 
 MODELS = ["m1", "m2", "m3"]

@@ -201,6 +201,35 @@ def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("round", "topic", "question_tuned", "question_teacher", *taken)
 
 
+def wondering_client():
+    """Answers each told template with a new one, after one that is known already."""
+
+    def ask(prompt: str) -> str:
+        told = [line[2:] for line in prompt.splitlines() if line.startswith("- ")]
+        return "\n".join(f"- {t}\n- {t.replace(' asks ', ' wonders about ')}" for t in told)
+
+    return ask
+
+
+@query(
+    "augment_templates",
+    """WITH seeds AS (SELECT s_suppkey, s_name || ' asks {topic}' AS template FROM supplier),
+    fresh AS (SELECT s_suppkey, s_name || ' wonders about {topic}' AS template FROM supplier ORDER BY s_suppkey
+      LIMIT (SELECT count(*) * 3 // 2 - count(*) FROM supplier))
+    SELECT origin, row_number() OVER (ORDER BY origin DESC, s_suppkey) - 1 AS template_id, template
+    FROM (SELECT 'seed' AS origin, * FROM seeds UNION ALL SELECT 'augmented', * FROM fresh)""",
+)
+def augment_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ship(spark)
+    seeds = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("ordinal"), F.concat("s_name", F.lit(" asks {topic}")).alias("template")
+    )
+    return flows.augment_templates(
+        seeds, wondering_client, "Write {per_template} like these:\n{seeds}", 1, seeds.count() * 3 // 2,
+        fresh_path(spark, "augment"),
+    )
+
+
 # The flat chain: generation falls back on empty replies, beautify fails, fix echoes.
 def _flat_clients() -> dict:
     def broken(prompt: str) -> str:
