@@ -11,10 +11,10 @@ from examloom.functions.text import BREAKS, SPACE, json_string, let, one_break,
 # (?d) makes "." stop only at a line feed. Every line is cut at its first answer
 # label or hint; the look-ahead only lets the search skip other characters faster.
 ANSWER_TEXT = (
-    r"(?id)(?=[答正解t])"
-    r"(?:(?:答案|正確答案|解析|解釋)[:：]"
-    r"|正確為|正確選項|答案是|答案為|the correct answer is).*"
+    r"(?d)(?=[答正解])"
+    r"(?:(?:答案|正確答案|解析|解釋)[:：]|正確為|正確選項|答案是|答案為).*"
 )
+ENGLISH_ANSWER = "the correct answer is"
 MARK_SYMBOLS = "✓✔✗✘→←★⭐•＊*"
 BRACKETED_VERDICT = r"(?id)\(.*?(正確|錯誤|correct|incorrect).*?\)"
 TITLE_PREFIX = rf"^題目[:：]?[{SPACE}]*"
@@ -51,21 +51,50 @@ def _drop(col: Column, pattern: str) -> Column:
     return F.regexp_replace(col, pattern, "")
 
 
+def _drop_if(col: Column, needed: Column, pattern: str) -> Column:
+    """``_drop`` for texts that hold what the pattern needs; others are passed on unsearched."""
+    return F.when(needed, _drop(col, pattern)).otherwise(col)
+
+
 def scrub_mcq(col: Column, strict: bool = False) -> Column:
     """Remove answers, hints, marks and headers from a question text.
 
     By default a bracketed verdict is removed from the first ``(`` of its line,
     which can take an option label with it; ``strict`` removes only brackets
-    that hold no other bracket.
+    that hold no other bracket. Searches are made only in texts that hold a word the
+    pattern cannot do without.
     """
-    out = _drop(col, ANSWER_TEXT)
-    out = F.translate(out, MARK_SYMBOLS, "")
     verdict = r"(?i)\([^()\n]*(正確|錯誤|correct|incorrect)[^()\n]*\)" if strict else BRACKETED_VERDICT
-    out = _drop(out, verdict)
-    out = _drop(out, TITLE_PREFIX)
-    out = _drop(out, CONTENT_PREFIX)
-    out = _drop(out, VERSION_PREFIX)
-    out = _drop(out, TITLE_HEADER)
+
+    def unlabelled(text: Column) -> Column:
+        return let(_drop(text, ANSWER_TEXT), cut_english)
+
+    def cut_english(text: Column) -> Column:
+        return let(_drop_if(text, F.lower(text).contains(ENGLISH_ANSWER), f"(?id){ENGLISH_ANSWER}.*"), unmarked)
+
+    def unmarked(text: Column) -> Column:
+        out = text
+        for mark in MARK_SYMBOLS:
+            out = F.replace(out, F.lit(mark), F.lit(""))
+        return let(out, unbracketed)
+
+    def unbracketed(text: Column) -> Column:
+        said = text.contains("正確") | text.contains("錯誤") | F.lower(text).contains("correct")
+        return let(_drop_if(text, text.contains("(") & said, verdict), untitled)
+
+    def untitled(text: Column) -> Column:
+        return let(_drop_if(text, text.startswith("題目"), TITLE_PREFIX), unprefixed)
+
+    def unprefixed(text: Column) -> Column:
+        return let(_drop_if(text, text.startswith("以下"), CONTENT_PREFIX), unversioned)
+
+    def unversioned(text: Column) -> Column:
+        return let(_drop_if(text, text.startswith("這"), VERSION_PREFIX), headless)
+
+    def headless(text: Column) -> Column:
+        return _drop_if(text, text.contains("###"), TITLE_HEADER)
+
+    out = let(col, unlabelled)
     for token in NOISE_TOKENS:
         out = F.replace(out, F.lit(token), F.lit(""))
     return F.replace(out, F.lit(LATEX_MOD), F.lit("mod"))
@@ -98,21 +127,26 @@ def extract_mcq(col: Column, strict: bool = False) -> Column:
     counts, lines before the first option form the stem. Missing options are
     empty. ``strict`` needs a bracket or punctuation after the letter.
 
-    Options are searched for in the text as a whole; only the lines of the stem
-    are taken apart.
+    The first option is searched for in the text as a whole, the options in what
+    follows; only the lines of the stem are taken apart.
     """
 
     def parts(text: Column) -> Column:
         before_options = F.split(text, _option("A-Da-d", strict), 2)[0]
+        both = F.struct(
+            before_options.alias("stem"),
+            F.substring(text, F.length(before_options) + 1, F.length(text)).alias("rest"),
+        )
+        return let(both, questions)
+
+    def questions(p: Column) -> Column:
         options = [
             _option_text(
-                F.regexp_extract(text, f"{_option(key + key.lower(), strict)}{_GAP}(.*)", 1)
+                F.regexp_extract(p["rest"], f"{_option(key + key.lower(), strict)}{_GAP}(.*)", 1)
             ).alias(key)
             for key in OPTION_KEYS
         ]
-        return F.struct(
-            _stem(before_options).alias("stem"), F.struct(*options).alias("options")
-        )
+        return F.struct(_stem(p["stem"]).alias("stem"), F.struct(*options).alias("options"))
 
     return let(one_break(col), parts)
 

@@ -47,8 +47,13 @@ def raw_lines(col: Column) -> Column:
 
 def one_break(col: Column) -> Column:
     """Every line break written as a line feed, so that searches need only look for that."""
-    plain = F.replace(col, F.lit("\r\n"), F.lit("\n"))
-    return F.translate(plain, RARE_BREAKS, "\n" * len(RARE_BREAKS))
+
+    def spelled(text: Column) -> Column:
+        plain = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+        rare = F.translate(plain, RARE_BREAKS, "\n" * len(RARE_BREAKS))
+        return F.when(text.rlike(f"[{RARE_BREAKS}]"), rare).otherwise(text)
+
+    return let(col, spelled)
 
 
 def ws_tokens(col: Column) -> Column:
