@@ -11,10 +11,10 @@ from examloom.operators import blinding, boards, grid, trainlog
 SF_DIR = "/root/testdata/sf0.001"
 WRITES_FILES = {
     n for n in entry.queries()
-    if re.match(r"(stream_|generate_|jsonl|valid_prefix|review_log_csv|rounds_|responses_by|saved_|multi_judge"
+    if re.match(r"(stream_|generate_|jsonl|valid_|split_damaged|augment_|response_files|.*_from_files|run_configs|smooth_loss_of|mixed_|review_log_csv|rounds_|responses_by|saved_|multi_judge"
                 r"|two_arm_comparison|.*tournament)", n)
 }
-PYTHON_STAGES = {"apply_stage", "apply_stage_passthrough"}
+PYTHON_STAGES = {"apply_stage", "apply_stage_passthrough", "latency_log"}  # they call a client
 
 
 def plan_of(df):
