@@ -16,7 +16,7 @@ from examloom.llm.packing import packed
 from examloom.llm.quality import fit_quality, scored
 from examloom.llm.resample import resampled
 from examloom.llm.rows import with_row_key
-from examloom.llm.sql import RESAMPLING_SQL, vector_codes_sql
+from examloom.llm.sql import PASSAGES_SQL, RESAMPLING_SQL, STRINGS_SQL, vector_codes_sql
 from examloom.llm.suffixes import without_repeated_strings
 from examloom.llm.toxicity import fit_severity, severities
 from examloom.llm.vectorcodes import vector_codes
@@ -153,13 +153,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", PASSAGES_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op5_suffix_array_dedup")
+@query("op5_suffix_array_dedup", STRINGS_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeated_strings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

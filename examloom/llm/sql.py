@@ -54,3 +54,26 @@ def vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale:
         + f""" SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
             (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, i)) FROM b{rounds}) AS codebooks_sha256 FROM coded JOIN kept USING (r)"""
     )
+
+
+#: Every window of 35 words is grouped; words between white space hold no space, so joined windows are unambiguous.
+PASSAGES_SQL = r"""WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+    hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM windows WHERE s IN (SELECT s FROM windows GROUP BY s HAVING count(*) > 1)),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM docs),
+    kept AS (SELECT doc_id, count(hit.k) AS n, string_agg(word, ' ' ORDER BY words.k) FILTER (WHERE hit.k IS NULL) AS t
+      FROM words LEFT JOIN hit USING (doc_id, k) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)"""
+
+#: Every 100-byte string is grouped, as hexadecimal digits; all but its earliest place remove their bytes.
+STRINGS_SQL = """WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    windows AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM docs WHERE length(h) >= 200)),
+    late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+    marked AS (SELECT doc_id, i, i + 100 AS stop, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM late),
+    numbered AS (SELECT *, count(*) FILTER (WHERE reach IS NULL OR i > reach) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+    spans AS (SELECT doc_id, span, min(i) AS a, max(stop) AS b FROM numbered GROUP BY doc_id, span),
+    own AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS stops FROM spans GROUP BY doc_id)
+    SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, n_spans + 1), lambda k:
+        substr(h, 2 * CASE WHEN k = 0 THEN 0 ELSE stops[k] END + 1, 2 * (CASE WHEN k = n_spans THEN length(h) // 2 ELSE starts[k + 1] END - CASE WHEN k = 0 THEN 0 ELSE stops[k] END))), '') END)) AS kept_sha256
+    FROM docs LEFT JOIN own USING (doc_id)"""
