@@ -108,3 +108,12 @@ def test_results_do_not_depend_on_partitions(spark, partitions):
 
 
 EXPECTED: dict = {}
+
+
+@pytest.mark.parametrize("name, label", [("run_configs", "adapters"), ("templates_from_files", "lists")])
+def test_many_small_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch, name, label):
+    """The suppliers come in one partition, and as few bytes they would stay in one task."""
+    monkeypatch.setattr("workloads.files.fresh_path", lambda _spark, made: str(tmp_path / made))
+    entry.queries()[name](spark, "/root/testdata/sf0.1")
+    tasks = {re.match(r"part-(\d+)", f.name).group(1) for f in (tmp_path / label).glob("*/part-*")}
+    assert len(tasks) > 1

@@ -19,6 +19,21 @@ from workloads import chat, cleaning, judging, plan
 from workloads.registry import ORACLES, query, table
 
 
+def _write_folders(rows: DataFrame, path: str, *folders: str, order: tuple[str, ...] = ()) -> None:
+    """Text files, one for each value of ``folders``, made and committed by all tasks.
+
+    Files cost time one by one, so the folders are dealt to a fixed number of tasks:
+    their bytes are few, and adaptive execution would leave them to one. Each task puts
+    its own files in place, not the driver those of all.
+    """
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    dealt = rows.repartition(n, *folders)
+    if order:
+        dealt = dealt.sortWithinPartitions(*folders, *order)
+    own = dealt.select(*folders, "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    own.partitionBy(*folders).text(path)
+
+
 def _memory_result(spark: SparkSession, streamed: DataFrame, label: str) -> DataFrame:
     """Run a stream of aggregates to its end; the result has one row per group."""
     path = fresh_path(spark, label)
@@ -69,8 +84,7 @@ def valid_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side of every line, in one file for each hundred documents."""
     path = fresh_path(spark, "damaged")
     lines = _damaged_lines(spark, sf_dir).withColumn("shard", F.expr("doc_id div 100"))
-    ordered = lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
-    ordered.select("shard", "value").write.partitionBy("shard").text(path)
+    _write_folders(lines, path, "shard", order=("doc_id",))
     valid, quarantined = readers.valid_prefix(spark, path)
     number = F.regexp_extract("line", r'^\{"doc_id":(\d+)', 1).cast("bigint").alias("doc_id")
     return valid.select(number, F.lit(True).alias("valid")).unionByName(
@@ -277,7 +291,7 @@ def _json_lists(rows: DataFrame, size: int) -> str:
     path = fresh_path(rows.sparkSession, "lists")
     own = F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda s: s["v"])
     lists = rows.groupBy(F.expr(f"k div {size}").alias("list")).agg(F.to_json(own).alias("value"))
-    lists.write.partitionBy("list").text(path)
+    _write_folders(lists, path, "list")
     return f"{path}/*"
 
 
@@ -295,7 +309,7 @@ def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(1).alias("unknown")).alias("extra"),
     )
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("run"), F.to_json(config).alias("value"))
-    rows.write.partitionBy("run").text(path)
+    _write_folders(rows, path, "run")
     found = readers.read_run_configs(spark, f"{path}/*")
     base = F.when(F.col("base_model") == F.col("path"), "own folder").otherwise(F.col("base_model"))
     return found.select("run_id", base.alias("base_model"), "r", F.array_join("target_modules", ",").alias("target_modules"))
@@ -306,8 +320,7 @@ def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def valid_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "damaged")
     lines = _damaged_lines(spark, sf_dir).withColumn("shard", F.expr("doc_id div 100"))
-    ordered = lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
-    ordered.select("shard", "value").write.partitionBy("shard").text(path)
+    _write_folders(lines, path, "shard", order=("doc_id",))
     return readers.valid_count(readers.valid_prefix(spark, path)[0])
 
 
@@ -324,9 +337,8 @@ def response_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file for each response of a run, two of the first round empty, others absent, against the plan."""
     path = fresh_path(spark, "responses")
     given = judging.responses(spark, sf_dir).where("not (task_id = 0 and model in ('src1', 'src2'))")
-    given.select(F.col("task_id").alias("round"), "model", F.col("text").alias("value")).repartition(
-        "round"
-    ).write.partitionBy("round", "model").text(path)
+    named = given.select(F.col("task_id").alias("round"), "model", F.col("text").alias("value"))
+    _write_folders(named, path, "round", "model")
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
