@@ -19,15 +19,17 @@ from workloads import chat, cleaning, judging, plan
 from workloads.registry import ORACLES, query, table
 
 
+def _dealt(rows: DataFrame, *folders: str) -> DataFrame:
+    """The rows of folders of small files, in a fixed number of tasks: files cost time one
+    by one and have few bytes, so adaptive execution would leave them to one task."""
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, *folders)
+
+
 def _write_folders(rows: DataFrame, path: str, *folders: str, order: tuple[str, ...] = ()) -> None:
-    """Text files, one for each value of ``folders``, made and committed by all tasks.
-
-    Files cost time one by one, so the folders are dealt to a fixed number of tasks:
-    their bytes are few, and adaptive execution would leave them to one. Each task puts
-    its own files in place, not the driver those of all.
-    """
-    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
-    dealt = rows.repartition(n, *folders)
+    """Text files, one for each value of ``folders``; each task puts its own in place."""
+    dealt = _dealt(rows, *folders)
     if order:
         dealt = dealt.sortWithinPartitions(*folders, *order)
     own = dealt.select(*folders, "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
@@ -290,7 +292,9 @@ def _json_lists(rows: DataFrame, size: int) -> str:
     """Files with one JSON list each, of the values whose keys share a range of ``size``."""
     path = fresh_path(rows.sparkSession, "lists")
     own = F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda s: s["v"])
-    lists = rows.groupBy(F.expr(f"k div {size}").alias("list")).agg(F.to_json(own).alias("value"))
+    keyed = rows.withColumn("list", F.expr(f"k div {size}"))
+    # dealt before the grouping, whose own shuffle would count as this one and be coalesced
+    lists = _dealt(keyed, "list").groupBy("list").agg(F.to_json(own).alias("value"))
     _write_folders(lists, path, "list")
     return f"{path}/*"
 
