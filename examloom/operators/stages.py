@@ -16,7 +16,8 @@ from itertools import groupby
 from operator import and_
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ EMPTY_QUESTION = "題目（回傳空白）請出與 {topic} 有關的題目。"
 
 ON_ERROR = ("raise", "error_row", "blank", "passthrough")
 REPLY = "text STRING, out_tokens INT, in_tokens INT, latency_s DOUBLE, error STRING, again BOOLEAN"
+REPLY_TYPE = pa.struct(
+    [("text", pa.string()), ("out_tokens", pa.int32()), ("in_tokens", pa.int32()),
+     ("latency_s", pa.float64()), ("error", pa.string()), ("again", pa.bool_())]
+)
+PIECE_BYTES = 4 << 20  # of prompts that a task has as Python strings at a time
 
 
 class TryAgain(Exception):
@@ -206,30 +212,43 @@ def call_once(client, prompt: str, stage: Stage) -> dict[str, object]:
     return ask_all(client, [prompt], stage)[0]
 
 
+def _pieces(batch: tuple[pa.Array, ...]) -> Iterator[tuple[list, ...]]:
+    """The rows of a batch as lists, ``PIECE_BYTES`` of its last column at a time, one row at least.
+
+    Texts stay Arrow bytes until their piece is asked for, so a task holds Python
+    strings and replies of one piece only, however many or long the rows of a batch are.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch[-1]), 0).to_pylist()
+    first = 0
+    while first < len(sizes):
+        last, room = first, 0
+        while last < len(sizes) and (last == first or room + sizes[last] <= PIECE_BYTES):
+            room += sizes[last]
+            last += 1
+        yield tuple(column.slice(first, last - first).to_pylist() for column in batch)
+        first = last
+
+
 def _reply_udf(stage: Stage, factory: Callable[[str], Client], warm_up: bool) -> Callable:
-    """Pandas UDF (model, prompt) -> reply; keeps the client of the current model only."""
+    """Arrow UDF (model, prompt) -> reply; keeps the client of the current model only."""
 
-    @F.pandas_udf(REPLY)
-    def replies(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(REPLY)
+    def replies(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model, client = None, None
-        columns = ["text", "out_tokens", "in_tokens", "latency_s", "error", "again"]
-        for names, prompts in batches:
-            rows = [dict.fromkeys(columns) | {"error": NO_PROMPT, "again": False} for _ in prompts]
+        for names, prompts in (piece for batch in batches for piece in _pieces(batch)):
+            rows = [dict.fromkeys(REPLY_TYPE.names) | {"error": NO_PROMPT, "again": False} for _ in prompts]
             asked = [k for k, prompt in enumerate(prompts) if prompt is not None]
-            for name, group in groupby(asked, key=lambda k: names.iat[k]):
+            for name, group in groupby(asked, key=lambda k: names[k]):
                 places = list(group)
                 if client is None or name != model:
                     client, model = None, name
                     client = factory(name)
-                texts = [prompts.iat[k] for k in places]
+                texts = [prompts[k] for k in places]
                 if warm_up:
                     ask_all(client, texts, stage)
                 for k, row in zip(places, ask_all(client, texts, stage)):
                     rows[k] = row
-            out = pd.DataFrame(rows, columns=columns)
-            for c in ("out_tokens", "in_tokens"):
-                out[c] = out[c].astype("Int32")
-            yield out
+            yield pa.array(rows, REPLY_TYPE)
 
     return replies.asNondeterministic()
 
@@ -282,12 +301,18 @@ def timed_arms(
     """
     fields = ", ".join(f"`{a}_text` STRING, `{a}_latency_s` DOUBLE, `{a}_error` STRING" for a in arms)
 
-    @F.pandas_udf(fields)
-    def timed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct([
+        (f"{a}_{c}", pa.float64() if c == "latency_s" else pa.string())
+        for a in arms for c in ("text", "latency_s", "error")
+    ])
+
+    @F.arrow_udf(fields)
+    def timed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         clients: dict = {}
-        for prompts in batches:
-            out = {f"{a}_{c}": [] for a in arms for c in ("text", "latency_s", "error")}
+        for (prompts,) in (piece for batch in batches for piece in _pieces((batch,))):
+            out = []
             for prompt in prompts:
+                made = {}
                 for arm, factory in arms.items():
                     row = {"text": None, "latency_s": None, "error": NO_PROMPT}
                     if prompt is not None:
@@ -297,9 +322,9 @@ def timed_arms(
                         row = call_once(clients[arm], prompt, stage)
                     if row["error"] is not None:
                         row["latency_s"] = None
-                    for c in ("text", "latency_s", "error"):
-                        out[f"{arm}_{c}"].append(row[c])
-            yield pd.DataFrame(out).astype({f"{a}_latency_s": "float64" for a in arms})
+                    made |= {f"{arm}_{c}": row[c] for c in ("text", "latency_s", "error")}
+                out.append(made)
+            yield pa.array(out, kind)
 
     return tasks.withColumn("_timed", timed.asNondeterministic()(F.col(prompt_col))).select(
         *tasks.columns, "_timed.*"

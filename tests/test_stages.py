@@ -518,3 +518,22 @@ def test_both_arms_of_a_round_are_timed_in_one_task(spark, tmp_path):
     assert tuple(rows[0])[2:] == (None, None, None, None)
     calls = calls_of(log)
     assert sum(calls.values()) == 2 * 11 + 2 * len({f.name for f in log.glob("*.log")}) // 2
+
+
+def test_a_task_holds_a_bounded_piece_of_prompts():
+    import pyarrow as pa
+
+    prompts = ["x" * 100_000] * 100 + [None, "", "y" * (stages.PIECE_BYTES + 1), "z"]
+    names = [str(k) for k in range(len(prompts))]
+    pieces = list(stages._pieces((pa.array(names), pa.array(prompts))))
+    assert [p for _, part in pieces for p in part] == prompts and [n for part, _ in pieces for n in part] == names
+    assert all(sum(len(p or "") for p in part) <= stages.PIECE_BYTES for _, part in pieces if len(part) > 1)
+    assert len(pieces) >= 4
+
+
+def test_replies_of_pieces_are_in_order(spark):
+    """Every prompt has its own reply when a batch is cut into pieces."""
+    rows = spark.range(40).select("id", F.when(F.col("id") != 7, F.concat(F.repeat(F.lit("p"), 300_000), F.col("id").cast("string"))).alias("p"))
+    done = stages.apply_stage(rows.coalesce(1), stages.Stage("s", "{p}"), lambda: lambda prompt: prompt[300_000:])
+    found = {r.id: (r.s_text, r.s_in, r._error) for r in done.select("id", "s_text", "s_in", "_error").collect()}
+    assert found == {k: (str(k), 1, None) if k != 7 else (None, None, stages.NO_PROMPT) for k in range(40)}
