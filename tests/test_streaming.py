@@ -107,3 +107,16 @@ def test_stream_board_equals_batch(spark, tmp_path):
     assert run_board(spark, stream_board(stream), "board") == sorted(boards.pairwise_tally(batch).collect(), key=str)
     expected = sorted(batch.groupBy("winner").count().withColumnRenamed("count", "wins").collect(), key=str)
     assert run_board(spark, stream_best_of_n(stream), "winners") == expected
+
+
+def test_files_of_the_stream_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr("workloads.files.fresh_path", lambda _spark, made: str(tmp_path / made))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = entry.queries()["stream_damaged_lines"](spark, "/root/testdata/sf0.01").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == 1000 and len(list((tmp_path / "loose").glob("part-*"))) > 4

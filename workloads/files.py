@@ -224,9 +224,11 @@ def split_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_damaged_lines", LINE_SIDES_SQL)
 def stream_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines cleaned by the stream in four batches, each of files of bounded size."""
     lines, out, state = (fresh_path(spark, label) for label in ("loose", "sides", "state"))
-    _loose_lines(spark, sf_dir).repartition(4).write.text(lines)
-    stream_clean(spark, lines, out, state, max_files_per_trigger=1).awaitTermination()
+    share = table(spark, sf_dir, "documents").rdd.getNumPartitions()  # grows with the table
+    _loose_lines(spark, sf_dir).repartition(4 * share).write.text(lines)
+    stream_clean(spark, lines, out, state, max_files_per_trigger=share).awaitTermination()
     return _all_sides(spark, out)
 
 
