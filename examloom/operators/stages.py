@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from examloom.functions.prompts import fill
 from examloom.functions.text import is_blank
@@ -122,7 +123,6 @@ FLAT_CHAIN = (
 NO_PROMPT = "no prompt"
 DIGEST = "_digest"  # of the prompt that a stored reply answers
 SLICE_ROWS = 20_000  # rows whose replies are committed together
-FILES_PER_SLICE = 64
 
 
 Answer = tuple["Reply | str | None", "Exception | None", float]
@@ -394,9 +394,12 @@ def _store(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _held(rows: DataFrame, slice_rows: int) -> DataFrame:
-    """``rows`` written once, in files of which about ``FILES_PER_SLICE`` make a slice."""
+    """``rows`` written once, in files of which as many make a slice as tasks run at a time.
+
+    A slice that names more files costs more to list, open and write, and keeps no more tasks busy.
+    """
     path = fresh_path(rows.sparkSession, "calls")
-    per_file = max(slice_rows // FILES_PER_SLICE, 1)
+    per_file = max(slice_rows // rows.sparkSession.sparkContext.defaultParallelism, 1)
     rows.write.option("maxRecordsPerFile", per_file).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -417,6 +420,25 @@ def _slices(held: DataFrame, slice_rows: int) -> Iterator[DataFrame]:
         n += count
 
 
+def _commit_each(
+    spark: SparkSession, slices: Iterator[DataFrame], step: Callable[[DataFrame], DataFrame], commit: Callable
+) -> None:
+    """``commit`` of every slice that went through ``step``, one at a time and in order.
+
+    The next slice is planned while one is worked on. An error of either is raised
+    once the slice in work has ended, and no further one begins.
+    """
+    with ThreadPoolExecutor(1) as pool:
+        running = None
+        for rows in slices:
+            made = step(rows)
+            if running is not None:
+                running.result()
+            running = pool.submit(inheritable_thread_target(spark)(commit), made)
+        if running is not None:
+            running.result()
+
+
 def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(and_, [a[k].eqNullSafe(b[k]) for k in keys])
 
@@ -437,8 +459,8 @@ def stored_once(
 
     The store at ``path`` holds the key, a digest of the ``prompt`` and the added columns
     only. ``todo`` is computed and written once; its rows are worked on in slices of at
-    most ``slice_rows``, each committed alone, so an interrupted run loses the calls of
-    one slice at most, however long the job. A later call runs ``step`` for rows whose
+    most ``slice_rows``, one after the other, each committed alone, so an interrupted run
+    loses the calls of one slice at most, however long the job. A later call runs ``step`` for rows whose
     key and prompt have no stored row, and for those whose row is ``failed``: a changed
     prompt is asked anew, its old reply stays in the store and is not used. Rows that are
     failed and ``again`` are asked in up to ``rounds - 1`` further rounds of this call,
@@ -459,12 +481,14 @@ def stored_once(
         settled = (before if failed is None else before.where(~failed)).select(*marks)
         pending = _held(held.join(settled, _same(held, settled, marks), "left_anti"), slice_rows)
     for left in range(rounds, 0, -1):
-        for rows in _slices(pending, slice_rows):
-            made = step(rows)
+
+        def commit(made: DataFrame, attempt: int = attempt) -> None:
             added = [c for c in made.columns if c not in todo.columns or c == "_error"]
             stored = [*keys, *[c for c in added if c != DIGEST]]
             own = made.select(*stored, DIGEST, F.lit(attempt).alias("_attempt"))
             own.write.mode("append").parquet(path)
+
+        _commit_each(spark, _slices(pending, slice_rows), step, commit)
         if left == 1 or again is None or failed is None:
             break
         found = _store(spark, path)

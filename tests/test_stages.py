@@ -392,6 +392,32 @@ def test_a_killed_run_computes_its_input_once_and_asks_no_row_twice(spark, tmp_p
     assert set(calls_of(seen).values()) == {2}  # once in each run
 
 
+def test_a_slice_has_no_more_files_than_tasks_and_is_planned_ahead(spark, tmp_path):
+    path, folder, files = str(tmp_path / "store"), str(tmp_path), []
+
+    @F.udf("string")
+    def waits(i):  # the first slice ends only when the second one has been planned
+        import time
+
+        for _ in range(600):
+            if (pathlib.Path(folder) / "second").exists():
+                return "r"
+            time.sleep(0.1)
+        return "alone"
+
+    def step(rows):
+        files.append(len(rows.inputFiles()))
+        if len(files) == 2:
+            (tmp_path / "second").write_text("")
+        return rows.withColumns({"reply": waits("task_id"), "error": F.lit(None).cast("string")})
+
+    tasks = spark.sparkContext.defaultParallelism
+    todo = spark.range(0, 200 * tasks, 1, 1).select(F.col("id").alias("task_id"))
+    done = stages.stored_once(todo, "task_id", path, step, F.col("error").isNotNull(), slice_rows=100 * tasks)
+    assert [r.reply for r in done.select("reply").distinct().collect()] == ["r"]
+    assert files == [tasks, tasks] and done.count() == 200 * tasks
+
+
 def test_a_changed_prompt_is_asked_again(spark, tmp_path):
     log = tmp_path / "calls"
     log.mkdir()
