@@ -286,6 +286,21 @@ def _checked_leads(docs: DataFrame, asked: DataFrame, side: DataFrame, p: NearDu
     return _verified(docs, near.select(F.col("lead").alias("a"), F.col("id").alias("b")), p)
 
 
+def _open_pairs(left: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs (a, b) of ``left(key, at, keys, id, n, c, bits)`` in different components that may be links.
+
+    A pair that shares several keys leaves the join at the least of them only: ``keys``
+    are all those of a member, sorted, and ``at`` is ``key`` once more, as a test on ``key``
+    would be copied to the other side and made before the cheaper ones. One test in the
+    join itself, so that no other pair leaves it.
+    """
+    l, r = left.alias("l"), left.alias("r")
+    fits = F.expr("l.key = r.key and l.id < r.id and l.c <> r.c")
+    once = F.expr("l.at = get(filter(l.keys, k -> array_contains(r.keys, k)), 0)")
+    alike = _lengths_fit(p, "l.n", "r.n") & _few_flips("l.bits", "r.bits", p)
+    return l.join(r, fits & alike & once).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+
+
 def reps_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of the documents in ``ids(id)``."""
     named = docs.select(F.col("doc_id").alias("id"), "text")
@@ -307,7 +322,7 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     their leads, one pair each, then against those leads that are still in another
     component; that is linear and settles groups of near copies. Only members that
     are still in different components are then met pair by pair, on bit sketches made
-    for them alone, so no proposed link between different components is left out. Full
+    for them alone and once a pair, so no proposed link between different components is left out. Full
     sets decide; they are taken from the texts of proposed documents alone, so they
     are never stored.
     """
@@ -357,15 +372,9 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     left = written(left, "mixed")
     texts = reps_texts(wanted, left.select("id").distinct())
     bits = written(texts.mapInArrow(_bit_rows(p), "id long, bits array<long>"), "bits")
-    left = written(left.join(bits, "id"), "mixed_bits")
-    l, r = left.alias("l"), left.alias("r")
-    # One test in the join itself, so that only pairs that may be links leave it.
-    fits = F.expr("l.key = r.key and l.id < r.id and l.c <> r.c")
-    others = (
-        l.join(r, fits & _lengths_fit(p, "l.n", "r.n") & _few_flips("l.bits", "r.bits", p))
-        .select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-        .distinct()
-    )
+    shared = left.groupBy("id", "n").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    left = written(left.join(shared, ["id", "n"]).join(bits, "id").withColumn("at", F.col("key")), "mixed_bits")
+    others = _open_pairs(left, p).distinct()
     more = _verified(wanted, others, p)
     found = found if more.isEmpty() else components(links.unionByName(more))
     classes = reps.join(found, reps.doc_id == found.id, "left").select(

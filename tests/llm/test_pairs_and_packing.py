@@ -226,3 +226,14 @@ def test_quality_folds_and_odd_texts(spark, docs):
     changed = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality")
     again = {r.doc_id: r.score for r in scored(docs, fit_quality(docs, changed)).collect()}
     assert again == {r.doc_id: r.score for r in rows}
+
+
+def test_an_open_pair_leaves_the_join_once_however_many_keys_it_shares(spark):
+    from examloom.llm import minhash
+
+    same = [7] * (minhash.BITS // 64)
+    keys = {1: [10, 11, 12], 2: [11, 12, 13], 3: [10, 11, 12, 13], 4: [13]}
+    rows = [(k, k, own, i, 100, i if i < 4 else 3, same) for i, own in keys.items() for k in own]
+    left = spark.createDataFrame(rows, "key long, at long, keys array<long>, id long, n long, c long, bits array<long>")
+    pairs = sorted(map(tuple, minhash._open_pairs(left, minhash.NearDup()).collect()))
+    assert pairs == [(1, 2), (1, 3), (2, 3), (2, 4)]  # 3 and 4 are in one component
