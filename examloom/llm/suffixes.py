@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.llm import arrays as A
-from examloom.session import written
+from examloom.session import dropped, written
 
 GRAM = 32
 PART_BITS = 48  # bits of a hash that travel; the part holds the others
@@ -240,75 +240,80 @@ def _contexts(length: int):
 def _families(contexts: DataFrame, step: int, length: int) -> DataFrame:
     """Families of starts whose offset to the anchor lies in one block of ``step`` offsets.
 
-    Each has digests of its core and of its whole stretch; the bytes stay behind.
+    Each has its place (did, at), its number of starts beyond the first, the offset
+    of the anchor and digests of its core and of its whole stretch, which are one
+    at a single start; the bytes stay behind.
     """
     least, most = F.expr("anchor - hi"), F.expr("anchor - lo")
     block = F.explode(F.sequence(F.floor(least / step), F.floor(most / step))).alias("block")
     cut = contexts.select("*", block)
     first, last = F.col("block") * step, F.col("block") * step + step - 1
-    cut = cut.withColumns(
-        {
-            "from": F.greatest(F.col("lo"), F.col("anchor") - last).cast("int"),
-            "to": F.least(F.col("hi"), F.col("anchor") - first).cast("int"),
-        }
-    )
+    cut = cut.withColumns({"from": F.greatest(F.col("lo"), F.col("anchor") - last), "to": F.least(F.col("hi"), F.col("anchor") - first)})
     core = _piece(F.col("anchor") - first, F.col("anchor") - last + length)
     whole = _piece(F.col("from"), F.col("to") + length)
+    cores = [F.xxhash64(core).alias("c1"), F.hash(core).alias("c2")] if step > 1 else []
     return cut.select(
-        "class", "did", "key", F.col("block").cast("int").alias("block"), "from", "to",
-        F.expr("anchor - from").alias("offset"),
-        F.xxhash64(core).alias("c1"), F.hash(core).alias("c2"), F.xxhash64(whole).alias("w1"), F.hash(whole).alias("w2"),
+        "class", "did", (F.col("key").cast("long") * AT + F.col("from")).alias("at"),
+        F.expr("int(to - from)").alias("size"), F.expr("int(anchor - from)").alias("offset"), F.col("block").cast("int").alias("block"),
+        *cores, F.xxhash64(whole).alias("w1"), F.hash(whole).alias("w2"),
     )
 
 
+AT = 1 << 32  # key and start in one number, in the order of the pair
+
+
 def _piece(begin: Column, end: Column) -> Column:
     """The bytes begin .. end of the document, taken from the context."""
     return F.substring(F.col("context"), (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
 
 
-def _round(contexts: DataFrame, step: int, length: int) -> tuple[DataFrame, DataFrame]:
-    """(whole repeats, families still in doubt) after one round at families of ``step`` starts.
+def _round(contexts: DataFrame, step: int, length: int) -> DataFrame:
+    """The families of ``step`` starts that are whole repeats, or still in doubt, after one round.
 
-    Families whose core has no second place are gone from both. A family is a
-    repeat if an earlier one covers the same offsets with the same bytes.
+    Families whose core has no second place are gone. A family is a repeat
+    (``again``) if an earlier one covers the same offsets with the same bytes; a
+    single start that is none is in doubt no more. Cores and whole stretches are
+    grouped in two steps, so that the shuffle files of one do not wait for the other.
     """
     rows = _families(contexts, step, length)
-    place = F.struct("did", "key", "from")
-    ranks = rows.groupBy("block", "c1", "c2").agg(F.min(place).alias("least"), F.max(place).alias("most"))
-    ranks = ranks.where("least <> most").select("block", "c1", "c2")
-    wholes = ["block", "offset", "to_from", "w1", "w2"]
-    sized = rows.withColumn("to_from", F.expr("to - from"))
-    firsts = sized.groupBy(*wholes).agg(F.min(place).alias("first"), F.max(place).alias("most"))
-    firsts = firsts.where("first <> most").drop("most")
-    told = sized.join(ranks, ["block", "c1", "c2"], "left_semi").join(firsts, wholes, "left")
-    told = written(
-        told.select(
-            "class", "did", "key", "from", "to",
-            F.coalesce(place > F.col("first"), F.lit(False)).alias("again"),
-        ),
-        "families",
+    if step > 1:
+        sides = [f(c) for c in ("did", "at") for f in (F.min, F.max)]
+        cores = rows.groupBy("block", "c1", "c2").agg(*(f.alias(x) for f, x in zip(sides, "abcd")))
+        cores = cores.where("a <> b or c <> d").select("block", "c1", "c2")
+        rows = rows.join(cores, ["block", "c1", "c2"], "left_semi")
+    rows = written(rows.drop("block", "c1", "c2"), "cores", free=True)
+    wholes, place = ["offset", "size", "w1", "w2"], F.struct("did", "at")
+    firsts = rows.groupBy(*wholes).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = F.coalesce(place > F.col("first"), F.lit(False)).alias("again")
+    told = rows.join(firsts, wholes, "left" if step > 1 else "inner")
+    start = F.col("at").bitwiseAND(F.lit(AT - 1))
+    told = told.select(
+        "class", "did", F.shiftright("at", 32).cast("int").alias("key"),
+        start.cast("int").alias("lo"), (start + F.col("size")).cast("int").alias("hi"), again,
     )
-    return told.where("again"), told.where("not again")
+    told = written(told if step > 1 else told.where("again"), "families", free=True)
+    dropped(rows)
+    return told
 
 
 def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
     """(did, key, spans): string starts lo .. hi of each document that occurred before."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.mapInArrow(_send(length, 4 * n), SENT)
-    found = written(sent.repartition(n, "part").mapInArrow(_meet, FOUND), "found")
+    found = written(sent.repartition(n, "part").mapInArrow(_meet, FOUND), "found", free=True)
     repeats = found.where("repeat").select("did", "key", "lo", "hi")
     doubt = found.where("not repeat").groupBy("did", "key")
     doubt = doubt.agg(F.collect_list(F.struct("lo", "hi", "anchor")).alias("spans"))
     texts = docs.join(doubt.hint("merge"), ["did", "key"]).select("did", "key", "text", "spans")
     rows = texts.mapInArrow(_contexts(length), CONTEXTS)
     numbered = rows.withColumns({"start": F.col("lo"), "class": F.monotonically_increasing_id()})
-    contexts = rows = written(numbered, "contexts")
+    contexts = rows = written(numbered, "contexts", free=True)
     for step in STEPS:
-        again, doubt = _round(rows, step, length)
-        repeats = repeats.unionByName(again.select("did", "key", F.col("from").alias("lo"), F.col("to").alias("hi")))
+        told = _round(rows, step, length)
+        repeats = repeats.unionByName(told.where("again").select("did", "key", "lo", "hi"))
         # the bytes of a class meet its families again for the next round
-        left = doubt.select("class", F.col("from").alias("lo"), F.col("to").alias("hi"))
-        rows = contexts.drop("lo", "hi").join(left, "class")
+        rows = contexts.drop("lo", "hi").join(told.where("not again").select("class", "lo", "hi"), "class")
+    dropped(contexts)
     return repeats.groupBy("did", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 

@@ -1,7 +1,11 @@
+import glob
+import os
 import random
+import time
 
 import pytest
 
+from examloom import session
 from examloom.llm.blocks import without_repeated_passages
 from examloom.llm.queries import QUERIES
 from examloom.llm.suffixes import without_repeated_strings
@@ -86,3 +90,36 @@ def test_strings_of_odd_tables(spark):
     # a document that repeats itself loses its later strings; rows shown twice are one
     assert got == [(0, 120, 80), (7, 44, 0), (7, 44, 0)]
     assert without_repeated_strings(df.limit(0)).count() == 0
+
+
+def test_strings_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Room is needed for the tables and the step at work, not for all steps before it."""
+    import hashlib
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in manager.localDirs() for f in glob.glob(f"{d}/*/shuffle_*") if os.path.getsize(f)}
+    rows = passages(4)
+    df, before = frame(spark, rows), files()
+    cleaned = without_repeated_strings(df, 60)  # every table of the rounds is written by now
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert {os.path.basename(f).split("-")[0] for f in glob.glob(f"{tmp_path}/*")} == {"found", "families"}
+    mine = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in cleaned.collect()}
+    assert mine == brute.repeated_bytes(rows, 60)
+
+
+def test_strings_of_documents_with_one_id(spark):
+    """They count in the order of a hash of the text, also where only single starts repeat."""
+    rng = random.Random(6)
+    shared, own = ("".join(rng.choices("abcdefghij", k=k)) for k in (75, 4000))
+    texts = [own[200 * i : 200 * i + 90 + i] + x + shared + x + own[200 * i + 110 : 200 * i + 190] for i, x in enumerate("ABCDEFGHIJKL")]
+    df = spark.createDataFrame([(3, t) for t in texts * 2], "doc_id long, text string").repartition(5)
+    keys = {t: k for t, k in df.selectExpr("text", "hash(text)").collect()}
+    assert min(keys.values()) < 0 < max(keys.values())
+    first = min(texts, key=keys.get)
+    want = sorted((len(t), 0 if t == first else 75) for t in texts * 2)
+    assert sorted((r.n_bytes, r.n_removed) for r in without_repeated_strings(df, 60).collect()) == want
